@@ -39,5 +39,7 @@ def load_all() -> dict[str, Query]:
     # importing the plan modules fills REGISTRY
     from presslens.plans import (  # noqa: F401
         charts,
+        cleaning,
+        live,
     )
     return REGISTRY

@@ -25,6 +25,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 COUNTRY_FROM_PATH = r"^https?://[^/]+/([a-z]{2})/"
+# First paragraph of the article region, HTML kept (a feed-style summary).
+LEAD_PARAGRAPH = r"(?is)<article\b[^>]*>.*?(<p\b.*?</p>)"
 # Rows per event-derived URL; forces repeated URLs so newest-wins logic has work.
 EVENT_URL_SPACE = 700
 EVENT_SOURCES = 20
@@ -50,6 +52,7 @@ def page_articles(spark: SparkSession, sf_dir: str, with_html: bool = False) ->
         country.alias("language"),
         H.html_title(F.col("html")).alias("title"),
         F.when(domain.startswith("m."), F.col("url")).alias("url_mobile"),
+        F.nullif(F.regexp_extract("html", LEAD_PARAGRAPH, 1), F.lit("")).alias("summary"),
     ]
     if with_html:
         cols.append("html")
@@ -63,6 +66,7 @@ SELECT page_id, url,
        regexp_extract(url, '{COUNTRY_FROM_PATH}', 1) AS language,
        {H.html_title_sql('html')} AS title,
        CASE WHEN starts_with({U.url_host_sql('url')}, 'm.') THEN url END AS url_mobile,
+       nullif(regexp_extract(html, '{LEAD_PARAGRAPH}', 1), '') AS summary,
        html
 FROM pages
 """
@@ -125,6 +129,33 @@ FROM events
 """
 
 
+# ------------------------------------------------- raw article arms (cleaner)
+def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw rows of three ingestion arms in input order: the article stream (E,
+    arm 0), scraped pages (P, arm 1) and scraped documents without a summary
+    column (D, arm 2, summary filled as NULL by the tolerant projection)."""
+    from presslens.schemas import conform_article
+
+    e = conform_article(event_articles(spark, sf_dir).withColumn("arm", F.lit(0)), extra=("arm", "seq"))
+    p = page_articles(spark, sf_dir).select(
+        F.lit(1).alias("arm"), F.col("page_id").alias("seq"), F.col("domain").alias("source"),
+        F.col("sourcecountry").alias("country_target"), "title", "summary", "url")
+    d = document_articles(spark, sf_dir).select(
+        F.lit(2).alias("arm"), F.col("doc_id").alias("seq"), "source",
+        F.col("sourcecountry").alias("country_target"), "title", "url")
+    return e.unionByName(conform_article(p, extra=("arm", "seq"))).unionByName(
+        conform_article(d, extra=("arm", "seq")))
+
+
+RAW_SQL = f"""
+SELECT 0 AS arm, seq, source, country_target, title, summary, url, published_at, extracted_at FROM ({EVENTS_SQL})
+UNION ALL
+SELECT 1, page_id, domain, sourcecountry, title, summary, url, NULL::TIMESTAMP, NULL::TIMESTAMP FROM ({PAGES_SQL})
+UNION ALL
+SELECT 2, doc_id, source, sourcecountry, title, NULL::VARCHAR, url, NULL::TIMESTAMP, NULL::TIMESTAMP FROM ({DOCS_SQL})
+"""
+
+
 def with_ctes(sql: str, **ctes: str) -> str:
     """Prefix ``sql`` with named CTEs (name=definition)."""
     parts = ",\n".join(f"{name} AS ({body})" for name, body in ctes.items())
