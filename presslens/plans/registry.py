@@ -41,5 +41,6 @@ def load_all() -> dict[str, Query]:
         charts,
         cleaning,
         live,
+        pages,
     )
     return REGISTRY
