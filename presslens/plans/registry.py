@@ -42,5 +42,6 @@ def load_all() -> dict[str, Query]:
         cleaning,
         live,
         pages,
+        storage,
     )
     return REGISTRY
