@@ -43,5 +43,6 @@ def load_all() -> dict[str, Query]:
         live,
         pages,
         storage,
+        feeds,
     )
     return REGISTRY
