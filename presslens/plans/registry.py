@@ -44,5 +44,6 @@ def load_all() -> dict[str, Query]:
         pages,
         storage,
         feeds,
+        catalogue,
     )
     return REGISTRY
