@@ -48,3 +48,10 @@ def round_half_up(c: Column, digits: int) -> Column:
 def round_half_up_sql(x: str, digits: int) -> str:
     scale = float(10 ** digits)
     return f"(floor(({x}) * {scale} + 0.5) / {scale})"
+
+
+def ntz_to_instant(ntz: Column) -> Column:
+    """A UTC wall-clock TIMESTAMP_NTZ as an instant (TIMESTAMP), independent of
+    the session zone (needed for watermarks, which reject NTZ)."""
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), ntz)
+    return F.timestamp_micros(micros)

@@ -45,5 +45,6 @@ def load_all() -> dict[str, Query]:
         storage,
         feeds,
         catalogue,
+        streams,
     )
     return REGISTRY
