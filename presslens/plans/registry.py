@@ -46,5 +46,6 @@ def load_all() -> dict[str, Query]:
         feeds,
         catalogue,
         streams,
+        analysis,
     )
     return REGISTRY
