@@ -48,19 +48,20 @@ BLOCK_TAGS = ("p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "br", "secti
 BODY_MAX_CHARS = 20000
 # ---------------------------------------------------------------------------
 
-COMMENT_RE = r"(?s)<!--.*?-->"
 TAG_RE = r"<[A-Za-z/!?][^>]*>"
 
 
-def _element_re(tag: str) -> str:
-    # one pattern per tag: RE2 has no back-references
-    return rf"(?is)<{tag}\b[^>]*>.*?</{tag}\s*>"
-
-
 # A chain is a list of steps: ("re", pattern, replacement) | ("lit", old, new)
 # | ("trim",) | ("entities",)
+def _elements_re(tags) -> str:
+    # One alternation per tag family, so one pass over the text (leftmost
+    # match wins, as in a browser). One branch per tag: RE2 has no
+    # back-references.
+    return "|".join(rf"<{t}\b[^>]*>.*?</{t}\s*>" for t in tags)
+
+
 def _invisible_steps():
-    return [("re", COMMENT_RE, " ")] + [("re", _element_re(t), " ") for t in INVISIBLE_TAGS]
+    return [("re", "(?is)<!--.*?-->|" + _elements_re(INVISIBLE_TAGS), " ")]
 
 
 def strip_steps():
@@ -75,7 +76,7 @@ def strip_steps():
 
 
 def body_steps():
-    steps = _invisible_steps() + [("re", _element_re(t), "\n") for t in BOILERPLATE_TAGS]
+    steps = _invisible_steps() + [("re", "(?is)" + _elements_re(BOILERPLATE_TAGS), "\n")]
     block = "|".join(BLOCK_TAGS)
     steps += [
         ("re", rf"(?i)</?(?:{block})\b[^>]*>", "\n"),
@@ -122,8 +123,9 @@ def _sql_chain(x: str, steps) -> str:
 def strip_html(value: Column) -> Column:
     """Visible text of an HTML fragment, text nodes joined by one space,
     entities decoded twice; NULL for NULL/empty/whitespace-only results."""
-    text = _spark_chain(value, strip_steps())
-    return F.when(text != "", text)
+    # nullif keeps one copy of the chain in the plan (Spark 4 rewrites it with a
+    # shared common expression); when(x != '', x) would evaluate it twice
+    return F.nullif(_spark_chain(value, strip_steps()), F.lit(""))
 
 
 def html_title(html: Column) -> Column:
@@ -142,8 +144,8 @@ def extract_body(html: Column) -> Column:
     """Main text of an article page: the <article> (else <main>, else <body>)
     region without navigation/boilerplate blocks, one line per block,
     capped at 20 000 characters; NULL when nothing is left."""
-    text = _spark_chain(main_region(html), body_steps())
-    return F.when(text != "", F.substring(text, 1, BODY_MAX_CHARS))
+    text = F.nullif(_spark_chain(main_region(html), body_steps()), F.lit(""))
+    return F.substring(text, 1, BODY_MAX_CHARS)
 
 
 def meta_description(html: Column) -> Column:

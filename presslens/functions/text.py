@@ -47,8 +47,7 @@ def headline(text: Column) -> Column:
 
 
 def clean_title(title: Column) -> Column:
-    t = F.regexp_replace(title, r"^\s+|\s+$", "")
-    return F.when(t != "", t)
+    return F.nullif(F.regexp_replace(title, r"^\s+|\s+$", ""), F.lit(""))
 
 
 def is_stub(title: Column) -> Column:

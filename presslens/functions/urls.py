@@ -73,7 +73,7 @@ def canonical_url(url: Column) -> Column:
     query = F.regexp_extract(u, URL_SPLIT, 4)
     path = F.regexp_replace(path, r";[^/]*$", "")
     path = F.regexp_replace(path, r"/+$", "")
-    path = F.when(path == "", F.lit("/")).otherwise(path)
+    path = F.coalesce(F.nullif(path, F.lit("")), F.lit("/"))
 
     pairs = F.split(query, "&")
     kept = F.filter(
@@ -109,7 +109,7 @@ def canonical_url(url: Column) -> Column:
         & ~bad_brackets
     )
     rebuilt = F.concat(scheme, F.lit("://"), netloc, path,
-                       F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")))
+                       F.coalesce(F.concat(F.lit("?"), F.nullif(q, F.lit(""))), F.lit("")))
     return F.when(ok, rebuilt)
 
 

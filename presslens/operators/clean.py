@@ -29,12 +29,19 @@ def label(raw: DataFrame) -> DataFrame:
 
 
 def clean(raw: DataFrame) -> DataFrame:
-    """``articles_clean``: one row per canonical URL (the key is unique by construction)."""
-    lab = label(raw).filter(F.col("curl").isNotNull() & ~F.col("is_stub"))
+    """``articles_clean``: one row per canonical URL (the key is unique by construction).
+
+    No filter runs before the aggregation: a filter on the canonical URL would
+    be pushed below the projection and evaluate the whole URL expression
+    twice. Instead stubs sort after every non-stub row of their URL, and a URL
+    whose winner is a stub (or whose key is NULL) is dropped afterwards.
+    """
+    lab = label(raw)
     kept = first_by_key(
-        lab.select("curl", "arm", "seq", "source", "country_target", "title_clean", "summary",
+        lab.select("curl", "is_stub", "arm", "seq", "source", "country_target", "title_clean", "summary",
                    "published_at", "extracted_at"),
-        "curl", ORDER)
+        "curl", ["is_stub", *ORDER])
+    kept = kept.filter(F.col("curl").isNotNull() & ~F.col("is_stub"))
     return kept.select(
         "source", "country_target", F.col("title_clean").alias("title"),
         H.strip_html(F.col("summary")).alias("summary"), F.col("curl").alias("url"),

@@ -33,10 +33,29 @@ EVENT_SOURCES = 20
 EVENT_NULL_PUBLISHED_EVERY = 11
 
 
+# Tables whose rows carry whole texts (HTML pages, documents): per-row regex and
+# tokenising work dominates, so their scans must be spread over all cores.
+TEXT_TABLES = ("pages", "documents")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer partitions than the cluster's
+    parallelism (e.g. one parquet row group), so CPU-heavy row-wise work uses
+    every core. At scale the scan already has far more splits than cores and
+    this is a no-op; nothing is shuffled then."""
+    try:
+        have = df.rdd.getNumPartitions()
+        want = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - e.g. a Connect session without RDD access
+        return df
+    return df.repartition(want) if have < want else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in TEXT_TABLES else df
 
 
 # ------------------------------------------------------------------ P: pages
@@ -136,7 +155,8 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     column (D, arm 2, summary filled as NULL by the tolerant projection)."""
     from presslens.schemas import conform_article
 
-    e = conform_article(event_articles(spark, sf_dir).withColumn("arm", F.lit(0)), extra=("arm", "seq"))
+    # per-row URL/HTML work dominates the cleaner: spread the stream arm too
+    e = conform_article(spread(event_articles(spark, sf_dir)).withColumn("arm", F.lit(0)), extra=("arm", "seq"))
     p = page_articles(spark, sf_dir).select(
         F.lit(1).alias("arm"), F.col("page_id").alias("seq"), F.col("domain").alias("source"),
         F.col("sourcecountry").alias("country_target"), "title", "summary", "url")
