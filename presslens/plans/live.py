@@ -161,8 +161,14 @@ FROM last
 def q_arrival_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages per second over the last minute: sum of arrivals divided by the
     number of non-empty seconds (as the reference), plus the per-60s rate."""
-    a = arrivals(final_view(spark, sf_dir))
-    a = a.withColumn("_max", F.max("sec").over(Window.partitionBy()))
+    return arrival_rate(arrivals(final_view(spark, sf_dir)))
+
+
+def arrival_rate(per_second: DataFrame) -> DataFrame:
+    """Rate over the last minute of a (sec, arrivals) table, inclusive of the
+    second one minute before the newest one. The unpartitioned window runs on
+    per-second rows of the trailing window only."""
+    a = per_second.withColumn("_max", F.max("sec").over(Window.partitionBy()))
     last = a.filter(F.col("sec") >= F.col("_max") - F.expr("INTERVAL 1 MINUTE"))
     return last.agg(F.sum("arrivals").cast("bigint").alias("last_minute_arrivals"),
                     F.count(F.lit(1)).alias("nonempty_seconds"),
