@@ -36,9 +36,10 @@ def missing_body(articles: DataFrame, country: str | None = None, source_like: s
 
 
 def page_bodies(pages: DataFrame) -> DataFrame:
-    """url -> body for every page (first page per url by page_id)."""
-    one = first_by_key(pages.select("url", "page_id", "html"), "url", ["page_id"])
-    return one.select("url", H.extract_body(F.col("html")).alias("body"))
+    """url -> body for every page (first page per url by page_id). The body is
+    extracted map-side, so the dedup shuffle carries url + body, not HTML."""
+    bodies = pages.select("url", "page_id", H.extract_body(F.col("html")).alias("body"))
+    return first_by_key(bodies, "url", ["page_id"]).select("url", "body")
 
 
 def enrich(batch: DataFrame, bodies: DataFrame) -> DataFrame:

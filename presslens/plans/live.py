@@ -43,6 +43,14 @@ def final_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_by_key(S.event_articles(spark, sf_dir), "url", ["extracted_at", "seq"])
 
 
+def as_of(spark: SparkSession, sf_dir: str):
+    """The reference's now(): the newest arrival, as a scalar subquery (one
+    partial/final aggregate of one column, evaluated once before the main
+    query). The newest row always survives newest-per-url, so the raw table
+    gives the same value as the view."""
+    return S.event_articles(spark, sf_dir).agg(F.max("extracted_at")).scalar()
+
+
 FINAL_SQL = f"""
 SELECT * FROM ({S.EVENTS_SQL})
 QUALIFY ROW_NUMBER() OVER (PARTITION BY url ORDER BY extracted_at DESC, seq DESC) = 1
@@ -53,10 +61,6 @@ def _sql(body: str) -> str:
     return S.with_ctes(body, f=FINAL_SQL)
 
 
-def _as_of(df: DataFrame) -> DataFrame:
-    return df.withColumn("_as_of", F.max("extracted_at").over(Window.partitionBy()))
-
-
 @register("totals_latest", ids=("A10", "S26", "U06"), oracle=_sql("""
 SELECT COUNT(*) AS rows_loaded, COUNT(DISTINCT url) AS unique_urls FROM f
 """))
@@ -129,9 +133,9 @@ def q_by_day_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("day", *[F.col(c).cast("bigint").alias(c) for c in FOCUS_EVENT]).orderBy("day"))
 
 
-def arrivals(final: DataFrame, window_min: int = ARRIVAL_WINDOW_MIN) -> DataFrame:
-    lim = F.col("_as_of") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(window_min))
-    return (_as_of(final).filter(F.col("extracted_at") > lim)
+def arrivals(final: DataFrame, now, window_min: int = ARRIVAL_WINDOW_MIN) -> DataFrame:
+    lim = now - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(window_min))
+    return (final.filter(F.col("extracted_at") > lim)
             .groupBy(F.date_trunc("second", "extracted_at").alias("sec"))
             .agg(F.count(F.lit(1)).alias("arrivals")))
 
@@ -146,7 +150,7 @@ GROUP BY 1
 @register("arrivals_per_second", ids=("A15", "F12"), oracle=_sql(ARRIVALS_SQL + " ORDER BY sec"))
 def q_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-second arrivals within the trailing window before as_of."""
-    return arrivals(final_view(spark, sf_dir)).select(
+    return arrivals(final_view(spark, sf_dir), as_of(spark, sf_dir)).select(
         F.col("sec").cast("timestamp_ntz").alias("sec"), "arrivals").orderBy("sec")
 
 
@@ -161,24 +165,23 @@ FROM last
 def q_arrival_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages per second over the last minute: sum of arrivals divided by the
     number of non-empty seconds (as the reference), plus the per-60s rate."""
-    return arrival_rate(arrivals(final_view(spark, sf_dir)))
+    return arrival_rate(arrivals(final_view(spark, sf_dir), as_of(spark, sf_dir)))
 
 
 def arrival_rate(per_second: DataFrame) -> DataFrame:
     """Rate over the last minute of a (sec, arrivals) table, inclusive of the
-    second one minute before the newest one. The unpartitioned window runs on
-    per-second rows of the trailing window only."""
-    a = per_second.withColumn("_max", F.max("sec").over(Window.partitionBy()))
-    last = a.filter(F.col("sec") >= F.col("_max") - F.expr("INTERVAL 1 MINUTE"))
+    second one minute before the newest one (newest second as a scalar subquery)."""
+    newest = per_second.agg(F.max("sec")).scalar()
+    last = per_second.filter(F.col("sec") >= newest - F.expr("INTERVAL 1 MINUTE"))
     return last.agg(F.sum("arrivals").cast("bigint").alias("last_minute_arrivals"),
                     F.count(F.lit(1)).alias("nonempty_seconds"),
                     (F.sum("arrivals") / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("rate_nonempty"),
                     (F.sum("arrivals") / F.lit(60.0)).alias("rate_60s"))
 
 
-def country_pulse(final: DataFrame, recent_min: int = RECENT_MIN) -> DataFrame:
-    lim = F.col("_as_of") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(recent_min))
-    return (_as_of(final).filter(F.col("country_target").isNotNull())
+def country_pulse(final: DataFrame, now, recent_min: int = RECENT_MIN) -> DataFrame:
+    lim = now - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(recent_min))
+    return (final.filter(F.col("country_target").isNotNull())
             .groupBy("country_target")
             .agg(F.count(F.lit(1)).alias("articles"), F.count_if(F.col("extracted_at") > lim).alias("recent")))
 
@@ -193,7 +196,7 @@ FROM f WHERE country_target IS NOT NULL GROUP BY 1
 @register("country_pulse", ids=("A17",), oracle=_sql(PULSE_SQL))
 def q_country_pulse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-country totals and arrivals in the last ``RECENT_MIN`` minutes before as_of."""
-    return country_pulse(final_view(spark, sf_dir))
+    return country_pulse(final_view(spark, sf_dir), as_of(spark, sf_dir))
 
 
 def centroids(spark: SparkSession) -> DataFrame:
@@ -230,7 +233,7 @@ def q_country_pulse_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Map layer: pulse joined to country codes and centroids (tiny fixed
     dimensions, broadcast); unknown countries dropped; bubble radius and heat
     colour as column arithmetic (half-even rounding like the reference)."""
-    pulse = country_pulse(final_view(spark, sf_dir))
+    pulse = country_pulse(final_view(spark, sf_dir), as_of(spark, sf_dir))
     m = (pulse.join(F.broadcast(country_alias(spark)), "country_target")
          .join(F.broadcast(centroids(spark)), "code"))
     everything = Window.partitionBy()
