@@ -65,12 +65,14 @@ def harvest_links(pages: DataFrame, href_pattern: str, max_links: int = MAX_HOME
 
 def list_items(pages: DataFrame, item_re: str, fallback_re: str | None = None,
                before_filter: int | None = LIST_ITEMS_BEFORE_FILTER,
-               after_filter: int | None = None) -> DataFrame:
+               after_filter: int | None = None, heading_re: str | None = None) -> DataFrame:
     """Generic list-page extraction: item blocks by regex (``fallback_re`` when
     the primary rule finds none on a page), first ``before_filter`` items,
-    title = item text, link = first anchor of the item resolved against the
-    page URL; items without title or link dropped; then first
-    ``after_filter`` per page. summary is ''."""
+    title = item text (or the text of the first ``heading_re`` match, for
+    tiles that need a heading), link = first anchor of the item resolved
+    against the page URL; items without title or link dropped; then first
+    ``after_filter`` per page. summary is ''; published_at comes from a
+    /YYYY/MM/DD/ link path when present."""
     items = F.regexp_extract_all("html", F.lit(item_re), 0)
     if fallback_re:
         items = F.when(F.size(items) > 0, items).otherwise(F.regexp_extract_all("html", F.lit(fallback_re), 0))
@@ -80,10 +82,15 @@ def list_items(pages: DataFrame, item_re: str, fallback_re: str | None = None,
                       F.posexplode(items).alias("pos", "item"))
     first_anchor = F.regexp_extract("item", r"(?is)(<a\b[^>]*>.*?</a>)", 1)
     href = F.regexp_extract(first_anchor, HREF_RE, 1)
-    title = anchor_text(F.regexp_replace("item", r"(?is)^<[^>]*>|</[^>]*>$", ""))
+    if heading_re:
+        title = anchor_text(F.regexp_extract("item", heading_re, 1))
+    else:
+        title = anchor_text(F.regexp_replace("item", r"(?is)^<[^>]*>|</[^>]*>$", ""))
     rows = ex.select("page_id", "pos", F.nullif(title, F.lit("")).alias("title"),
                      F.when(href != "", U.join_url(F.col("page_url"), href)).alias("url"))
     rows = rows.filter(F.col("title").isNotNull() & F.col("url").isNotNull())
+    if heading_re:
+        rows = rows.withColumn("published_at", U.date_from_url(F.col("url")))
     if after_filter:
         w = Window.partitionBy("page_id").orderBy("pos")
         rows = rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= after_filter).drop("_n")

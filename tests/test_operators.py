@@ -236,3 +236,16 @@ def test_detect_language(spark):
 def test_article_schema_has_seven_columns():
     assert [f.name for f in ARTICLE.fields] == ["source", "country_target", "title", "summary", "url",
                                                "published_at", "extracted_at"]
+
+
+def test_tiles_need_heading_and_anchor(spark):
+    html = ('<div class="tile"><h3>Flood relief</h3><a href="/2026/05/01/flood">more</a></div>'
+            '<div class="tile"><a href="/2026/05/02/no-heading">x</a></div>'
+            '<div class="tile"><h3>No link</h3></div>'
+            '<div class="tile"><h3>Undated</h3><a href="https://other.example/story">y</a></div>')
+    pages = spark.createDataFrame([(1, "https://mm.example/", html)], "page_id long, url string, html string")
+    out = PG.list_items(pages, r'(?is)<div class="tile">.*?</div>', heading_re=r"(?is)<h3[^>]*>(.*?)</h3>",
+                        before_filter=None).orderBy("pos").collect()
+    assert [(r.title, r.url, r.published_at) for r in out] == [
+        ("Flood relief", "https://mm.example/2026/05/01/flood", dt.datetime(2026, 5, 1)),
+        ("Undated", "https://other.example/story", None)]
