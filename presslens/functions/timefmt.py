@@ -12,7 +12,8 @@ def bucket(ts: Column, minutes: int = 15) -> Column:
 
 
 def span_hours(min_ts: Column, max_ts: Column) -> Column:
-    return (F.unix_micros(max_ts.cast("timestamp")) - F.unix_micros(min_ts.cast("timestamp"))) / F.lit(3.6e9)
+    """Hours between two wall-clock timestamps (no session-zone/DST dependence)."""
+    return F.timestamp_diff("MICROSECOND", min_ts, max_ts) / F.lit(3.6e9)
 
 
 def parse_feed_date(raw: Column) -> Column:

@@ -105,7 +105,10 @@ def incremental_load(spark: SparkSession, path: str, source: DataFrame, cursor:
     (one scalar read back to the driver); returns the mark used."""
     mark = None
     if _exists(spark, path):
-        mark = spark.read.parquet(path).agg(F.max(cursor).alias("m")).first()["m"]
-    new = source if mark is None else source.filter(F.col(cursor) > F.lit(mark))
+        # the mark travels as text in the column's own type: a Python datetime
+        # literal would be re-read in the session time zone
+        dtype = dict(source.dtypes)[cursor]
+        mark = spark.read.parquet(path).agg(F.max(cursor).cast("string").alias("m")).first()["m"]
+    new = source if mark is None else source.filter(F.col(cursor) > F.lit(mark).cast(dtype))
     new.write.mode("append").parquet(path)
     return mark

@@ -97,8 +97,7 @@ def time_chunks(ranges: DataFrame, start: str, end: str, chunk_minutes: int) ->
     cur = ranges.select("*", F.explode(F.sequence(F.col(start), F.col(end), iv)).alias("window_start"))
     cur = cur.filter(F.col("window_start") < F.col(end))
     cur = cur.withColumn("window_end", F.least(F.col("window_start") + iv, F.col(end)))
-    minutes = (F.unix_micros(F.col("window_end").cast("timestamp")) -
-               F.unix_micros(F.col("window_start").cast("timestamp"))) / F.lit(60e6)
+    minutes = F.timestamp_diff("MICROSECOND", F.col("window_start"), F.col("window_end")) / F.lit(60e6)
     return cur.filter(minutes >= GDELT_MIN_WINDOW_MINUTES)
 
 

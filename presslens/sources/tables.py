@@ -51,11 +51,15 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want) if have < want else df
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread_rows: bool | None = None) -> DataFrame:
+    """Read one input table; text tables are spread over the cores unless the
+    caller only needs cheap per-row work (``spread_rows=False``)."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in TEXT_TABLES else df
+    if spread_rows is None:
+        spread_rows = name in TEXT_TABLES
+    return spread(df) if spread_rows else df
 
 
 # ------------------------------------------------------------------ P: pages
@@ -93,7 +97,8 @@ FROM pages
 
 # -------------------------------------------------------------- D: documents
 def document_articles(spark: SparkSession, sf_dir: str, with_text: bool = False) -> DataFrame:
-    d = table(spark, sf_dir, "documents")
+    # the headline is one cheap anchored regex: not worth shipping whole texts
+    d = table(spark, sf_dir, "documents", spread_rows=with_text)
     cols = [
         "doc_id",
         F.col("source").alias("domain"),

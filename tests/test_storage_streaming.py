@@ -86,3 +86,16 @@ def test_absent_published_at_key_decodes_to_null(spark):
                                 "value string")
     r = J.decode(raw).first()
     assert r.url == "https://x/1" and r.published_at is None and r[J.CORRUPT] is None
+
+
+def test_incremental_load_independent_of_session_zone(spark, tmp_dir):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        path = os.path.join(tmp_dir, "inc_tz")
+        allr = _rows(spark, [_r(i, f"u{i}", i * 60) for i in range(10)])
+        UP.incremental_load(spark, path, allr.filter("seq < 4"))
+        UP.incremental_load(spark, path, allr)
+        assert sorted(r.seq for r in spark.read.parquet(path).collect()) == list(range(10))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
