@@ -229,3 +229,28 @@ FROM r LEFT JOIN b USING (sweep) GROUP BY 1
 def q_circuit_breaker(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Soft-throttle breaker per sweep: first feed where >= 60 processed and ok-rate < 5 %."""
     return FD.circuit_breaker(fetch_log(spark, sf_dir))
+
+
+@register("published_parse", ids=("S03",), oracle=ITEMS_EXPECTED_SQL + """
+SELECT doc_id,
+       CASE WHEN kind = 0 THEN strftime(ts, '%a, %d %b %Y %H:%M:%S') || ' GMT'
+            WHEN kind = 1 THEN strftime(ts, '%d %b %Y %H:%M:%S') || ' +0000' END AS pub_date,
+       CASE WHEN kind = 2 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S') || 'Z' END AS updated,
+       CASE WHEN kind IN (0, 1, 2) THEN date_trunc('second', ts) END AS published_at
+FROM x
+""")
+def q_published_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feed dates of every item: RFC-822 (weekday, GMT or numeric zone) or ISO
+    'updated', first that parses, as UTC; NULL when the item has none."""
+    p = FD.parse_items(feed_items(spark, sf_dir))
+    return p.select("doc_id", F.col("_i.pubDate").alias("pub_date"), F.col("_i.updated").alias("updated"),
+                    FD.published(F.col("_i.pubDate"), F.col("_i.updated")).alias("published_at"))
+
+
+@register("summary_pick", ids=("S04",), oracle=ITEMS_EXPECTED_SQL + """
+SELECT doc_id, CASE WHEN kind IN (0, 1, 2) THEN para END AS summary FROM x
+""")
+def q_summary_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First non-empty of summary / description for every item (HTML kept)."""
+    p = FD.parse_items(feed_items(spark, sf_dir))
+    return p.select("doc_id", FD.pick_summary(F.col("_i.summary"), F.col("_i.description")).alias("summary"))
