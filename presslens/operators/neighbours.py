@@ -66,4 +66,4 @@ def neighbours_topk(vectors: DataFrame, k: int = 5, block: str = "label", id_col
         .join(cand, ["block", "tile"])
     partial = pairs.mapInPandas(_tile_topk(k), PAIR_SCHEMA)
     ranked = top_k_per_group(partial, ["vec_id"], [F.desc("similarity"), F.asc("neighbour_id")], k, rank_col="rank")
-    return ranked.select("vec_id", "neighbour_id", "rank", "similarity")
+    return ranked.select("vec_id", "neighbour_id", F.col("rank").cast("bigint").alias("rank"), "similarity")

@@ -88,10 +88,10 @@ def interleave(feeds: DataFrame, country: str = "country_target", pos: str = "po
     """Round-robin order across countries, input order kept within a country,
     countries in order of first appearance: adds (round, country_order); the
     interleaved list is ``orderBy('round', 'country_order')``."""
-    out = feeds.withColumn("round", F.row_number().over(Window.partitionBy(country).orderBy(pos)))
+    out = feeds.withColumn("round", F.row_number().over(Window.partitionBy(country).orderBy(pos)).cast("bigint"))
     # country order is ranked on the per-country table (one row per country)
     firsts = feeds.groupBy(country).agg(F.min(pos).alias("_first"))
-    order = firsts.select(country, F.dense_rank().over(Window.orderBy("_first")).alias("country_order"))
+    order = firsts.select(country, F.dense_rank().over(Window.orderBy("_first")).cast("bigint").alias("country_order"))
     return out.join(order, country)
 
 

@@ -51,7 +51,7 @@ def harvest_links(pages: DataFrame, href_pattern: str, max_links: int = MAX_HOME
     a = anchors(pages).filter(F.col("has_href") & F.col("href").rlike(href_pattern))
     first = a.groupBy("page_id", "href").agg(F.min("pos").alias("first_pos"))
     w = Window.partitionBy("page_id").orderBy("first_pos")
-    first = first.withColumn("rank", F.row_number().over(w))
+    first = first.withColumn("rank", F.row_number().over(w).cast("bigint"))
     cutoff = (first.filter(F.col("rank") == max_links)
               .select("page_id", F.col("first_pos").alias("cutoff")))
     kept = first.filter(F.col("rank") <= max_links).join(cutoff, "page_id", "left")
@@ -79,7 +79,7 @@ def list_items(pages: DataFrame, item_re: str, fallback_re: str | None = None,
     if before_filter:
         items = F.slice(items, 1, before_filter)
     ex = pages.select("page_id", F.col("url").alias("page_url"),
-                      F.posexplode(items).alias("pos", "item"))
+                      F.posexplode(items).alias("pos", "item")).withColumn("pos", F.col("pos").cast("bigint"))
     first_anchor = F.regexp_extract("item", r"(?is)(<a\b[^>]*>.*?</a>)", 1)
     href = F.regexp_extract(first_anchor, HREF_RE, 1)
     if heading_re:
