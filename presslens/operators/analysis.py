@@ -77,8 +77,10 @@ def tfidf(docs: DataFrame, n_docs: int, id_col: str = "doc_id", text_col: str =
 def distribution(df: DataFrame, keys: list[str], token: str = "token") -> DataFrame:
     """p(token | keys) from a table of token occurrences."""
     c = df.groupBy(*keys, token).agg(F.count(F.lit(1)).alias("n"))
-    tot = F.sum("n").over(Window.partitionBy(*keys))
-    return c.withColumn("p", F.col("n") / tot)
+    # per-key totals joined back (one row per key) instead of a whole-partition
+    # window, which would hold a hot key's entire vocabulary in one task
+    tot = c.groupBy(*keys).agg(F.sum("n").alias("_tot"))
+    return c.join(tot, list(keys)).withColumn("p", F.col("n") / F.col("_tot")).drop("_tot")
 
 
 def js_to_pool(dist: DataFrame, key: str, token: str = "token") -> DataFrame:

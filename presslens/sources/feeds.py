@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from presslens.functions import html as H
 from presslens.functions.timefmt import instant_to_utc_ntz, parse_feed_date
+from presslens.operators.running import running_sums
 from presslens.schemas import GDELT_PAYLOAD, NEWSAPI_PAYLOAD
 
 ITEM_SCHEMA = T.StructType([
@@ -108,23 +109,25 @@ def sweep_status(log: DataFrame) -> DataFrame:
 
 
 def circuit_breaker(log: DataFrame, early_check: int = BREAKER_EARLY_CHECK,
-                    min_ok_rate: float = BREAKER_MIN_OK_RATE) -> DataFrame:
+                    min_ok_rate: float = BREAKER_MIN_OK_RATE, block_size: int = 100_000) -> DataFrame:
     """Soft-throttle breaker over a fetch log (sweep, seq, status): once at
     least ``early_check`` feeds were processed and the running ok-rate is below
-    ``min_ok_rate``, the sweep aborts at that feed. Running counts are a window
-    per sweep ordered by seq (a sweep is one pass over the feed catalogue)."""
-    w = Window.partitionBy("sweep").orderBy("seq").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    r = (log.withColumn("processed", F.count(F.lit(1)).over(w))
-            .withColumn("ok_so_far", F.sum(F.when(F.col("status") == "ok", 1).otherwise(0)).over(w)))
+    ``min_ok_rate``, the sweep aborts at that feed. Running counts are block
+    prefix sums (``operators.running``), so a huge sweep is not one task."""
+    r = running_sums(log, "sweep", "seq", {
+        "processed": F.lit(1).cast("bigint"),
+        "ok_so_far": F.when(F.col("status") == "ok", 1).otherwise(0).cast("bigint"),
+    }, block_size=block_size)
     breach = (F.col("processed") >= early_check) & (F.col("ok_so_far") / F.col("processed") < F.lit(min_ok_rate))
-    # first breach per sweep: same partitioning as the running window, so the
-    # final aggregation needs no further exchange
-    r = r.withColumn("aborted_at", F.min(F.when(breach, F.col("seq"))).over(Window.partitionBy("sweep")))
-    return r.groupBy("sweep").agg(
+    # the first breach carries its own running position, so the rows skipped
+    # after it follow from the sweep total without a second pass
+    first = F.min(F.when(breach, F.struct(F.col("seq").alias("seq"), F.col("processed").alias("pos"))))
+    per = r.groupBy("sweep").agg(
         F.count(F.lit(1)).alias("feeds"),
         F.count_if(F.col("status") == "ok").alias("ok"),
         F.count_if(F.col("status") == "empty").alias("empty"),
         F.count_if(F.col("status") == "bad").alias("bad"),
-        F.min("aborted_at").alias("aborted_at"),
-        F.count_if(F.col("seq") > F.col("aborted_at")).alias("skipped"),
+        first.alias("_first"),
     )
+    return per.select("sweep", "feeds", "ok", "empty", "bad", F.col("_first.seq").alias("aborted_at"),
+                      F.coalesce(F.col("feeds") - F.col("_first.pos"), F.lit(0)).alias("skipped"))

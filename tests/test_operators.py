@@ -249,3 +249,26 @@ def test_tiles_need_heading_and_anchor(spark):
     assert [(r.title, r.url, r.published_at) for r in out] == [
         ("Flood relief", "https://mm.example/2026/05/01/flood", dt.datetime(2026, 5, 1)),
         ("Undated", "https://other.example/story", None)]
+
+
+def test_running_sums_blocks_match_plain_window(spark):
+    from presslens.operators.running import running_sums
+    rnd = random.Random(9)
+    rows = [(g, s, rnd.randint(0, 1)) for g in ("a", "b") for s in rnd.sample(range(10_000), 700)]
+    df = spark.createDataFrame(rows, "g string, seq long, x int")
+    out = running_sums(df, "g", "seq", {"n": F.lit(1).cast("bigint"), "xs": F.col("x").cast("bigint")},
+                       block_size=97)
+    got = {(r.g, r.seq): (r.n, r.xs) for r in out.collect()}
+    for g in ("a", "b"):
+        n = xs = 0
+        for _, s, x in sorted(r for r in rows if r[0] == g):
+            n += 1
+            xs += x
+            assert got[(g, s)] == (n, xs)
+
+
+def test_circuit_breaker_across_blocks(spark):
+    rows = [(T0.date(), i + 1, "ok" if i < 2 else "bad") for i in range(200)]
+    log = spark.createDataFrame(rows, "sweep date, seq long, status string")
+    r = FD.circuit_breaker(log, block_size=7).first()
+    assert r.aborted_at == 60 and r.skipped == 140
