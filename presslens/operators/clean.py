@@ -36,12 +36,14 @@ def clean(raw: DataFrame) -> DataFrame:
     twice. Instead stubs sort after every non-stub row of their URL, and a URL
     whose winner is a stub (or whose key is NULL) is dropped afterwards.
     """
-    lab = label(raw)
+    lab = label(raw).withColumn("keep", F.col("curl").isNotNull() & ~F.col("is_stub"))
     kept = first_by_key(
-        lab.select("curl", "is_stub", "arm", "seq", "source", "country_target", "title_clean", "summary",
+        lab.select("curl", "keep", "arm", "seq", "source", "country_target", "title_clean", "summary",
                    "published_at", "extracted_at"),
-        "curl", ["is_stub", *ORDER])
-    kept = kept.filter(F.col("curl").isNotNull() & ~F.col("is_stub"))
+        "curl", [~F.col("keep"), *ORDER])
+    # filter on the carried flag, not on the grouping key: a predicate on the
+    # key would be pushed below the aggregate and re-evaluate the URL chain
+    kept = kept.filter(F.col("keep"))
     return kept.select(
         "source", "country_target", F.col("title_clean").alias("title"),
         H.strip_html(F.col("summary")).alias("summary"), F.col("curl").alias("url"),
