@@ -99,3 +99,16 @@ def test_incremental_load_independent_of_session_zone(spark, tmp_dir):
         assert sorted(r.seq for r in spark.read.parquet(path).collect()) == list(range(10))
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_compaction_keeps_newest_per_key(spark, tmp_dir):
+    table = os.path.join(tmp_dir, "t")
+    sink = J.upsert_sink(table, ["url"], ["extracted_at", "seq"])
+    sink(_rows(spark, [_r(1, "u1", 0), _r(2, "u2", 0)]), 0)
+    sink(_rows(spark, [_r(3, "u1", 5)]), 1)
+    J.compact(spark, table, ["url"], ["extracted_at", "seq"])
+    sink(_rows(spark, [_r(4, "u2", 9), _r(5, "u3", 1)]), 2)
+    out = {r.url: r.seq for r in J.read_upserted(spark, table, ["url"], ["extracted_at", "seq"]).collect()}
+    assert out == {"u1": 3, "u2": 4, "u3": 5}
+    J.compact(spark, table, ["url"], ["extracted_at", "seq"])  # re-run after more batches
+    assert {r.url: r.seq for r in J.read_upserted(spark, table, ["url"], ["extracted_at", "seq"]).collect()} == out
