@@ -109,7 +109,8 @@ def q_rss_short_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def newsapi_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = S.event_articles(spark, sf_dir)
+    # JSON encode/decode is per-row CPU work: spread a single-split scan
+    e = S.spread(S.event_articles(spark, sf_dir))
     art = F.struct(F.col("title"), F.col("url"), F.col("summary").alias("description"),
                    F.concat(F.date_format("extracted_at", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z")).alias("publishedAt"))
     err = F.col("country_target") == "error"
@@ -132,7 +133,7 @@ def q_api_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def gdelt_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = S.event_articles(spark, sf_dir)
+    e = S.spread(S.event_articles(spark, sf_dir))
     art = F.struct(F.col("url"),
                    F.when(F.col("seq") % 2 == 0, F.regexp_replace("url", "^https://", "https://m.")).alias("url_mobile"),
                    F.col("title"), F.date_format("seendate", "yyyyMMdd'T'HHmmss'Z'").alias("seendate"),

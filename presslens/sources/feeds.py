@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from presslens.functions import html as H
 from presslens.functions.timefmt import instant_to_utc_ntz, parse_feed_date
+from presslens.operators.rows import keep_rows
 from presslens.operators.running import running_sums
 from presslens.schemas import GDELT_PAYLOAD, NEWSAPI_PAYLOAD
 
@@ -54,9 +55,8 @@ def strip_html_nosep(value: Column) -> Column:
 
 def item_rows(items: DataFrame, extracted_at: Column) -> DataFrame:
     """Article rows of parsed items: entries without a link are dropped."""
-    p = parse_items(items)
-    return (p.filter(F.col("_i.link").isNotNull() & (F.col("_i.link") != ""))
-            .select("*",
+    p = keep_rows(parse_items(items), F.col("_i.link").isNotNull() & (F.col("_i.link") != ""))
+    return (p.select("*",
                     F.col("_i.title").alias("title"),
                     F.col("_i.link").alias("url"),
                     pick_summary(F.col("_i.summary"), F.col("_i.description")).alias("summary"),
@@ -68,8 +68,9 @@ def item_rows(items: DataFrame, extracted_at: Column) -> DataFrame:
 def decode_newsapi(payloads: DataFrame, json_col: str = "payload") -> DataFrame:
     """NewsAPI payload -> article rows: keep status 'ok', one row per article."""
     p = payloads.withColumn("_p", F.from_json(F.col(json_col), NEWSAPI_PAYLOAD))
-    ok = p.filter(F.col("_p.status") == "ok")
-    ex = ok.select("*", F.explode("_p.articles").alias("_a"))
+    # status is checked inside the explode, not as a Filter: a filter on a
+    # parsed field would be pushed below and parse every payload twice
+    ex = p.select("*", F.explode(F.when(F.col("_p.status") == "ok", F.col("_p.articles"))).alias("_a"))
     ts = F.try_to_timestamp(F.col("_a.publishedAt"), F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))
     return ex.select("*", F.col("_a.title").alias("title"), F.col("_a.description").alias("summary"),
                      F.col("_a.url").alias("url"), instant_to_utc_ntz(ts).alias("published_at")).drop("_p", "_a")
