@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from presslens.functions import html as H
 from presslens.functions import urls as U
+from presslens.operators.rows import keep_rows
 
 ANCHOR_RE = r"(?is)<a\b[^>]*>.*?</a>"
 HREF_RE = r"(?is)^<a\b[^>]*?\bhref\s*=\s*\"([^\"]*)\""
@@ -88,7 +89,7 @@ def list_items(pages: DataFrame, item_re: str, fallback_re: str | None = None,
         title = anchor_text(F.regexp_replace("item", r"(?is)^<[^>]*>|</[^>]*>$", ""))
     rows = ex.select("page_id", "pos", F.nullif(title, F.lit("")).alias("title"),
                      F.when(href != "", U.join_url(F.col("page_url"), href)).alias("url"))
-    rows = rows.filter(F.col("title").isNotNull() & F.col("url").isNotNull())
+    rows = keep_rows(rows, F.col("title").isNotNull() & F.col("url").isNotNull())
     if heading_re:
         rows = rows.withColumn("published_at", U.date_from_url(F.col("url")))
     if after_filter:
