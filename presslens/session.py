@@ -29,7 +29,7 @@ def get_spark(app: str = "presslens", cpus: int | str = "*", conf: dict | None =
     builder = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     for key, value in {**DEFAULT_CONF, **(conf or {})}.items():
         builder = builder.config(key, value)
-    builder = builder.config("spark.driver.memory", os.environ.get("PRESSLENS_DRIVER_MEMORY", "8g"))
+    builder = builder.config("spark.driver.memory", os.environ.get("PRESSLENS_DRIVER_MEMORY", "4g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
