@@ -42,7 +42,7 @@ def q_stream_json_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out").select(*COLS)
 
 
-@register("stream_upsert", ids=("T01", "T02", "T04", "T05", "T11", "A20"), oracle=S.with_ctes(f"""
+@register("stream_upsert", ids=("T01", "T02", "T04", "T05", "T11"), oracle=S.with_ctes(f"""
 SELECT {', '.join(COLS)} FROM e
 QUALIFY ROW_NUMBER() OVER (PARTITION BY url ORDER BY extracted_at DESC, seq DESC) = 1
 """, e=EV))
@@ -130,3 +130,17 @@ def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = spark.read.parquet(f"{base}/good").select(F.lit("valid").alias("kind"))
     bad = spark.read.parquet(f"{base}/bad").select(F.lit("quarantined").alias("kind"))
     return good.unionByName(bad).groupBy("kind").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@register("stream_progress", ids=("A20",), oracle=S.with_ctes("""
+SELECT country_target, COUNT(*) AS messages FROM e GROUP BY 1
+""", e=EV))
+def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consumer progress counters: messages per country summed over the
+    per-batch counters that the sink records next to the data."""
+    base = _topic(spark, sf_dir, "progress")
+    msgs = _messages(spark, base).select(*COLS)
+    sink = J.counting_sink(J.upsert_sink(f"{base}/table", ["url"], ["extracted_at", "seq"]), f"{base}/progress")
+    J.run(msgs, f"{base}/ckpt", sink=sink)
+    prog = spark.read.parquet(f"{base}/progress")
+    return prog.groupBy("country_target").agg(F.sum("messages").alias("messages"))

@@ -171,3 +171,51 @@ def with_event_time(df: DataFrame, col: str = "extracted_at", delay: str = "1 ho
     """Watermarks need TIMESTAMP (not NTZ): the UTC wall clock becomes an
     instant ``_et`` (session-zone independent); outputs convert back."""
     return df.withColumn("_et", ntz_to_instant(F.col(col))).withWatermark("_et", delay)
+
+
+def counting_sink(inner: Callable[[DataFrame, int], None], progress_base: str,
+                  key: str = "country_target") -> Callable[[DataFrame, int], None]:
+    """Wrap a foreachBatch sink so every micro-batch also records its
+    message counts per ``key`` (idempotent per batch id, like the data)."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            inner(batch, batch_id)
+            (batch.groupBy(key).agg(F.count(F.lit(1)).alias("messages"))
+                  .withColumn("batch_id", F.lit(batch_id).cast("long"))
+                  .write.mode("overwrite").parquet(f"{progress_base}/batch={batch_id:09d}"))
+        finally:
+            batch.unpersist()
+    return sink
+
+
+class ProgressRecorder:
+    """Collects per-batch progress (rows, rows/s) of the queries of a session
+    through a StreamingQueryListener; one small record per micro-batch."""
+
+    def __init__(self, spark: SparkSession):
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        records = self.records = []
+
+        class _Listener(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                p = event.progress
+                records.append({"id": str(p.id), "batch_id": p.batchId, "rows": p.numInputRows,
+                                "rows_per_second": p.processedRowsPerSecond})
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        self._listener = _Listener()
+        self._spark = spark
+        spark.streams.addListener(self._listener)
+
+    def close(self) -> None:
+        self._spark.streams.removeListener(self._listener)

@@ -112,3 +112,21 @@ def test_compaction_keeps_newest_per_key(spark, tmp_dir):
     assert out == {"u1": 3, "u2": 4, "u3": 5}
     J.compact(spark, table, ["url"], ["extracted_at", "seq"])  # re-run after more batches
     assert {r.url: r.seq for r in J.read_upserted(spark, table, ["url"], ["extracted_at", "seq"]).collect()} == out
+
+
+def test_progress_listener_and_counters(spark, tmp_dir):
+    topic, ckpt = os.path.join(tmp_dir, "topic"), os.path.join(tmp_dir, "ckpt")
+    J.publish(_rows(spark, [_r(i, f"u{i}", i) for i in range(20)]), topic, files=4)
+    rec = J.ProgressRecorder(spark)
+    try:
+        msgs = J.decode(J.read_messages(spark, topic, max_files=1)).drop("value", J.CORRUPT, "body")
+        sink = J.counting_sink(J.versioned_sink(os.path.join(tmp_dir, "t")), os.path.join(tmp_dir, "p"))
+        J.run(msgs, ckpt, sink=sink)
+        import time
+        time.sleep(1)  # listener events are delivered asynchronously
+    finally:
+        rec.close()
+    counters = spark.read.parquet(os.path.join(tmp_dir, "p"))
+    assert counters.agg({"messages": "sum"}).first()[0] == 20
+    assert counters.select("batch_id").distinct().count() == 4
+    assert sum(r["rows"] for r in rec.records) == 20
