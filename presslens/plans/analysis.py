@@ -260,3 +260,24 @@ def q_sentiment_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("*",
                       round_half_up(F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0)), 4).alias("precision"),
                       round_half_up(F.col("tp") / F.nullif(F.col("tp") + F.col("fn"), F.lit(0)), 4).alias("recall"))
+
+
+@register("sentiment_spread", ids=("D06", "D08"), oracle=f"""
+WITH s AS ({SENTIMENT_SQL}),
+c AS (SELECT d.lang AS sourcecountry, COUNT(*) AS docs, COUNT(*) FILTER (WHERE s.hits > 0) AS negative
+      FROM documents d JOIN s USING (doc_id) GROUP BY 1)
+SELECT sourcecountry, docs, negative, round(negative / docs, 6) AS negative_share,
+       round(MAX(negative / docs) OVER () - MIN(negative / docs) OVER (), 6) AS spread
+FROM c
+""")
+def q_sentiment_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sentiment spread across countries: each country's share of negative
+    documents and the max - min of those shares (window over one row per country)."""
+    from pyspark.sql import Window
+    d = S.table(spark, sf_dir, "documents").select(F.col("lang").alias("sourcecountry"),
+                                                    (AN.lexicon_hits(F.col("text")) > 0).alias("neg"))
+    c = d.groupBy("sourcecountry").agg(F.count(F.lit(1)).alias("docs"), F.count_if("neg").alias("negative"))
+    share = F.col("negative") / F.col("docs")
+    everything = Window.partitionBy()
+    return c.select("sourcecountry", "docs", "negative", F.round(share, 6).alias("negative_share"),
+                    F.round(F.max(share).over(everything) - F.min(share).over(everything), 6).alias("spread"))
