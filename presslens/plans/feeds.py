@@ -33,7 +33,8 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.lit(FEED_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), (F.col("doc_id") * ITEM_MINUTES).cast("int"))
     kind = F.col("doc_id") % 4
-    para = F.concat(F.lit("<p>"), F.substring("text", 1, 80), F.lit("</p>"))
+    # the lead paragraph (whole first line of the document) as the teaser
+    para = F.concat(F.lit("<p>"), F.regexp_extract("text", r"^[^\n]*", 0), F.lit("</p>"))
     esc_para = _xml_escape(para)
     link = F.when(F.col("doc_id") % 13 == 0, F.lit("")).otherwise(F.col("url"))
 
@@ -67,7 +68,7 @@ WITH d AS ({S.DOCS_SQL}),
 o AS (SELECT source, arg_min(language, doc_id) AS country_target FROM d GROUP BY 1),
 x AS (SELECT d.*, o.country_target,
              TIMESTAMP '{FEED_EPOCH}' + to_minutes(doc_id * {ITEM_MINUTES}) AS ts,
-             doc_id % 4 AS kind, '<p>' || substr(text, 1, 80) || '</p>' AS para
+             doc_id % 4 AS kind, '<p>' || regexp_extract(text, '^[^\n]*', 0) || '</p>' AS para
       FROM d JOIN o USING (source))
 """
 
