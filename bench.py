@@ -47,7 +47,7 @@ def consume(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     spark = get_spark("bench", cpus, {"spark.sql.shuffle.partitions": str(max(int(cpus), 1) * 2)})
     registry = load_all()
