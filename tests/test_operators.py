@@ -272,3 +272,13 @@ def test_circuit_breaker_across_blocks(spark):
     log = spark.createDataFrame(rows, "sweep date, seq long, status string")
     r = FD.circuit_breaker(log, block_size=7).first()
     assert r.aborted_at == 60 and r.skipped == 140
+
+
+def test_fan_out_country_restriction(spark):
+    cat = spark.createDataFrame([
+        Row(country="DE", country_pos=1, lang="de", gl="DE", ceid=None, langs=None, topics=["WORLD"], queries=[]),
+        Row(country="IT", country_pos=2, lang="it", gl="IT", ceid=None, langs=None, topics=["WORLD"], queries=[]),
+    ], "country string, country_pos int, lang string, gl string, ceid string, langs array<string>, "
+       "topics array<string>, queries array<string>")
+    feeds = CG.fan_out(cat, countries=["IT"]).collect()
+    assert [f.country_target for f in feeds] == ["IT"] and feeds[0].rss.endswith("ceid=IT:it")
