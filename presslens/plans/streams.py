@@ -50,7 +50,7 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Streaming upsert: micro-batches appended idempotently per batch id, read newest-per-url."""
     base = _topic(spark, sf_dir, "upsert")
     msgs = _messages(spark, base).select(*COLS)
-    J.run(msgs, f"{base}/ckpt", sink=J.upsert_sink(f"{base}/table", ["url"], ["extracted_at", "seq"]))
+    J.run(msgs, f"{base}/ckpt", sink=J.upsert_sink(f"{base}/table"))
     return J.read_upserted(spark, f"{base}/table", ["url"], ["extracted_at", "seq"]).select(*COLS)
 
 
@@ -140,7 +140,7 @@ def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     per-batch counters that the sink records next to the data."""
     base = _topic(spark, sf_dir, "progress")
     msgs = _messages(spark, base).select(*COLS)
-    sink = J.counting_sink(J.upsert_sink(f"{base}/table", ["url"], ["extracted_at", "seq"]), f"{base}/progress")
+    sink = J.counting_sink(J.upsert_sink(f"{base}/table"), f"{base}/progress")
     J.run(msgs, f"{base}/ckpt", sink=sink)
     prog = spark.read.parquet(f"{base}/progress")
     return prog.groupBy("country_target").agg(F.sum("messages").alias("messages"))

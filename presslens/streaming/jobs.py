@@ -90,10 +90,11 @@ def versioned_sink(base: str) -> Callable[[DataFrame, int], None]:
     return sink
 
 
-def upsert_sink(base: str, key: list[str], order: list[str]) -> Callable[[DataFrame, int], None]:
+def upsert_sink(base: str) -> Callable[[DataFrame, int], None]:
     """Newest-wins upsert per micro-batch. Appends go to per-batch folders
-    (idempotent); readers resolve newest-per-key with ``read_upserted``. A
-    periodic compaction job rewrites the folders into one version."""
+    (idempotent); readers resolve newest-per-key with ``read_upserted`` and
+    ``compact`` folds the folders into one snapshot (key and order are given
+    there)."""
     return versioned_sink(base)
 
 

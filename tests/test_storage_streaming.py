@@ -57,7 +57,7 @@ def test_stream_restart_processes_only_new_files(spark, tmp_dir):
 
     def run_once():
         msgs = J.decode(J.read_messages(spark, topic + "/*", max_files=1)).drop("value", J.CORRUPT, "body")
-        J.run(msgs, ckpt, sink=J.upsert_sink(table, ["url"], ["extracted_at", "seq"]))
+        J.run(msgs, ckpt, sink=J.upsert_sink(table))
 
     run_once()
     batches_after_first = len(os.listdir(table))
@@ -103,7 +103,7 @@ def test_incremental_load_independent_of_session_zone(spark, tmp_dir):
 
 def test_compaction_keeps_newest_per_key(spark, tmp_dir):
     table = os.path.join(tmp_dir, "t")
-    sink = J.upsert_sink(table, ["url"], ["extracted_at", "seq"])
+    sink = J.upsert_sink(table)
     sink(_rows(spark, [_r(1, "u1", 0), _r(2, "u2", 0)]), 0)
     sink(_rows(spark, [_r(3, "u1", 5)]), 1)
     J.compact(spark, table, ["url"], ["extracted_at", "seq"])
