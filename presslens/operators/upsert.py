@@ -1,17 +1,22 @@
 """Write dispositions on plain parquet.
 
-* ``merge_latest``: upsert on a key; batch rows win over target rows, and within
-  one side the newest row by the order columns wins. One aggregation on the
-  key (map-side partial ``max_by``).
-* ``upsert_table``: versioned directories ``<base>/v=<n>``; a merge writes
-  version n+1 and readers take the greatest version, so a failed or killed
-  write never exposes a half-written table (the old version stays current).
-* ``append``: plain append (duplicates kept), the replacing table's raw form.
+* Keyed tables (upsert on ``url``) are log-structured: every merge appends
+  one batch folder ``<base>/batch=<n>`` (cost grows with the batch, not the
+  table); a read resolves newest-per-key over the latest compacted snapshot
+  plus the batches written after it; ``compact`` folds everything into a new
+  snapshot ``<base>/_compacted/upto=<n>`` so reads stay bounded. Newest is
+  "later batch first, then the order columns" for the batch arm (the batch
+  wins, like a merge) or the order columns alone for the stream arm (newest
+  event wins, like a replacing table read with FINAL). A folder counts only
+  once complete (``_SUCCESS``), so a killed write is invisible and re-running
+  a batch reproduces the same table.
+* ``merge_latest``: the same newest-wins rule for two in-memory DataFrames.
+* ``append``: plain append (duplicates kept).
 * snapshots: ``partitionBy('snapshot')`` and latest-snapshot selection with a
   literal partition filter (static partition pruning).
 
-A table format with MERGE INTO (not available here) would replace the
-version directories; the DataFrame logic stays the same.
+A table format with MERGE INTO would replace the folder bookkeeping; the
+DataFrame logic (one partial ``max_by`` aggregation on the key) stays.
 """
 
 from __future__ import annotations
@@ -30,42 +35,74 @@ def merge_latest(target: DataFrame, batch: DataFrame, key: str = "url",
     return latest_by_key(both, key, ["_side", *order]).drop("_side")
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
+def _children(spark: SparkSession, base: str, prefix: str) -> list[tuple[int, str]]:
+    """(id, path) of completed child folders ``<prefix><id>`` of ``base``."""
     jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(conf)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return []
     out = []
     for st in fs.listStatus(path):
         name = st.getPath().getName()
-        if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name[2:]))
+        if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append((int(name[len(prefix):]), st.getPath().toString()))
     return sorted(out)
 
 
-def read_current(spark: SparkSession, base: str) -> DataFrame | None:
-    versions = _versions(spark, base)
-    if not versions:
+def append_batch(batch: DataFrame, base: str, batch_id: int) -> str:
+    """Write one batch folder (overwrite: a replayed batch id replaces itself)."""
+    path = f"{base}/batch={batch_id:09d}"
+    batch.write.mode("overwrite").parquet(path)
+    return path
+
+
+def read_keyed(spark: SparkSession, base: str, key: str | list[str], order: list[str],
+               batch_wins: bool = True) -> DataFrame | None:
+    """Newest row per key over the latest snapshot and the later batches."""
+    compacted = _children(spark, f"{base}/_compacted", "upto=")
+    upto = compacted[-1][0] if compacted else -1
+    live = [i for i, _ in _children(spark, base, "batch=") if i > upto]
+    parts = []
+    if live:
+        # one scan of the batch folders; the batch id is a partition column,
+        # so the folded and the incomplete folders are pruned at listing
+        b = spark.read.parquet(base).filter(F.col("batch").isin(live))
+        parts.append(b.withColumn("_batch", F.col("batch").cast("long")).drop("batch"))
+    if compacted:
+        parts.append(spark.read.parquet(compacted[-1][1]).withColumn("_batch", F.lit(upto).cast("long")))
+    if not parts:
+        return None
+    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    ordering = (["_batch"] if batch_wins else []) + list(order)
+    return latest_by_key(df, key, ordering).drop("_batch")
+
+
+def compact(spark: SparkSession, base: str, key: str | list[str], order: list[str],
+            batch_wins: bool = True) -> str | None:
+    """Fold all batches written so far into one snapshot; safe to re-run or kill."""
+    batches = _children(spark, base, "batch=")
+    if not batches:
         return None
-    return spark.read.parquet(f"{base}/v={versions[-1]:06d}")
+    upto = batches[-1][0]
+    path = f"{base}/_compacted/upto={upto:09d}"
+    read_keyed(spark, base, key, order, batch_wins).write.mode("overwrite").parquet(path)
+    return path
 
 
 def upsert_table(spark: SparkSession, base: str, batch: DataFrame, key: str = "url",
                  order: tuple[str, ...] = ("extracted_at", "seq")) -> str:
-    """Merge ``batch`` into the table at ``base``; returns the new version path.
-    Re-running the same batch gives the same table (idempotent)."""
-    versions = _versions(spark, base)
-    current = read_current(spark, base)
-    if current is None:
-        merged = latest_by_key(batch, key, list(order))
-    else:
-        merged = merge_latest(current, batch, key, order)
-    nxt = (versions[-1] + 1) if versions else 1
-    path = f"{base}/v={nxt:06d}"
-    merged.write.mode("overwrite").parquet(path)
-    return path
+    """Merge ``batch`` into the keyed table at ``base`` (batch wins per key):
+    appends one batch folder; returns its path."""
+    done = _children(spark, base, "batch=")
+    nxt = done[-1][0] + 1 if done else 0
+    return append_batch(batch, base, nxt)
+
+
+def read_current(spark: SparkSession, base: str, key: str = "url",
+                 order: tuple[str, ...] = ("extracted_at", "seq")) -> DataFrame | None:
+    """The keyed table as of now: newest row per key, later batches winning."""
+    return read_keyed(spark, base, key, list(order), batch_wins=True)
 
 
 def append(batch: DataFrame, path: str) -> None:

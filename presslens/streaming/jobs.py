@@ -23,6 +23,8 @@ from pyspark.sql import types as T
 
 from presslens.functions.timefmt import ntz_to_instant
 from presslens.operators.dedup import latest_by_key
+from presslens.operators.upsert import compact as compact_keyed
+from presslens.operators.upsert import read_keyed
 from presslens.schemas import MESSAGE
 
 CORRUPT = "_corrupt"
@@ -98,49 +100,19 @@ def upsert_sink(base: str) -> Callable[[DataFrame, int], None]:
     return versioned_sink(base)
 
 
-def _children(spark: SparkSession, base: str, prefix: str) -> list[tuple[int, str]]:
-    """(id, path) of completed child folders ``<prefix><id>`` of ``base``."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append((int(name[len(prefix):]), st.getPath().toString()))
-    return sorted(out)
-
-
 def read_upserted(spark: SparkSession, base: str, key: list[str], order: list[str]) -> DataFrame:
-    """Newest row per key: the latest compacted snapshot (if any) plus the
-    batch folders written after it."""
-    compacted = _children(spark, f"{base}/_compacted", "upto=")
-    upto = compacted[-1][0] if compacted else -1
-    paths = [p for i, p in _children(spark, base, "batch=") if i > upto]
-    parts = [spark.read.parquet(p) for p in paths]
-    if compacted:
-        parts.append(spark.read.parquet(compacted[-1][1]))
-    if not parts:
+    """Newest row per key (by the order columns, whatever the arrival order):
+    the latest compacted snapshot plus the batch folders written after it."""
+    out = read_keyed(spark, base, key, order, batch_wins=False)
+    if out is None:
         raise RuntimeError(f"no data under {base}")
-    df = parts[0]
-    for extra in parts[1:]:
-        df = df.unionByName(extra)
-    return latest_by_key(df, key, order)
+    return out
 
 
 def compact(spark: SparkSession, base: str, key: list[str], order: list[str]) -> str | None:
-    """Collapse everything written so far into one newest-per-key snapshot
-    ``_compacted/upto=<last batch id>``; later reads skip the folded batches.
-    Safe to re-run and to kill: a snapshot counts only once complete."""
-    batches = _children(spark, base, "batch=")
-    if not batches:
-        return None
-    upto = batches[-1][0]
-    path = f"{base}/_compacted/upto={upto:09d}"
-    read_upserted(spark, base, key, order).write.mode("overwrite").parquet(path)
-    return path
+    """Collapse everything written so far into one newest-per-key snapshot;
+    later reads skip the folded batches. Safe to re-run and to kill."""
+    return compact_keyed(spark, base, key, order, batch_wins=False)
 
 
 def update_sink(base: str) -> Callable[[DataFrame, int], None]:

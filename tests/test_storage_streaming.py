@@ -27,7 +27,7 @@ def test_upsert_batch_wins_and_is_idempotent(spark, tmp_dir):
     batch = _rows(spark, [_r(3, "u1", 5, "new"), _r(4, "u3", 5)])
     UP.upsert_table(spark, base, batch)
     once = sorted((r.url, r.title) for r in UP.read_current(spark, base).collect())
-    UP.upsert_table(spark, base, batch)  # replay of the same batch
+    UP.upsert_table(spark, base, batch)  # the same batch again
     twice = sorted((r.url, r.title) for r in UP.read_current(spark, base).collect())
     assert once == twice == [("u1", "new"), ("u2", "t"), ("u3", "t")]
 
@@ -130,3 +130,16 @@ def test_progress_listener_and_counters(spark, tmp_dir):
     assert counters.agg({"messages": "sum"}).first()[0] == 20
     assert counters.select("batch_id").distinct().count() == 4
     assert sum(r["rows"] for r in rec.records) == 20
+
+
+def test_batch_upsert_with_compaction(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "keyed")
+    UP.upsert_table(spark, base, _rows(spark, [_r(1, "u1", 50, "old"), _r(2, "u2", 0)]))
+    UP.compact(spark, base, "url", ["extracted_at", "seq"])
+    # a later batch wins even with an older extracted_at (merge semantics)
+    UP.upsert_table(spark, base, _rows(spark, [_r(3, "u1", 5, "new")]))
+    got = sorted((r.url, r.title) for r in UP.read_current(spark, base).collect())
+    assert got == [("u1", "new"), ("u2", "t")]
+    UP.compact(spark, base, "url", ["extracted_at", "seq"])
+    assert sorted((r.url, r.title) for r in UP.read_current(spark, base).collect()) == got
+    assert len(os.listdir(os.path.join(base, "_compacted"))) == 2
