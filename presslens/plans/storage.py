@@ -39,10 +39,12 @@ SELECT {EVENT_COLS} FROM e
 QUALIFY ROW_NUMBER() OVER (PARTITION BY url ORDER BY extracted_at DESC, seq DESC) = 1
 """, e=S.EVENTS_SQL))
 def q_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upsert the stream in two batches into a versioned parquet table keyed by url."""
+    """Upsert the stream in two batches into a keyed table on url (batch log
+    with a compaction in between), read newest-per-url."""
     base = scratch_path(spark, "upsert")
     a, b = _halves(spark, sf_dir)
     UP.upsert_table(spark, base, a)
+    UP.compact(spark, base, "url", ["extracted_at", "seq"])
     UP.upsert_table(spark, base, b)
     return UP.read_current(spark, base)
 
