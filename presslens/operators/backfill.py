@@ -8,6 +8,8 @@ most 20 000 chars) is shuffled, never the HTML.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,12 @@ from presslens.functions import html as H
 from presslens.functions import urls as U
 from presslens.operators.dedup import first_by_key
 
+# --- fixed values (must equal the reference's behaviour) -------------------
+# Characters allowed in the source LIKE pattern: letters, digits, space, the
+# LIKE wildcards and / . -
+SOURCE_LIKE_ALPHABET = r"[A-Za-z0-9 _%/\.\-]+"
+# ---------------------------------------------------------------------------
+
 
 def missing_body(articles: DataFrame, country: str | None = None, source_like: str | None = None,
                  limit: int | None = None, seed_col: Column | None = None) -> DataFrame:
@@ -24,10 +32,12 @@ def missing_body(articles: DataFrame, country: str | None = None, source_like: s
     sample in a deterministic pseudo-random order (md5 of the url)."""
     cond = (F.col("body").isNull() | (F.col("body") == "")) & ~U.should_skip(F.col("url"))
     if country is not None:
-        if not (len(country) == 2 and country.isalpha()):
-            raise ValueError("country must be a 2-letter code")
-        cond = cond & (F.col("country_target") == F.lit(country))
+        if not re.fullmatch(r"[A-Za-z]{2}", country):
+            raise ValueError(f"country must be a 2-letter code, got {country!r}")
+        cond = cond & (F.col("country_target") == F.lit(country.upper()))
     if source_like is not None:
+        if not re.fullmatch(SOURCE_LIKE_ALPHABET, source_like):
+            raise ValueError(f"source pattern has illegal characters: {source_like!r}")
         cond = cond & F.col("source").like(source_like)
     out = articles.filter(cond)
     if limit is not None:

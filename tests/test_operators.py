@@ -282,3 +282,18 @@ def test_fan_out_country_restriction(spark):
        "topics array<string>, queries array<string>")
     feeds = CG.fan_out(cat, countries=["IT"]).collect()
     assert [f.country_target for f in feeds] == ["IT"] and feeds[0].rss.endswith("ceid=IT:it")
+
+
+def test_missing_body_filters_and_validation(spark):
+    from presslens.operators.backfill import missing_body
+    arts = spark.createDataFrame([
+        ("https://news.google.com/x", "Agg", "DE", None), ("https://a.example/1", "Spiegel", "DE", ""),
+        ("https://a.example/2", "Spiegel", "DE", "has body"), ("https://b.example/1", "Corriere", "IT", None)],
+        "url string, source string, country_target string, body string")
+    assert sorted(r.url for r in missing_body(arts).collect()) == ["https://a.example/1", "https://b.example/1"]
+    assert [r.url for r in missing_body(arts, country="de").collect()] == ["https://a.example/1"]
+    assert [r.url for r in missing_body(arts, source_like="Corr%").collect()] == ["https://b.example/1"]
+    assert missing_body(arts, limit=1).count() == 1
+    for bad in ({"country": "DEU"}, {"country": "D'"}, {"source_like": "x' OR '1'='1"}):
+        with pytest.raises(ValueError):
+            missing_body(arts, **bad)
