@@ -34,8 +34,10 @@ NEW_SOURCES_SHOWN = 6
 # countries; 'error' has no code, so the map drops it like an unknown country.
 EVENT_COUNTRY_CODES = (("click", "DE"), ("view", "US"), ("purchase", "IT"), ("signup", "MM"))
 FOCUS_EVENT = ("click", "error", "purchase", "signup", "view")
+# The reference's sparkline looks back 10 minutes; the driver tables are far
+# sparser than a live feed, so the registered query widens it to 3 days.
 ARRIVAL_WINDOW_MIN = 3 * 24 * 60
-RECENT_MIN = 60
+RECENT_MIN = 1  # "recent" = arrivals in the last minute before as_of (reference value)
 
 
 def final_view(spark: SparkSession, sf_dir: str) -> DataFrame:
