@@ -93,20 +93,22 @@ def q_rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("rss_short_scan", ids=("S16", "O06"), oracle=ITEMS_EXPECTED_SQL + f"""
-, k AS (SELECT * FROM x WHERE doc_id % 13 <> 0 AND nullif(regexp_replace(title, '^\\s+|\\s+$', '', 'g'), '') IS NOT NULL
-        QUALIFY ROW_NUMBER() OVER (PARTITION BY source ORDER BY doc_id) <= {FD.SHORT_SCAN_ITEMS})
+, k AS (SELECT * FROM x QUALIFY ROW_NUMBER() OVER (PARTITION BY source ORDER BY doc_id) <= {FD.SHORT_SCAN_ITEMS})
 SELECT source, doc_id, url,
-       CASE WHEN kind IN (0, 1, 2) THEN regexp_replace(regexp_replace(para, '<[A-Za-z/!?][^>]*>', '', 'g'),
-                                                       '^\\s+|\\s+$', '', 'g') END AS summary
+       CASE WHEN kind IN (1, 2) THEN regexp_replace(para, '<[A-Za-z/!?][^>]*>', '', 'g') ELSE '' END AS summary
 FROM k
+WHERE doc_id % 13 <> 0 AND coalesce(regexp_replace(title, '^\\s+|\\s+$', '', 'g'), '') <> ''
 """.replace("\n, k AS", ", k AS"))
 def q_rss_short_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short feed scan per outlet: first 15 items needing title and link, summary tags stripped."""
-    rows = FD.item_rows(feed_items(spark, sf_dir), F.lit(RUN_AT).cast("timestamp_ntz"))
-    rows = rows.filter(F.nullif(F.regexp_replace("title", r"^\s+|\s+$", ""), F.lit("")).isNotNull())
+    """Short feed scan per outlet: the first 15 items of the feed (before any
+    filtering), kept when they have a title and a link; summary = description
+    text with tags removed (no separator), '' when there is none."""
+    p = FD.parse_items(feed_items(spark, sf_dir))
     w = Window.partitionBy("source").orderBy("doc_id")
-    top = rows.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= FD.SHORT_SCAN_ITEMS)
-    return top.select("source", "doc_id", "url", FD.strip_html_nosep(F.col("summary")).alias("summary"))
+    first = p.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= FD.SHORT_SCAN_ITEMS)
+    ok = (F.coalesce(F.col("_i.title"), F.lit("")) != "") & (F.coalesce(F.col("_i.link"), F.lit("")) != "")
+    return first.filter(ok).select("source", "doc_id", F.col("_i.link").alias("url"),
+                                   F.coalesce(FD.strip_html_nosep(F.col("_i.description")), F.lit("")).alias("summary"))
 
 
 def newsapi_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:

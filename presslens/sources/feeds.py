@@ -43,14 +43,14 @@ def published(pub: Column, updated: Column) -> Column:
 
 
 def strip_html_nosep(value: Column) -> Column:
-    """Text of an HTML fragment with tags removed without separator, trimmed."""
+    """Text of an HTML fragment with tags removed without separator (not trimmed)."""
     t = value
     for step in H._invisible_steps():
         t = F.regexp_replace(t, step[1], step[2])
     t = F.regexp_replace(t, H.TAG_RE, "")
     for old, new in H.ENTITIES:
         t = F.replace(t, F.lit(old), F.lit(new))
-    return F.regexp_replace(t, r"^\s+|\s+$", "")
+    return t
 
 
 def item_rows(items: DataFrame, extracted_at: Column) -> DataFrame:
