@@ -157,3 +157,21 @@ def test_join_url(spark):
                                 ("https://h.org/a", "http://o.org/y")], "base string, href string")
     got = [r.u for r in df.select(U.join_url(F.col("base"), F.col("href")).alias("u")).collect()]
     assert got == ["https://h.org/c", "https://h.org/a/c", "https://h.org/c", "https://cdn.org/x", "http://o.org/y"]
+
+
+def test_html_chains_match_sql_twins_on_random_fragments(spark):
+    import random
+    rnd = random.Random(13)
+    parts = ["<p>", "</p>", "<b>", "</b>", "<br>", "<div class='x'>", "</div>", "<script>var a='</p>';</script>",
+             "<style>p{}</style>", "<!-- c -->", "&amp;", "&amp;amp;", "&lt;i&gt;", "&nbsp;", " ", "\n", "Wort",
+             "été", "a < b", "<nav>menu</nav>", "<footer>(c)</footer>", "<article>", "</article>", "<h2>T</h2>",
+             "<a href='/x'>link</a>", "&copy;", "<li>i</li>"]
+    docs = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(300)]
+    df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, h string")
+    got = {r.i: (r.t, r.b) for r in df.select("i", H.strip_html(F.col("h")).alias("t"),
+                                               H.extract_body(F.col("h")).alias("b")).collect()}
+    con = duckdb.connect()
+    con.register("t", df.toPandas())
+    want = {i: (t, b) for i, t, b in con.execute(
+        f"SELECT i, {H.strip_html_sql('h')}, {H.extract_body_sql('h')} FROM t").fetchall()}
+    assert got == want
