@@ -59,7 +59,8 @@ def _windowed_counts(spark, sf_dir, name, duration, key_cols, out_name):
     msgs = J.with_event_time(_messages(spark, base, max_files=None))
     agg = msgs.groupBy(*key_cols, F.window("_et", duration).alias("w")).agg(F.count(F.lit(1)).alias("n"))
     agg = agg.select(*key_cols, instant_to_utc_ntz(F.col("w.start")).alias(out_name), "n")
-    J.run(agg, f"{base}/ckpt", sink=J.update_sink(f"{base}/agg"), output_mode="update")
+    J.run(agg, f"{base}/ckpt", sink=J.update_sink(f"{base}/agg"), output_mode="update",
+          state_partitions=J.default_state_partitions(spark))
     return J.read_updates(spark, f"{base}/agg", [*key_cols, out_name])
 
 
@@ -92,7 +93,8 @@ def q_stream_country_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = _messages(spark, base).filter(F.col("country_target").isNotNull())
     agg = msgs.groupBy("country_target").agg(F.count(F.lit(1)).alias("articles"),
                                              F.max("extracted_at").alias("last_seen"))
-    J.run(agg, f"{base}/ckpt", sink=J.update_sink(f"{base}/agg"), output_mode="update")
+    J.run(agg, f"{base}/ckpt", sink=J.update_sink(f"{base}/agg"), output_mode="update",
+          state_partitions=J.default_state_partitions(spark))
     return J.read_updates(spark, f"{base}/agg", ["country_target"])
 
 
@@ -104,7 +106,8 @@ def q_stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _topic(spark, sf_dir, "first_seen")
     msgs = _messages(spark, base).filter(F.col("source").isNotNull())
     agg = msgs.groupBy("source").agg(F.min("extracted_at").alias("first_seen"))
-    J.run(agg, f"{base}/ckpt", sink=J.update_sink(f"{base}/agg"), output_mode="update")
+    J.run(agg, f"{base}/ckpt", sink=J.update_sink(f"{base}/agg"), output_mode="update",
+          state_partitions=J.default_state_partitions(spark))
     return J.read_updates(spark, f"{base}/agg", ["source"])
 
 
@@ -114,7 +117,7 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _topic(spark, sf_dir, "dedup")
     msgs = J.with_event_time(_messages(spark, base, max_files=None), delay="1 hour")
     dedup = msgs.dropDuplicatesWithinWatermark(["url"]).select("url")
-    J.run(dedup, f"{base}/ckpt", path=f"{base}/out")
+    J.run(dedup, f"{base}/ckpt", path=f"{base}/out", state_partitions=J.default_state_partitions(spark))
     return spark.read.parquet(f"{base}/out")
 
 

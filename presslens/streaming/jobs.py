@@ -66,8 +66,13 @@ def decode(raw: DataFrame) -> DataFrame:
 
 def run(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None,
         output_mode: str = "append", path: str | None = None, available_now: bool = True,
-        processing_time: str | None = None) -> None:
-    """Start a query, drain what is available and stop (or run on an interval)."""
+        processing_time: str | None = None, state_partitions: int | None = None):
+    """Start a query, drain what is available and stop (or run on an interval).
+
+    ``state_partitions`` sizes the state store of a stateful query. Spark
+    fixes it from ``spark.sql.shuffle.partitions`` when the query first starts
+    (and keeps it in the checkpoint), so it is applied only around ``start``.
+    """
     w = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
     if sink is not None:
         w = w.foreachBatch(sink)
@@ -77,12 +82,27 @@ def run(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], Non
         w = w.trigger(availableNow=True)
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
-    q = w.start()
+    spark = stream.sparkSession
+    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    if state_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", previous)
     if available_now:
         q.awaitTermination()
     return q
 
 
+def default_state_partitions(spark: SparkSession) -> int:
+    """One state partition per core of the cluster."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def versioned_sink(base: str) -> Callable[[DataFrame, int], None]:
     """foreachBatch writer: each batch goes to ``base/batch=<id>`` with
     overwrite, so a replayed batch id replaces its own output (exactly-once

@@ -143,3 +143,15 @@ def test_batch_upsert_with_compaction(spark, tmp_dir):
     UP.compact(spark, base, "url", ["extracted_at", "seq"])
     assert sorted((r.url, r.title) for r in UP.read_current(spark, base).collect()) == got
     assert len(os.listdir(os.path.join(base, "_compacted"))) == 2
+
+
+def test_state_partitions_do_not_leak_into_the_session(spark, tmp_dir):
+    topic = os.path.join(tmp_dir, "topic")
+    J.publish(_rows(spark, [_r(i, f"u{i % 2}", i) for i in range(6)]), topic, files=1)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    agg = J.decode(J.read_messages(spark, topic)).groupBy("url").count()
+    J.run(agg, os.path.join(tmp_dir, "ckpt"), sink=J.update_sink(os.path.join(tmp_dir, "agg")),
+          output_mode="update", state_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    state = os.path.join(tmp_dir, "ckpt", "state", "0")
+    assert len([d for d in os.listdir(state) if d.isdigit()]) == 3
