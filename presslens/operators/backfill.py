@@ -79,3 +79,15 @@ def coverage(articles: DataFrame) -> DataFrame:
     return (articles.groupBy("country_target")
             .agg(F.count(F.lit(1)).alias("total"), F.count_if(has).alias("with_body"),
                  F.avg(F.when(has, F.length("body"))).alias("avg_body_len")))
+
+
+def fill_bodies(articles: DataFrame, bodies: DataFrame) -> DataFrame:
+    """Select, enrich and merge in one pass: articles left-joined once with the
+    page bodies; a row gets the page body only when its own body is missing
+    and its URL is fetchable. Same result as ``merge_bodies(articles,
+    enrich(missing_body(articles), bodies))`` with one join instead of two and
+    one read of the article table."""
+    need = (F.col("body").isNull() | (F.col("body") == "")) & ~U.should_skip(F.col("url"))
+    j = articles.join(bodies.select("url", F.col("body").alias("_new_body")), "url", "left")
+    filled = F.when(need & F.col("_new_body").isNotNull(), F.col("_new_body")).otherwise(F.col("body"))
+    return j.select(*[filled.alias("body") if c == "body" else F.col(c) for c in articles.columns])

@@ -257,7 +257,7 @@ def _filled(spark, sf_dir):
 
 
 def _merged(spark, sf_dir):
-    return B.merge_bodies(article_table(spark, sf_dir), _filled(spark, sf_dir))
+    return B.fill_bodies(article_table(spark, sf_dir), B.page_bodies(S.table(spark, sf_dir, "pages")))
 
 
 @register("missing_body", ids=("F08", "F09", "F13"), oracle=_backfill_sql(

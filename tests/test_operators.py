@@ -297,3 +297,18 @@ def test_missing_body_filters_and_validation(spark):
     for bad in ({"country": "DEU"}, {"country": "D'"}, {"source_like": "x' OR '1'='1"}):
         with pytest.raises(ValueError):
             missing_body(arts, **bad)
+
+
+def test_fused_backfill_equals_step_by_step(spark):
+    from presslens.operators import backfill as B
+    arts = spark.createDataFrame([
+        ("https://a/1", "DE", None), ("https://a/2", "DE", "kept"), ("https://a/3", "IT", ""),
+        ("https://news.google.com/x", "US", None), ("https://a/4", None, None)],
+        "url string, country_target string, body string")
+    bodies = spark.createDataFrame([("https://a/1", "B1"), ("https://a/2", "B2"), ("https://a/3", None),
+                                    ("https://news.google.com/x", "G")], "url string, body string")
+    fused = sorted(map(tuple, B.fill_bodies(arts, bodies).collect()), key=str)
+    steps = sorted(map(tuple, B.merge_bodies(arts, B.enrich(B.missing_body(arts), bodies)).collect()), key=str)
+    assert fused == steps
+    assert dict((u, b) for u, _, b in fused) == {"https://a/1": "B1", "https://a/2": "kept", "https://a/3": "",
+                                                 "https://news.google.com/x": None, "https://a/4": None}
