@@ -27,6 +27,9 @@ PAIR_SCHEMA = T.StructType([
 
 
 def _tile_topk(k: int):
+    """Per (query tile, candidate tile) row: all similarities as one matrix
+    product, then the k best candidates per query row, ordered by similarity
+    descending and candidate id ascending (one lexsort along the rows)."""
     def fn(batches):
         for pdf in batches:
             out = []
@@ -37,14 +40,19 @@ def _tile_topk(k: int):
                 c = np.vstack(row.c_vecs).astype(np.float64)
                 sims = q @ c.T
                 sims[q_ids[:, None] == c_ids[None, :]] = -np.inf  # never its own neighbour
-                kk = min(k, len(c_ids))
-                for i in range(len(q_ids)):
-                    order = np.lexsort((c_ids, -sims[i]))[:kk]
-                    keep = order[np.isfinite(sims[i][order])]
-                    out.append(pd.DataFrame({"vec_id": q_ids[i], "neighbour_id": c_ids[keep],
-                                             "similarity": sims[i][keep]}))
+                ids = np.broadcast_to(c_ids, sims.shape)
+                order = np.lexsort((ids, -sims), axis=1)[:, :min(k, len(c_ids))]
+                top_sims = np.take_along_axis(sims, order, axis=1)
+                keep = np.isfinite(top_sims)
+                out.append(pd.DataFrame({
+                    "vec_id": np.repeat(q_ids, order.shape[1])[keep.ravel()],
+                    "neighbour_id": c_ids[order][keep],
+                    "similarity": top_sims[keep],
+                }))
             yield (pd.concat(out, ignore_index=True) if out
-                   else pd.DataFrame({"vec_id": [], "neighbour_id": [], "similarity": []}))
+                   else pd.DataFrame({"vec_id": pd.Series([], dtype="int64"),
+                                      "neighbour_id": pd.Series([], dtype="int64"),
+                                      "similarity": pd.Series([], dtype="float64")}))
     return fn
 
 
