@@ -117,7 +117,8 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _topic(spark, sf_dir, "dedup")
     msgs = J.with_event_time(_messages(spark, base, max_files=None), delay="1 hour")
     dedup = msgs.dropDuplicatesWithinWatermark(["url"]).select("url")
-    J.run(dedup, f"{base}/ckpt", path=f"{base}/out", state_partitions=J.default_state_partitions(spark))
+    J.run(dedup, f"{base}/ckpt", path=f"{base}/out", state_partitions=J.default_state_partitions(spark),
+          state_store="rocksdb")
     return spark.read.parquet(f"{base}/out")
 
 

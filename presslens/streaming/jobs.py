@@ -28,6 +28,8 @@ from presslens.operators.upsert import read_keyed
 from presslens.schemas import MESSAGE
 
 CORRUPT = "_corrupt"
+STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # microsecond timestamps survive the JSON round trip
 JSON_OPTS = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
              "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
@@ -66,12 +68,15 @@ def decode(raw: DataFrame) -> DataFrame:
 
 def run(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None,
         output_mode: str = "append", path: str | None = None, available_now: bool = True,
-        processing_time: str | None = None, state_partitions: int | None = None):
+        processing_time: str | None = None, state_partitions: int | None = None,
+        state_store: str | None = None):
     """Start a query, drain what is available and stop (or run on an interval).
 
     ``state_partitions`` sizes the state store of a stateful query. Spark
     fixes it from ``spark.sql.shuffle.partitions`` when the query first starts
     (and keeps it in the checkpoint), so it is applied only around ``start``.
+    ``state_store='rocksdb'`` keeps large keyed state (e.g. URLs inside a
+    dedup watermark) off the JVM heap; also applied only around ``start``.
     """
     w = stream.writeStream.option("checkpointLocation", checkpoint).outputMode(output_mode)
     if sink is not None:
@@ -83,13 +88,22 @@ def run(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], Non
     elif processing_time:
         w = w.trigger(processingTime=processing_time)
     spark = stream.sparkSession
-    previous = spark.conf.get("spark.sql.shuffle.partitions")
+    overrides = {}
     if state_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        overrides["spark.sql.shuffle.partitions"] = str(state_partitions)
+    if state_store == "rocksdb":
+        overrides[STATE_PROVIDER_KEY] = ROCKSDB_PROVIDER
+    previous = {k: spark.conf.get(k, None) for k in overrides}
+    for k, v in overrides.items():
+        spark.conf.set(k, v)
     try:
         q = w.start()
     finally:
-        spark.conf.set("spark.sql.shuffle.partitions", previous)
+        for k, v in previous.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
     if available_now:
         q.awaitTermination()
     return q

@@ -155,3 +155,16 @@ def test_state_partitions_do_not_leak_into_the_session(spark, tmp_dir):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     state = os.path.join(tmp_dir, "ckpt", "state", "0")
     assert len([d for d in os.listdir(state) if d.isdigit()]) == 3
+
+
+def test_rocksdb_state_store_for_dedup(spark, tmp_dir):
+    topic, ckpt, out = (os.path.join(tmp_dir, x) for x in ("topic", "ckpt", "out"))
+    J.publish(_rows(spark, [_r(i, f"u{i % 4}", i) for i in range(12)]), topic, files=1)
+    before = spark.conf.get(J.STATE_PROVIDER_KEY, None)
+    msgs = J.with_event_time(J.decode(J.read_messages(spark, topic)))
+    J.run(msgs.dropDuplicatesWithinWatermark(["url"]).select("url"), ckpt, path=out,
+          state_partitions=2, state_store="rocksdb")
+    assert spark.conf.get(J.STATE_PROVIDER_KEY, None) == before
+    assert sorted(r.url for r in spark.read.parquet(out).collect()) == ["u0", "u1", "u2", "u3"]
+    files = [f for _, _, fs in os.walk(os.path.join(ckpt, "state")) for f in fs]
+    assert any(f.endswith(".zip") for f in files), files  # RocksDB snapshot files
