@@ -28,3 +28,23 @@ def test_schema_dump(spark):
     dump = schema_dump({t: S.table(spark, SMOKE, t) for t in ("events", "pages")})
     assert ("events", 0, "event_id", "bigint", True) in dump
     assert ("pages", 2, "html", "string", True) in dump
+
+
+def test_cli_list_and_run(spark, capsys, tmp_dir):
+    from presslens.__main__ import main
+    assert main(["list"]) == 0
+    listed = capsys.readouterr().out
+    assert "domain_concentration_cr3" in listed and "neighbours_topk" in listed
+    out = os.path.join(tmp_dir, "cr3")
+    from conftest import SMOKE
+    assert main(["run", "domain_concentration_cr3", "--input", SMOKE, "--output", out]) == 0
+    assert spark.read.parquet(out).count() == 4
+    assert main(["run", "no_such_query", "--input", SMOKE]) == 2
+
+
+def test_latest_snapshot_errors_when_none(spark, tmp_dir):
+    import pytest
+    from presslens.operators import upsert as UP
+    df = spark.createDataFrame([(1, "x_staging"), (2, "other")], "id int, snapshot string")
+    with pytest.raises(RuntimeError):
+        UP.latest_snapshot_name(df, "rss_raw")
