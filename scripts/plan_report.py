@@ -21,6 +21,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from presslens.plans.registry import load_all  # noqa: E402
 from presslens.session import get_spark  # noqa: E402
 
+APPENDIX = ("domain_concentration_cr3", "clean_articles", "top_keywords", "country_pulse_map",
+            "neighbours_topk", "circuit_breaker")
 PY_OPS = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "MapInArrow", "FlatMapGroupsInPandas",
           "FlatMapCoGroupsInPandas", "AggregateInPandas", "WindowInPandas", "PythonUDF")
 
@@ -64,6 +66,16 @@ def main() -> None:
                      round(statistics.median(samples), 3),
                      "yes" if q.oracle else "rows only"))
         print(rows[-1], flush=True)
+    appendix = {}
+    for name in APPENDIX:
+        if name in reg and (not args.names or name in args.names):
+            d = reg[name].build(spark, args.sf)
+            d.collect()  # so the adaptive plan below is the final one
+            text = d._jdf.queryExecution().explainString(
+                spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+            tree, _, details = text.partition("\n\n(1)")
+            scans = [blk for blk in ("(1)" + details).split("\n\n") if " Scan " in blk.split("\n")[0]]
+            appendix[name] = tree.strip() + "\n\n" + "\n\n".join(scans)
     with open(args.out, "w") as fh:
         fh.write(f"# Plan report ({args.sf}, local[8], median of {args.runs} warm runs)\n\n")
         fh.write("Generated by `scripts/plan_report.py` from the executed physical plans (AQE final plans).\n\n")
@@ -71,6 +83,10 @@ def main() -> None:
                  "| sec | oracle |\n|---|---|---|---|---|---|---|---|---|\n")
         for r in rows:
             fh.write("| " + " | ".join(str(x) for x in r) + " |\n")
+        if appendix:
+            fh.write("\n## Physical plans of headline queries (after execution, AQE final plans)\n")
+            for name, text in appendix.items():
+                fh.write(f"\n### {name}\n\n```\n{text.strip()}\n```\n")
     spark.stop()
 
 
