@@ -107,3 +107,39 @@ def fill_from_articles(home: DataFrame, article: DataFrame, fields=("title", "su
     joined = h.join(a, "url", "left")
     return joined.select(*[F.coalesce(F.col(f), F.col(f"_a_{f}")).alias(f) if f in fields else F.col(f)
                            for f in h.columns])
+
+
+RULES_SCHEMA = ("host string, source string, country_target string, item_re string, fallback_re string, "
+                "heading_re string, before_filter int, after_filter int")
+
+
+def extract_by_rules(pages: DataFrame, rules: DataFrame) -> DataFrame:
+    """Outlet plug-ins as data: one rule row per outlet host (item pattern,
+    optional fallback pattern, optional heading pattern, item limits before
+    and after filtering, outlet name and country). Pages are joined to their
+    outlet's rule by host (the rule table is configuration-sized; AQE
+    broadcasts it after measuring it) and every page is parsed with its own
+    patterns. Pages of hosts without a rule produce nothing."""
+    p = pages.select("page_id", F.col("url").alias("page_url"), "html",
+                     U.url_host(F.col("url")).alias("host"))
+    j = p.join(rules, "host")
+    primary = F.regexp_extract_all("html", F.col("item_re"), F.lit(0))
+    fallback = F.regexp_extract_all("html", F.coalesce(F.col("fallback_re"), F.col("item_re")), F.lit(0))
+    items = F.when((F.size(primary) > 0) | F.col("fallback_re").isNull(), primary).otherwise(fallback)
+    items = F.when(F.col("before_filter").isNull(), items).otherwise(F.slice(items, F.lit(1), F.col("before_filter")))
+    ex = j.select("page_id", "page_url", "source", "country_target", "heading_re", "after_filter",
+                  F.posexplode(items).alias("pos", "item"))
+    heading = F.try_element_at(F.regexp_extract_all("item", F.coalesce(F.col("heading_re"), F.lit("(?!)")),
+                                                    F.lit(1)), F.lit(1))
+    whole = F.regexp_replace("item", r"(?is)^<[^>]*>|</[^>]*>$", "")
+    title = anchor_text(F.when(F.col("heading_re").isNull(), whole).otherwise(heading))
+    href = F.regexp_extract(F.regexp_extract("item", r"(?is)(<a\b[^>]*>.*?</a>)", 1), HREF_RE, 1)
+    rows = ex.select("page_id", "source", "country_target", "after_filter", F.col("pos").cast("bigint").alias("pos"),
+                     F.nullif(title, F.lit("")).alias("title"),
+                     F.when(href != "", U.join_url(F.col("page_url"), href)).alias("url"))
+    rows = keep_rows(rows, F.col("title").isNotNull() & F.col("url").isNotNull())
+    w = Window.partitionBy("page_id").orderBy("pos")
+    rows = rows.withColumn("_n", F.row_number().over(w))
+    rows = rows.filter(F.col("after_filter").isNull() | (F.col("_n") <= F.col("after_filter")))
+    return rows.select("page_id", "source", "country_target", "pos", "title", "url",
+                       F.lit("").alias("summary"), U.date_from_url(F.col("url")).alias("published_at"))

@@ -312,3 +312,24 @@ def test_fused_backfill_equals_step_by_step(spark):
     assert fused == steps
     assert dict((u, b) for u, _, b in fused) == {"https://a/1": "B1", "https://a/2": "kept", "https://a/3": "",
                                                  "https://news.google.com/x": None, "https://a/4": None}
+
+
+def test_extract_by_rules_per_outlet(spark):
+    tiles = ('<div class="tile"><h3>Flood relief</h3><a href="/2026/05/01/flood">more</a></div>'
+             '<div class="tile"><a href="/x">no heading</a></div>')
+    lists = "<ul>" + "".join(f'<li><a href="/n/{i}">N{i}</a></li>' for i in range(5)) + "</ul>"
+    pages = spark.createDataFrame([
+        (1, "https://mm.example/", tiles), (2, "https://kz.example/home", lists), (3, "https://other.example/", lists)],
+        "page_id long, url string, html string")
+    rules = spark.createDataFrame([
+        ("mm.example", "Outlet MM", "MM", r'(?is)<div class="tile">.*?</div>', None, r"(?is)<h3[^>]*>(.*?)</h3>",
+         None, None),
+        ("kz.example", "Outlet KZ", "KZ", r'(?is)<div class="card">.*?</div>', r"(?is)<li\b[^>]*>.*?</li>", None,
+         15, 3),
+    ], PG.RULES_SCHEMA)
+    out = PG.extract_by_rules(pages, rules).orderBy("page_id", "pos").collect()
+    assert [(r.source, r.title, r.url) for r in out] == [
+        ("Outlet MM", "Flood relief", "https://mm.example/2026/05/01/flood"),
+        ("Outlet KZ", "N0", "https://kz.example/n/0"), ("Outlet KZ", "N1", "https://kz.example/n/1"),
+        ("Outlet KZ", "N2", "https://kz.example/n/2")]
+    assert out[0].published_at == dt.datetime(2026, 5, 1)
