@@ -123,7 +123,9 @@ def test_progress_listener_and_counters(spark, tmp_dir):
         sink = J.counting_sink(J.versioned_sink(os.path.join(tmp_dir, "t")), os.path.join(tmp_dir, "p"))
         J.run(msgs, ckpt, sink=sink)
         import time
-        time.sleep(1)  # listener events are delivered asynchronously
+        deadline = time.time() + 30  # listener events are delivered asynchronously
+        while sum(r["rows"] for r in rec.records) < 20 and time.time() < deadline:
+            time.sleep(0.2)
     finally:
         rec.close()
     counters = spark.read.parquet(os.path.join(tmp_dir, "p"))
