@@ -11,7 +11,6 @@ from presslens.plans.registry import register
 from presslens.session import scratch_path
 from presslens.sources import feeds as FD
 from presslens.sources import tables as S
-from presslens.functions import text as TX
 
 RUN_AT = "2024-02-01 00:00:00"
 FEED_EPOCH = "2024-01-01 00:00:00"

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from presslens.functions import text as T
 from presslens.operators.dedup import latest_by_key
 from presslens.operators.topk import top_k_per_group
 from presslens.plans.registry import register

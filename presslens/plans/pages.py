@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.functions import html as H
-from presslens.functions import text as T
 from presslens.functions import urls as U
 from presslens.functions.timefmt import round_half_up, round_half_up_sql
 from presslens.operators import backfill as B
