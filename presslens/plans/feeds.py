@@ -26,8 +26,7 @@ def _xml_escape(c):
 def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One RSS <item> document per document row. Date/summary layout rotates
     with doc_id: RFC-822 with weekday / RFC-822 numeric zone / ISO 'updated' /
-    no date; summary / description / empty summary + description / none; every
-    13th item has an empty link."""
+    no date; summary / description / empty summary + description / none."""
     d = S.document_articles(spark, sf_dir, with_text=True)
     ts = F.lit(FEED_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), (F.col("doc_id") * ITEM_MINUTES).cast("int"))
@@ -35,7 +34,7 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the lead paragraph (whole first line of the document) as the teaser
     para = F.concat(F.lit("<p>"), F.regexp_extract("text", r"^[^\n]*", 0), F.lit("</p>"))
     esc_para = _xml_escape(para)
-    link = F.when(F.col("doc_id") % 13 == 0, F.lit("")).otherwise(F.col("url"))
+    link = F.col("url")
 
     def el(name, value):
         return F.concat(F.lit(f"<{name}>"), value, F.lit(f"</{name}>"))
@@ -77,7 +76,7 @@ SELECT doc_id, source, country_target, nullif(regexp_replace(title, '^\\s+|\\s+$
        CASE WHEN kind IN (0, 1, 2) THEN para END AS summary,
        CASE WHEN kind IN (0, 1, 2) THEN date_trunc('second', ts) END AS published_at,
        TIMESTAMP '{RUN_AT}' AS extracted_at
-FROM x WHERE doc_id % 13 <> 0
+FROM x
 """)
 def q_rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feed items -> article rows: XML decode, first parseable date (RFC-822 or
@@ -96,7 +95,7 @@ def q_rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT source, doc_id, url,
        CASE WHEN kind IN (1, 2) THEN regexp_replace(para, '<[A-Za-z/!?][^>]*>', '', 'g') ELSE '' END AS summary
 FROM k
-WHERE doc_id % 13 <> 0 AND coalesce(regexp_replace(title, '^\\s+|\\s+$', '', 'g'), '') <> ''
+WHERE coalesce(regexp_replace(title, '^\\s+|\\s+$', '', 'g'), '') <> ''
 """.replace("\n, k AS", ", k AS"))
 def q_rss_short_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Short feed scan per outlet: the first 15 items of the feed (before any
