@@ -64,8 +64,14 @@ def tfidf(docs: DataFrame, n_docs: int, id_col: str = "doc_id", text_col: str =
           min_len: int = 3) -> DataFrame:
     """L2-normalised TF-IDF weights (doc, term, weight), idf = ln((N+1)/(df+1)).
     ``n_docs`` is one scalar counted beforehand. Terms are whole-text words of
-    at least ``min_len`` letters."""
-    toks = docs.select(id_col, F.explode(words(F.col(text_col))).alias("term")).filter(F.length("term") >= min_len)
+    at least ``min_len`` letters.
+
+    Documents are hash-partitioned by id once: the per-document term counts
+    and the per-document norm then need no further exchange (shipping the
+    text once is cheaper than shipping (doc, term) pairs and re-shuffling
+    them by document); only the document frequencies shuffle by term."""
+    by_doc = docs.select(id_col, text_col).repartition(id_col)
+    toks = by_doc.select(id_col, F.explode(words(F.col(text_col))).alias("term")).filter(F.length("term") >= min_len)
     tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     w = tf.join(df, "term").withColumn("w", F.col("tf") * F.log((F.lit(n_docs) + 1) / (F.col("df") + 1)))

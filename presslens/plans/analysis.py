@@ -73,7 +73,7 @@ FROM w
 """)
 def q_tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One L2-normalised TF-IDF vector per article (sparse: doc, term, weight) over whole texts."""
-    d = S.table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = S.table(spark, sf_dir, "documents", spread_rows=False).select("doc_id", "text")
     n_docs = d.count()  # one scalar
     return AN.tfidf(d, n_docs).withColumn("weight", F.round("weight", 6))
 
