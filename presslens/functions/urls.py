@@ -99,7 +99,9 @@ def canonical_url(url: Column) -> Column:
             _encode_component(_decode_component(_after_eq(p))),
         ),
     )
-    q = F.array_join(encoded, "&")
+    # the pair-by-pair rewrite (lambda functions, evaluated without codegen)
+    # only runs for URLs that have a query string
+    q = F.when(query != "", F.array_join(encoded, "&")).otherwise(F.lit(""))
     bad_brackets = (F.instr(netloc, "[") > 0) != (F.instr(netloc, "]") > 0)
     ok = (
         url.isNotNull()
