@@ -61,3 +61,13 @@ def headline_sql(x: str) -> str:
 
 def clean_title_sql(x: str) -> str:
     return f"nullif(regexp_replace({x}, '^\\s+|\\s+$', '', 'g'), '')"
+
+
+def explode_tokens(df, keep: list[str], title: str = "title", unicode: bool = False):
+    """One row per keyword token of ``title`` (same rule as ``tokens``), with
+    the ``keep`` columns. Exploding first and filtering rows keeps the work in
+    generated code (array lambdas are evaluated without codegen)."""
+    raw = df.select(*keep, F.explode(F.split(F.col(title), UNICODE_SPLIT if unicode else ASCII_SPLIT)).alias("_t"))
+    tok = F.lower(F.col("_t"))
+    return (raw.select(*keep, tok.alias("token"))
+               .filter((F.length("token") >= MIN_TOKEN_LEN) & ~F.col("token").isin(*STOPWORDS)))

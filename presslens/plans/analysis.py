@@ -144,7 +144,7 @@ def q_attention_asymmetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _headline_tokens(spark, sf_dir):
     d = S.document_articles(spark, sf_dir).filter(F.col("title").isNotNull())
-    return d.select("sourcecountry", "source", F.explode(TX.tokens(F.col("title"))).alias("token"))
+    return TX.explode_tokens(d, ["sourcecountry", "source"])
 
 
 TOKENS_SQL = f"""

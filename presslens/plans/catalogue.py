@@ -42,7 +42,7 @@ def q_outlet_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = S.document_articles(spark, sf_dir).filter(F.col("title").isNotNull())
-    toks = d.select("source", F.explode(TX.tokens(F.col("title"))).alias("token"))
+    toks = TX.explode_tokens(d, ["source"])
     counts = toks.groupBy("source", "token").agg(F.count(F.lit(1)).alias("n"))
     w = Window.partitionBy("source").orderBy(F.desc("n"), F.asc("token"))
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= N_TOPICS + N_QUERIES)

@@ -175,3 +175,13 @@ def test_html_chains_match_sql_twins_on_random_fragments(spark):
     want = {i: (t, b) for i, t, b in con.execute(
         f"SELECT i, {H.strip_html_sql('h')}, {H.extract_body_sql('h')} FROM t").fetchall()}
     assert got == want
+
+
+def test_explode_tokens_equals_array_tokens(spark):
+    df = spark.createDataFrame([(1, "Größenwahn beherrscht Deutschland, which about Today"), (2, ""), (3, "a b c")],
+                               "id int, title string")
+    for uni in (False, True):
+        rows = sorted((r.id, r.token) for r in T.explode_tokens(df, ["id"], unicode=uni).collect())
+        arr = sorted((r.id, t) for r in df.select("id", T.tokens(F.col("title"), uni).alias("ts")).collect()
+                     for t in r.ts)
+        assert rows == arr
