@@ -45,7 +45,7 @@ def test_canonical_url_matches_sql_twin_on_random_urls(spark):
     keys = ["q", "utm_source", "UTM_Medium", "ref", "at_x", "page", "fbclid", "", "k"]
     vals = ["1", "", "a+b", "%20", "%zz", "x=y", "caf%C3%A9", "~*", "a%2Bb"]
     urls = []
-    for _ in range(300):
+    for _ in range(1500):
         scheme = rnd.choice(["http", "https", "HTTP", "ftp"])
         path = rnd.choice(["", "/", "/a", "/a/b/", "/a;p/b;q", "//x//"])
         pairs = [f"{rnd.choice(keys)}={rnd.choice(vals)}" if rnd.random() < .8 else rnd.choice(keys)
