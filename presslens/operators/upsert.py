@@ -90,10 +90,10 @@ def compact(spark: SparkSession, base: str, key: str | list[str], order: list[st
     return path
 
 
-def upsert_table(spark: SparkSession, base: str, batch: DataFrame, key: str = "url",
-                 order: tuple[str, ...] = ("extracted_at", "seq")) -> str:
-    """Merge ``batch`` into the keyed table at ``base`` (batch wins per key):
-    appends one batch folder; returns its path."""
+def upsert_table(spark: SparkSession, base: str, batch: DataFrame) -> str:
+    """Merge ``batch`` into the keyed table at ``base``: append it as the next
+    batch folder (the key and order are applied by readers and compaction,
+    where a later batch wins per key); returns the folder."""
     done = _children(spark, base, "batch=")
     nxt = done[-1][0] + 1 if done else 0
     return append_batch(batch, base, nxt)
