@@ -97,8 +97,13 @@ def _spark_chain(c: Column, steps) -> Column:
         elif kind == "trim":
             c = F.regexp_replace(c, r"^\s+|\s+$", "")
         elif kind == "entities":
+            # most texts have no entity left to decode (always after the first
+            # pass of a double decode): skip the replace passes for them; the
+            # shared input is evaluated once (common subexpression)
+            decoded = c
             for old, new in ENTITIES:
-                c = F.replace(c, F.lit(old), F.lit(new))
+                decoded = F.replace(decoded, F.lit(old), F.lit(new))
+            c = F.when(F.instr(c, "&") > 0, decoded).otherwise(c)
     return c
 
 
