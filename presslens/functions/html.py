@@ -98,15 +98,20 @@ def _spark_chain(c: Column, steps) -> Column:
             c = F.regexp_replace(c, r"^\s+|\s+$", "")
         elif kind == "entities":
             # most texts have no entity left to decode (always after the first
-            # pass of a double decode): skip the replace passes for them; the
-            # shared input is evaluated once (common subexpression)
-            decoded = c
-            for old, new in ENTITIES:
-                decoded = F.replace(decoded, F.lit(old), F.lit(new))
-            c = F.when(F.instr(c, "&") > 0, decoded).otherwise(c)
+            # pass of a double decode): the replace passes are skipped for
+            # them; the shared input is evaluated once (common subexpression)
+            c = decode_entities(c)
     return c
 
 
+def decode_entities(c: Column) -> Column:
+    """One level of entity decoding (fixed table), skipped when there is no '&'."""
+    decoded = c
+    for old, new in ENTITIES:
+        decoded = F.replace(decoded, F.lit(old), F.lit(new))
+    return F.when(F.instr(c, "&") > 0, decoded).otherwise(c)
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 

@@ -48,9 +48,7 @@ def strip_html_nosep(value: Column) -> Column:
     for step in H._invisible_steps():
         t = F.regexp_replace(t, step[1], step[2])
     t = F.regexp_replace(t, H.TAG_RE, "")
-    for old, new in H.ENTITIES:
-        t = F.replace(t, F.lit(old), F.lit(new))
-    return t
+    return H.decode_entities(t)
 
 
 def item_rows(items: DataFrame, extracted_at: Column) -> DataFrame:

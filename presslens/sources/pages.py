@@ -29,9 +29,7 @@ def anchor_text(a: Column) -> Column:
     """get_text(strip=True): text nodes trimmed and concatenated, entities decoded."""
     t = F.regexp_replace(a, r"\s*<[A-Za-z/!?][^>]*>\s*", "")
     t = F.regexp_replace(t, r"^\s+|\s+$", "")
-    for old, new in H.ENTITIES:
-        t = F.replace(t, F.lit(old), F.lit(new))
-    return t
+    return H.decode_entities(t)
 
 
 def anchors(pages: DataFrame) -> DataFrame:
