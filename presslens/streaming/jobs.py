@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presslens.functions.timefmt import ntz_to_instant
-from presslens.operators.dedup import latest_by_key
 from presslens.operators.upsert import compact as compact_keyed
 from presslens.operators.upsert import read_keyed
 from presslens.schemas import MESSAGE
@@ -150,16 +149,23 @@ def compact(spark: SparkSession, base: str, key: list[str], order: list[str]) ->
 
 
 def update_sink(base: str) -> Callable[[DataFrame, int], None]:
-    """Sink for update-mode aggregates: each batch's changed rows tagged with the batch id."""
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("overwrite").parquet(f"{base}/batch={batch_id:09d}")
-    return sink
+    """Sink for update-mode aggregates: each batch's changed rows in its own
+    batch folder (the folder id orders the updates)."""
+    return versioned_sink(base)
 
 
 def read_updates(spark: SparkSession, base: str, key: list[str]) -> DataFrame:
-    """Current value per key of an update-mode aggregate: the row of the latest batch."""
-    df = spark.read.parquet(base).drop("batch")
-    return latest_by_key(df, key, ["_batch"]).drop("_batch")
+    """Current value per key of an update-mode aggregate: the row from the
+    latest batch (or compacted snapshot) that updated the key."""
+    out = read_keyed(spark, base, key, [], batch_wins=True)
+    if out is None:
+        raise RuntimeError(f"no data under {base}")
+    return out
+
+
+def compact_updates(spark: SparkSession, base: str, key: list[str]) -> str | None:
+    """Fold the update folders into one snapshot of current values."""
+    return compact_keyed(spark, base, key, [], batch_wins=True)
 
 
 def quarantine_sink(good_base: str, bad_base: str) -> Callable[[DataFrame, int], None]:

@@ -170,3 +170,14 @@ def test_rocksdb_state_store_for_dedup(spark, tmp_dir):
     assert sorted(r.url for r in spark.read.parquet(out).collect()) == ["u0", "u1", "u2", "u3"]
     files = [f for _, _, fs in os.walk(os.path.join(ckpt, "state")) for f in fs]
     assert any(f.endswith(".zip") for f in files), files  # RocksDB snapshot files
+
+
+def test_update_sink_compaction(spark, tmp_dir):
+    base = os.path.join(tmp_dir, "agg")
+    sink = J.update_sink(base)
+    sink(spark.createDataFrame([("DE", 1), ("US", 2)], "c string, n long"), 0)
+    sink(spark.createDataFrame([("DE", 5)], "c string, n long"), 1)
+    J.compact_updates(spark, base, ["c"])
+    sink(spark.createDataFrame([("US", 7), ("IT", 1)], "c string, n long"), 2)
+    got = {r.c: r.n for r in J.read_updates(spark, base, ["c"]).collect()}
+    assert got == {"DE": 5, "US": 7, "IT": 1}
