@@ -48,3 +48,8 @@ def test_flagship_reads_only_the_url_column(plans):
 def test_live_queries_use_scalar_subqueries_not_global_windows(plans):
     for name in ("arrivals_per_second", "country_pulse"):
         assert "Subquery" in plans[name], name
+
+
+def test_skip_hosts_reach_the_parquet_scan(plans):
+    assert re.search(r"PushedFilters: \[[^\]]*Not\(StringStartsWith\(url,https://news\.google\.com/\)\)",
+                     plans["missing_body"])
