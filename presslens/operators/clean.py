@@ -33,8 +33,9 @@ def clean(raw: DataFrame) -> DataFrame:
 
     No filter runs before the aggregation: a filter on the canonical URL would
     be pushed below the projection and evaluate the whole URL expression
-    twice. Instead stubs sort after every non-stub row of their URL, and a URL
-    whose winner is a stub (or whose key is NULL) is dropped afterwards.
+    twice. Instead rows that are not kept (stubs, and the NULL-URL group) sort
+    after every kept row of their URL, and a URL whose winner is not kept is
+    dropped afterwards, so a stub never reserves its URL.
     """
     lab = label(raw).withColumn("keep", F.col("curl").isNotNull() & ~F.col("is_stub"))
     kept = first_by_key(
