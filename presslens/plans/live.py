@@ -268,21 +268,22 @@ def q_country_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 TICK = "15 minutes"
 
 
-@register("refresh_delta", ids=("W07",), oracle=_sql("""
-, firsts AS (SELECT url, MIN(extracted_at) AS t FROM f GROUP BY 1),
+@register("refresh_delta", ids=("W07",), oracle=S.with_ctes("""
+, firsts AS (SELECT url, MIN(extracted_at) AS t FROM e GROUP BY 1),
 ticks AS (SELECT time_bucket(INTERVAL 1 DAY, t) AS tick, COUNT(*) AS n FROM firsts GROUP BY 1),
 tot AS (SELECT tick, CAST(SUM(n) OVER (ORDER BY tick) AS BIGINT) AS rows_loaded FROM ticks)
 SELECT tick, rows_loaded,
        CASE WHEN rows_loaded - LAG(rows_loaded) OVER (ORDER BY tick) > 0
             THEN rows_loaded - LAG(rows_loaded) OVER (ORDER BY tick) END AS delta
 FROM tot
-"""))
+""", e=S.EVENTS_SQL))
 def q_refresh_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the newest-version view at each daily refresh and the increase
     since the previous refresh (shown only when positive). The view at time t
-    holds one row per URL first seen by t; the unpartitioned windows run on one
-    row per refresh tick."""
-    firsts = final_view(spark, sf_dir).groupBy("url").agg(F.min("extracted_at").alias("t"))
+    holds one row per URL whose first message arrived by t, so the first
+    arrival per URL comes from the raw stream (one partial aggregation); the
+    unpartitioned windows run on one row per refresh tick."""
+    firsts = S.event_articles(spark, sf_dir).groupBy("url").agg(F.min("extracted_at").alias("t"))
     ticks = firsts.groupBy(F.window("t", "1 day").start.alias("tick")).agg(F.count(F.lit(1)).alias("n"))
     w = Window.orderBy("tick")
     tot = ticks.withColumn("rows_loaded", F.sum("n").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("bigint"))
