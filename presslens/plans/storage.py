@@ -131,3 +131,35 @@ def q_topic_trial_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 1 000-article trial sample in a seeded pseudo-random order (a sampling operator)."""
     d = S.document_articles(spark, sf_dir).select("doc_id", "url", "title")
     return d.orderBy(F.md5("url"), "doc_id").limit(TRIAL_SAMPLE)
+
+
+AGGREGATOR_SOURCE = "Google News%"
+AGGREGATOR_URL = "https://news.google.com/"
+
+
+@register("extraction_samples", ids=("W05", "W06", "F13", "A21"), oracle=S.with_ctes(f"""
+, pub AS (
+  SELECT sourcecountry AS country_target, source, url, doc_id FROM d
+  WHERE url <> '' AND source NOT LIKE '{AGGREGATOR_SOURCE}'
+  QUALIFY row_number() OVER (PARTITION BY sourcecountry, source ORDER BY md5(url), doc_id) = 1),
+pub5 AS (SELECT * FROM pub QUALIFY row_number() OVER (PARTITION BY country_target ORDER BY md5(url), doc_id) <= 5),
+agg2 AS (
+  SELECT sourcecountry AS country_target, source, url, doc_id FROM d WHERE starts_with(url, '{AGGREGATOR_URL}')
+  QUALIFY row_number() OVER (PARTITION BY sourcecountry ORDER BY md5(url), doc_id) <= 2)
+SELECT country_target, source, url, 'publisher' AS kind FROM pub5
+UNION ALL SELECT country_target, source, url, 'aggregator' FROM agg2
+""", d=S.DOCS_SQL))
+def q_extraction_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples for the extraction comparison: one seeded-random publisher
+    article per (country, source), then 5 per country; plus 2 aggregator
+    articles per country (aggregator URL prefix)."""
+    d = S.document_articles(spark, sf_dir).select(
+        F.col("sourcecountry").alias("country_target"), "source", "url", "doc_id").withColumn("_h", F.md5("url"))
+    pub = d.filter((F.col("url") != "") & ~F.col("source").like(AGGREGATOR_SOURCE))
+    one = first_by_key(pub, ["country_target", "source"], ["_h", "doc_id"])
+    pub5 = top_k_per_group(one, ["country_target"], [F.col("_h"), F.col("doc_id")], 5)
+    agg = top_k_per_group(d.filter(F.col("url").startswith(AGGREGATOR_URL)), ["country_target"],
+                          [F.col("_h"), F.col("doc_id")], 2)
+    cols = ["country_target", "source", "url"]
+    return (pub5.select(*cols, F.lit("publisher").alias("kind"))
+            .unionByName(agg.select(*cols, F.lit("aggregator").alias("kind"))))
