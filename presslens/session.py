@@ -7,6 +7,7 @@ for tests, benches and scripts; library code only ever receives a session.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -39,18 +40,17 @@ def get_spark(app: str = "presslens", cpus: int | str = "*", conf: dict | None =
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is respected
-    as-is. Only when it is unset (local tests) do we create a scratch
-    folder and register it.
+    The setting is respected as it is. Where it is unset a scratch folder is
+    made, but only if driver and executors are one process (``local[...]``);
+    on a cluster a machine-local folder would lose rows, so that raises.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="presslens-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    try:
         spark.sparkContext.setCheckpointDir(path)  # for Dataset.checkpoint()
-    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
-        pass
     return path
 
 
