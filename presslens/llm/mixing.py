@@ -49,16 +49,15 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
         running_totals(weighed, [], order, {"caps_before": "cap", "weights_before": "weight"}, "nth", "filling"), "filled"
     )
     whole = filling.agg(F.sum("source_size").alias("w_size"), F.sum("weight").alias("w_weight"))
-    levels = filling.join(F.broadcast(whole)).select(
-        ((F.col("w_size") - F.col("caps_before")).cast("double") / (F.col("w_weight") - F.col("weights_before"))).alias("level")
-    )
-    level = levels.agg(F.max("level").alias("level"))
-    target = F.least(F.col("cap").cast("double"), F.col("level") * F.col("weight"))
+    size, weights_all = whole.select("w_size").scalar(), whole.select("w_weight").scalar()
+    level = filling.agg(
+        F.max((size - F.col("caps_before")).cast("double") / (weights_all - F.col("weights_before"))).alias("level")
+    ).scalar()
+    target = F.least(F.col("cap").cast("double"), level * F.col("weight"))
     # nullif: a source without words has no rate to expect
     rate = F.floor(F.col("target") / F.nullif(F.col("source_size").cast("double"), F.lit(0.0)) * UNIT)
     return (
-        filling.join(F.broadcast(level))
-        .withColumn("target", target)
+        filling.withColumn("target", target)
         .select("source", "source_size", "target", F.coalesce(rate, F.lit(0)).cast("decimal(20,0)").alias("rate"))
     )
 

@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import chat, exact_dedup, mixing, sharding
+from presslens.llm import chat, exact_dedup, mixing, packing, sharding, simhash, token_files
+from presslens.llm.tokens import vocabulary
 
 SHARDS = 16
+VOCABULARY = vocabulary("word_bpe_49k.json")
+PACKING_END, FILE_END = 1, 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +24,15 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(_table(spark, sf_dir, "documents"), VOCABULARY, PACKING_END)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read(token_files.write(_table(spark, sf_dir, "documents"), VOCABULARY, FILE_END))
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"),
@@ -38,6 +50,12 @@ def op8_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_copies(_table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("bits"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copies(_table(spark, sf_dir, "documents"))
 
@@ -45,8 +63,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
+        "op3_best_fit_packing": op3_best_fit_packing,
+        "op5_token_files": op5_token_files,
         "op6_chat_formatting": op6_chat_formatting,
         "op8_hash_tree_sharding": op8_hash_tree_sharding,
+        "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_exact_dedup": op10_exact_dedup,
     }
 
