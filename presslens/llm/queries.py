@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import chat, exact_dedup, mixing, packing, sharding, simhash, token_files
+from presslens.llm import chat, exact_dedup, mixing, packing, sharding, simhash, token_files, topk_search, toxicity
 from presslens.llm.tokens import vocabulary
 
 SHARDS = 16
@@ -29,6 +29,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(token_files.write(_table(spark, sf_dir, "documents"), VOCABULARY, FILE_END))
 
@@ -44,6 +48,10 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.formatted(given.unionByName(probe)))
 
 
+def op7_kd_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op8_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     tree, grown = sharding.even_tree(SHARDS), sharding.even_tree(SHARDS + 1)
     placed = sharding.shards(_table(spark, sf_dir, "documents"), tree, grown)
@@ -64,8 +72,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
         "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_toxicity": op4_toxicity,
         "op5_token_files": op5_token_files,
         "op6_chat_formatting": op6_chat_formatting,
+        "op7_kd_tree_top_k": op7_kd_tree_top_k,
         "op8_hash_tree_sharding": op8_hash_tree_sharding,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_exact_dedup": op10_exact_dedup,
@@ -76,5 +86,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_source_mixing": mixing.ORACLE,
         "op6_chat_formatting": chat.ORACLE,
+        "op7_kd_tree_top_k": topk_search.ORACLE,
         "op10_exact_dedup": exact_dedup.ORACLE,
     }
