@@ -101,25 +101,25 @@ def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_co
     """The mixed table: every row of ``df`` as often as the mix takes it.
 
     Rows that agree in id, source and text are interchangeable; their copies
-    are dealt to them in turn.
+    are dealt to them evenly. The texts are shuffled once.
     """
-    i, s, g, k, c = (unused(df, x) for x in ("_id", "_source", "_digest", "_turn", "_copies"))
-    taken = copies(df, id_col, text_col, source_col, **plan)
-    twins = Window.partitionBy(i, s, g)
-    left = (
-        df.withColumn(i, F.coalesce(F.col(id_col).cast("string"), F.lit("")))
-        .withColumn(s, F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit("")))
-        .withColumn(g, F.xxhash64(F.col(text_col)))
-        .withColumn(k, F.row_number().over(twins.orderBy(F.xxhash64(*df.columns))))
+    i, s, g, n, c = (unused(df, x) for x in ("_id", "_source", "_digest", "_rows", "_copies"))
+
+    def name(column: str) -> Column:
+        return F.coalesce(F.concat(F.lit("="), F.col(column).cast("string")), F.lit(""))
+
+    taken = copies(df, id_col, text_col, source_col, **plan).select(
+        name("doc_id").alias(i), name("source").alias(s), F.col("digest").alias(g), F.col("copies").alias(c)
     )
-    right = taken.select(
-        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(i),
-        F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")).alias(s),
-        F.col("digest").alias(g),
-        F.col("copies").alias(c),
-    ).withColumn(k, F.row_number().over(twins.orderBy(F.col(c).desc())))
-    chosen = left.join(right.filter(F.col(c) > 0), [i, s, g, k])
-    return chosen.withColumn(k, F.explode(F.sequence(F.lit(1).cast("long"), F.col(c)))).select(*df.columns)
+    totals = taken.groupBy(i, s, g).agg(F.sum(c).alias(c), F.count(F.lit(1)).alias(n)).filter(F.col(c) > 0)
+    rows = df.withColumn(i, name(id_col)).withColumn(s, name(source_col)).withColumn(g, F.xxhash64(F.col(text_col)))
+    chosen = rows.join(totals, [i, s, g])
+    alone = chosen.filter(F.col(n) == 1)
+    nth = F.row_number().over(Window.partitionBy(i, s, g).orderBy(F.xxhash64(*df.columns)))
+    share = F.expr(f"{c} div {n}") + F.when(nth <= F.col(c) % F.col(n), 1).otherwise(0)
+    twins = chosen.filter(F.col(n) > 1).withColumn(c, share).filter(F.col(c) > 0)
+    out = alone.unionByName(twins)
+    return out.withColumn(c, F.explode(F.sequence(F.lit(1).cast("long"), F.col(c)))).select(*df.columns)
 
 
 ORACLE = f"""

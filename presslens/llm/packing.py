@@ -35,10 +35,11 @@ from presslens.llm.shared import materialise, running_totals
 from presslens.llm.tokens import encoder
 
 CAPACITY = 4096
+END_ID = 1
 
 
 def pieces(
-    df: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
+    df: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False
 ) -> DataFrame:
     """Documents cut into pieces of at most ``capacity`` ids: doc_id, piece, start, length, ids_crc32 (and ids)."""
     docs = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -201,7 +202,7 @@ def place(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return numbered.mapInArrow(look_up, f"{kinds}, sequence_id bigint, offset bigint")
 
 
-def pack(df: DataFrame, vocabulary: str, end_id: int, capacity: int = CAPACITY, with_ids: bool = False, **columns) -> DataFrame:
+def pack(df: DataFrame, vocabulary: str, end_id: int = END_ID, capacity: int = CAPACITY, with_ids: bool = False, **columns) -> DataFrame:
     """Pack whole documents: one row per piece with its sequence_id and offset."""
     cut = materialise(pieces(df, vocabulary, end_id, capacity, with_ids=with_ids, **columns), "pieces")
     return place(cut, capacity)

@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from presslens.llm import chat, exact_dedup, mixing, packing, sharding, simhash, token_files, topk_search, toxicity
+import corpus_pipeline
+from presslens.llm import chat, exact_dedup, mixing, packing, sharding, simhash, suffix_dedup, token_files, topk_search, toxicity
 from presslens.llm.tokens import vocabulary
 
 SHARDS = 16
 VOCABULARY = vocabulary("word_bpe_49k.json")
-PACKING_END, FILE_END = 1, 2
+FILE_END = 2
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +25,12 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(_table(spark, sf_dir, "documents"), VOCABULARY, PACKING_END)
-    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    return packing.pack(_table(spark, sf_dir, "documents"), VOCABULARY, packing.END_ID)
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +75,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_source_mixing": op1_source_mixing,
+        "op2_suffix_array_dedup": op2_suffix_array_dedup,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_toxicity": op4_toxicity,
         "op5_token_files": op5_token_files,
@@ -79,13 +84,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_hash_tree_sharding": op8_hash_tree_sharding,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_exact_dedup": op10_exact_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    found = {
         "op1_source_mixing": mixing.ORACLE,
         "op6_chat_formatting": chat.ORACLE,
         "op7_kd_tree_top_k": topk_search.ORACLE,
         "op10_exact_dedup": exact_dedup.ORACLE,
     }
+    if corpus_pipeline.ORACLE_SQL:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
