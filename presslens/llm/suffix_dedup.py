@@ -200,7 +200,7 @@ def spans(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, crowded: in
     members = materialise(recurring(materialise(anchored(docs, length), "segments")), "recurring")
     touched = docs.join(members.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi")
     touched = materialise(touched.groupBy("k1", "k2").agg(F.first("text").alias("text")), "touched")
-    for windows in NARROWER:
+    for windows in (w for w in NARROWER if w <= length):  # such windows share some bytes
         weight = F.sum(F.col("first.stop") - F.col("first.start") + length)
         over = _classes(members).groupBy("key").agg(weight.alias("bytes"), F.count(F.lit(1)).alias("kinds"))
         over = materialise(over.filter((F.col("bytes") > crowded) & (F.col("kinds") > 1)).select("key"), "crowded")
