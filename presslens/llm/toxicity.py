@@ -138,7 +138,12 @@ class Scorer:
     def __init__(self, model: Model):
         self.model, self.memory = model, {}
 
-    def features(self, texts: list[str | None]) -> np.ndarray:
+    def features(self, texts: list[str | None], slice_: int = 256) -> np.ndarray:
+        """Features of all texts, a slice at a time: the words of a whole Arrow batch would take hundreds of MB."""
+        parts = [self._features(texts[at : at + slice_]) for at in range(0, len(texts), slice_)]
+        return np.concatenate(parts) if parts else np.zeros((0, 4))
+
+    def _features(self, texts: list[str | None]) -> np.ndarray:
         """Per text: letters of its distinct words (ends included); log-likelihood ratio per letter, per root of letters, at its peak."""
         words = [set(WORD.findall((t or "").lower())) for t in texts]
         new = list({w for ws in words for w in ws if w not in self.memory})
