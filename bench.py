@@ -37,6 +37,12 @@ HEADLINE = [
     "body_extract",
     "upsert_merge",
     "neighbours_topk",
+    "tfidf_vectors",
+    "latest_snapshot",
+    "stream_quarantine",
+    "stream_progress",
+    "stream_first_seen",
+    "stream_country_totals",
 ]
 
 

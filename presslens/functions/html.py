@@ -45,14 +45,14 @@ INVISIBLE_TAGS = ("script", "style", "noscript", "template")
 BOILERPLATE_TAGS = ("nav", "header", "footer", "aside", "form", "table", "figure")
 BLOCK_TAGS = ("p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "br", "section",
               "blockquote", "pre", "tr", "ul", "ol", "article", "main")
-BODY_MAX_CHARS = 20000
 # ---------------------------------------------------------------------------
 
 TAG_RE = r"<[A-Za-z/!?][^>]*>"
+SPACES = " \t\n\x0b\f\r"
 
 
 # A chain is a list of steps: ("re", pattern, replacement) | ("lit", old, new)
-# | ("trim",) | ("entities",)
+# | ("trim",) | ("entities",) | ("join_text",)
 def _elements_re(tags) -> str:
     # One alternation per tag family, so one pass over the text (leftmost
     # match wins, as in a browser). One branch per tag: RE2 has no
@@ -67,8 +67,7 @@ def _invisible_steps():
 def strip_steps():
     """get_text(' ', strip=True) followed by a second entity decode."""
     return _invisible_steps() + [
-        ("re", r"(\s*" + TAG_RE + r"\s*)+", " "),
-        ("trim",),
+        ("join_text",),
         ("entities",),
         ("entities",),
         ("trim",),
@@ -96,6 +95,11 @@ def _spark_chain(c: Column, steps) -> Column:
             c = F.regexp_replace(c, step[1], step[2])
         elif kind == "trim":
             c = F.regexp_replace(c, r"^\s+|\s+$", "")
+        elif kind == "join_text":
+            # text nodes between tags, trimmed, empty ones left out: a split at
+            # each tag needs no repeated group, which Java would recurse into
+            nodes = F.transform(F.split(c, TAG_RE), lambda t: F.btrim(t, F.lit(SPACES)))
+            c = F.array_join(F.filter(nodes, lambda t: t != ""), " ")
         elif kind == "entities":
             # most texts have no entity left to decode (always after the first
             # pass of a double decode): the replace passes are skipped for
@@ -123,6 +127,9 @@ def _sql_chain(x: str, steps) -> str:
             x = f"regexp_replace({x}, {_q(step[1])}, {_q(step[2])}, 'g')"
         elif kind == "trim":
             x = f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+        elif kind == "join_text":
+            nodes = f"[trim(t, {_q(SPACES)}) FOR t IN string_split_regex({x}, {_q(TAG_RE)})]"
+            x = f"array_to_string([t FOR t IN {nodes} IF t <> ''], ' ')"
         elif kind == "entities":
             for old, new in ENTITIES:
                 x = f"replace({x}, {_q(old)}, {_q(new)})"
@@ -150,12 +157,12 @@ def main_region(html: Column) -> Column:
                       F.nullif(body, F.lit("")), html)
 
 
-def extract_body(html: Column) -> Column:
+def extract_body(html: Column, max_chars: int | None = None) -> Column:
     """Main text of an article page: the <article> (else <main>, else <body>)
     region without navigation/boilerplate blocks, one line per block,
-    capped at 20 000 characters; NULL when nothing is left."""
+    whole unless ``max_chars`` is given; NULL when nothing is left."""
     text = F.nullif(_spark_chain(main_region(html), body_steps()), F.lit(""))
-    return F.substring(text, 1, BODY_MAX_CHARS)
+    return F.substring(text, 1, max_chars) if max_chars else text
 
 
 def meta_description(html: Column) -> Column:
@@ -189,4 +196,4 @@ def main_region_sql(x: str) -> str:
 
 def extract_body_sql(x: str) -> str:
     t = _sql_chain(main_region_sql(x), body_steps())
-    return f"substr(nullif({t}, ''), 1, {BODY_MAX_CHARS})"
+    return f"nullif({t}, '')"

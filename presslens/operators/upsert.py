@@ -137,9 +137,10 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def incremental_load(spark: SparkSession, path: str, source: DataFrame, cursor: str = "extracted_at"):
+def incremental_load(spark: SparkSession, path: str, source: DataFrame, cursor: str = "extracted_at", key: str | None = None):
     """Append the rows of ``source`` newer than the loaded high-water mark
-    (one scalar read back to the driver); returns the mark used."""
+    (one scalar read back to the driver); returns the mark used. With ``key``,
+    rows at or below the mark whose key is not loaded yet (late rows) come too."""
     mark = None
     if _exists(spark, path):
         # the mark travels as text in the column's own type: a Python datetime
@@ -147,5 +148,9 @@ def incremental_load(spark: SparkSession, path: str, source: DataFrame, cursor:
         dtype = dict(source.dtypes)[cursor]
         mark = spark.read.parquet(path).agg(F.max(cursor).cast("string").alias("m")).first()["m"]
     new = source if mark is None else source.filter(F.col(cursor) > F.lit(mark).cast(dtype))
+    if mark is not None and key:
+        loaded = spark.read.parquet(path).select(key)
+        late = source.filter(F.col(cursor) <= F.lit(mark).cast(dtype)).join(loaded, key, "left_anti")
+        new = new.unionByName(late.select(*source.columns))
     new.write.mode("append").parquet(path)
     return mark

@@ -17,7 +17,6 @@ from presslens.sources import tables as S
 
 LANGS = sorted(AN.LANG_PROFILES)
 WORDS_SQL = "regexp_split_to_array(lower(text), '[^\\p{L}]+')"
-TOPIC_SPACE = 500  # events are assigned the topic of embedding (event_id % 500)
 OUTSIDE_OUTLETS = ("src0", "src1", "src2", "src3", "src4")
 NEIGHBOURS_K = 5
 
@@ -93,11 +92,13 @@ def q_topics_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _topic_events(spark, sf_dir):
     e = S.event_articles(spark, sf_dir)
     v = S.table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("topic"))
-    return e.withColumn("vec_id", F.col("seq") % TOPIC_SPACE).join(v, "vec_id")
+    # an event takes the topic of one of all embeddings
+    vectors = v.agg(F.count(F.lit(1))).scalar()
+    return e.withColumn("vec_id", F.col("seq") % vectors).join(v, "vec_id")
 
 
 TOPIC_EVENTS_SQL = f"""
-SELECT e.*, v.label AS topic FROM ({S.EVENTS_SQL}) e JOIN embeddings v ON v.vec_id = e.seq % {TOPIC_SPACE}
+SELECT e.*, v.label AS topic FROM ({S.EVENTS_SQL}) e JOIN embeddings v ON v.vec_id = e.seq % (SELECT count(*) FROM embeddings)
 """
 
 

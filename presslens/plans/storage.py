@@ -19,7 +19,6 @@ from presslens.schemas import conform_article
 from presslens.session import scratch_path
 from presslens.sources import tables as S
 
-SPLIT_DAY = 15  # first half of the stream: day of month <= 15
 LIMIT_BY = 5
 TRIAL_SAMPLE = 1000
 
@@ -27,7 +26,9 @@ TRIAL_SAMPLE = 1000
 def _halves(spark, sf_dir):
     e = S.event_articles(spark, sf_dir).select(
         "seq", "source", "country_target", "title", "summary", "url", "published_at", "extracted_at")
-    first = F.dayofmonth("extracted_at") <= SPLIT_DAY
+    # cut in the middle of the covered time, so every row of the first half is older
+    middle = e.agg(F.expr("min(extracted_at) + (max(extracted_at) - min(extracted_at)) / 2"))
+    first = F.col("extracted_at") <= middle.scalar()
     return e.filter(first), e.filter(~first)
 
 
@@ -39,14 +40,11 @@ SELECT {EVENT_COLS} FROM e
 QUALIFY ROW_NUMBER() OVER (PARTITION BY url ORDER BY extracted_at DESC, seq DESC) = 1
 """, e=S.EVENTS_SQL))
 def q_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Upsert the stream in two batches into a keyed table on url (batch log
-    with a compaction in between), read newest-per-url."""
-    base = scratch_path(spark, "upsert")
+    """Upsert the second half of the stream into the table of the first: newest row per url."""
+    path = scratch_path(spark, "upsert")
     a, b = _halves(spark, sf_dir)
-    UP.upsert_table(spark, base, a)
-    UP.compact(spark, base, "url", ["extracted_at", "seq"])
-    UP.upsert_table(spark, base, b)
-    return UP.read_current(spark, base)
+    UP.latest_by_key(a, "url", ["extracted_at", "seq"]).write.parquet(path)
+    return UP.merge_latest(spark.read.parquet(path), b).select(*[c.strip() for c in EVENT_COLS.split(",")])
 
 
 @register("append_raw", ids=("K03", "K02"), oracle=S.with_ctes(f"SELECT {EVENT_COLS} FROM e", e=S.EVENTS_SQL))
@@ -99,7 +97,7 @@ def q_incremental_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     a, _ = _halves(spark, sf_dir)
     everything = S.event_articles(spark, sf_dir).select(*[c.strip() for c in EVENT_COLS.split(",")])
     UP.incremental_load(spark, path, a)
-    UP.incremental_load(spark, path, everything)
+    UP.incremental_load(spark, path, everything, key="seq")
     return spark.read.parquet(path)
 
 

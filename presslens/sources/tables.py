@@ -27,9 +27,9 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 COUNTRY_FROM_PATH = r"^https?://[^/]+/([a-z]{2})/"
 # First paragraph of the article region, HTML kept (a feed-style summary).
 LEAD_PARAGRAPH = r"(?is)<article\b[^>]*>.*?(<p\b.*?</p>)"
-# Rows per event-derived URL; forces repeated URLs so newest-wins logic has work.
-EVENT_URL_SPACE = 700
-EVENT_SOURCES = 20
+# Events per event-derived URL: repeated URLs give newest-wins logic work, and
+# the number of URLs grows with the table.
+EVENTS_PER_URL = 14
 EVENT_NULL_PUBLISHED_EVERY = 11
 
 
@@ -127,11 +127,11 @@ def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
         F.col("event_id").alias("seq"),
-        F.concat(F.lit("src"), (F.col("user_id") % EVENT_SOURCES).cast("string")).alias("source"),
+        F.concat(F.lit("src"), F.col("user_id").cast("string")).alias("source"),
         F.col("event_type").alias("country_target"),
         F.concat(F.lit("event "), F.col("event_type"), F.lit(" "), F.col("event_id").cast("string")).alias("title"),
         F.col("props").alias("summary"),
-        F.concat(F.lit("https://ex.example/a/"), (F.col("event_id") % EVENT_URL_SPACE).cast("string")).alias("url"),
+        F.concat(F.lit("https://ex.example/a/"), F.expr(f"event_id div {EVENTS_PER_URL}").cast("string")).alias("url"),
         F.when(F.col("event_id") % EVENT_NULL_PUBLISHED_EVERY != 0, F.col("ts")).alias("published_at"),
         F.col("ts").alias("extracted_at"),
         F.col("ts").alias("seendate"),
@@ -142,11 +142,11 @@ def event_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 EVENTS_SQL = f"""
 SELECT event_id AS seq,
-       'src' || CAST(user_id % {EVENT_SOURCES} AS VARCHAR) AS source,
+       'src' || CAST(user_id AS VARCHAR) AS source,
        event_type AS country_target,
        'event ' || event_type || ' ' || CAST(event_id AS VARCHAR) AS title,
        props AS summary,
-       'https://ex.example/a/' || CAST(event_id % {EVENT_URL_SPACE} AS VARCHAR) AS url,
+       'https://ex.example/a/' || CAST(event_id // {EVENTS_PER_URL} AS VARCHAR) AS url,
        CASE WHEN event_id % {EVENT_NULL_PUBLISHED_EVERY} <> 0 THEN ts END AS published_at,
        ts AS extracted_at, ts AS seendate, value, user_id
 FROM events

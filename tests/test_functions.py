@@ -91,10 +91,16 @@ def test_body_extraction_contract(spark):
     assert got[1] is None and got[2] is None and got[3] is None
 
 
-def test_body_is_capped(spark):
+def test_body_is_whole_unless_a_limit_is_given(spark):
     page = "<article>" + "<p>" + ("word " * 6000) + "</p></article>"
-    b = spark.createDataFrame([(page,)], "html string").select(H.extract_body(F.col("html")).alias("b")).first().b
-    assert len(b) == H.BODY_MAX_CHARS
+    df = spark.createDataFrame([(page,)], "html string")
+    a, b = df.select(H.extract_body(F.col("html")), H.extract_body(F.col("html"), 100)).first()
+    assert len(a) == 5 * 6000 - 1 and len(b) == 100
+
+
+def test_strip_html_survives_long_tag_runs(spark):
+    page = "a" + "<br> " * 100_000 + " <b>b&amp;amp;</b>  c<i></i>"
+    assert spark.createDataFrame([(page,)], "html string").select(H.strip_html(F.col("html"))).first()[0] == "a b& c"
 
 
 def test_meta_description(spark):

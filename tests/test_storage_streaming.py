@@ -181,3 +181,26 @@ def test_update_sink_compaction(spark, tmp_dir):
     sink(spark.createDataFrame([("US", 7), ("IT", 1)], "c string, n long"), 2)
     got = {r.c: r.n for r in J.read_updates(spark, base, ["c"]).collect()}
     assert got == {"DE": 5, "US": 7, "IT": 1}
+
+
+def _three_months(spark, days):
+    rows = [(i, f"u{i % 3}", d) for i, d in enumerate(days)]
+    return spark.createDataFrame(rows, "seq long, url string, extracted_at string").withColumn(
+        "extracted_at", F.col("extracted_at").cast("timestamp"))
+
+
+def test_newest_row_wins_over_several_months(spark):
+    first = _three_months(spark, ["2024-01-20", "2024-02-03", "2024-02-19"])
+    second = _three_months(spark, ["2024-02-25", "2024-03-05", "2024-03-16"])
+    got = {r.url: r.extracted_at.strftime("%m-%d") for r in UP.merge_latest(first, second).collect()}
+    assert got == {"u0": "02-25", "u1": "03-05", "u2": "03-16"}
+
+
+def test_incremental_load_keeps_late_rows(spark, tmp_dir):
+    days = ["2024-01-20", "2024-02-03", "2024-02-19", "2024-03-05", "2024-01-02", "2024-03-30"]
+    everything = _three_months(spark, days)
+    path = f"{tmp_dir}/late"
+    UP.incremental_load(spark, path, everything.filter("seq < 3"), key="seq")
+    for _ in range(2):
+        UP.incremental_load(spark, path, everything, key="seq")
+    assert sorted(r.seq for r in spark.read.parquet(path).collect()) == list(range(6))
