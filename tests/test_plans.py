@@ -4,8 +4,8 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SMOKE
+from presslens.plans.registry import load_all
 
 PY_OPS = re.compile(r"ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|FlatMapGroupsInPandas|"
                     r"AggregateInPandas|WindowInPandas")
@@ -22,7 +22,7 @@ def _plan(df) -> str:
 @pytest.fixture(scope="module")
 def plans(spark):
     out = {}
-    for name, build in E.queries().items():
+    for name, build in ((n, q.build) for n, q in load_all().items()):
         if name in WRITERS or name.startswith("stream_") or name == "topics_kmeans":
             continue
         out[name] = _plan(build(spark, SMOKE))
