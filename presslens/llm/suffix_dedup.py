@@ -129,8 +129,12 @@ def anchored(docs: DataFrame, length: int) -> DataFrame:
 
 
 def recurring(found: DataFrame) -> DataFrame:
-    """Segments whose key occurs more than once."""
-    again = found.groupBy("key").count().filter("count > 1").select("key")
+    """Segments whose key occurs more than once.
+
+    The keys are written first: a join whose sides are both plain shuffles can
+    be split where a key is hot, one on top of an aggregation cannot.
+    """
+    again = materialise(found.groupBy("key").count().filter("count > 1").select("key"), "again")
     return found.join(again, "key", "left_semi").select(*found.columns)
 
 
