@@ -264,7 +264,10 @@ def components(edges: DataFrame) -> DataFrame:
 def near_copies(
     df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS, bands: int = BANDS, tile: int = TILE
 ) -> DataFrame:
-    """doc_id, text_hash, bits (fingerprint), component_id (smallest id reachable over links, itself included)."""
+    """doc_id, text_hash, bits (fingerprint), component_id (smallest id reachable over links, itself included), root.
+
+    ``root`` is one fingerprint of the component; ids may be null or repeat, roots tell components apart.
+    """
     docs = materialise(fingerprints(df, id_col, text_col, shingle), "fingerprints")
     distinct = materialise(docs.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")), "distinct")
     found = components(links(distinct.select("fingerprint"), radius, bands, tile))
@@ -272,8 +275,8 @@ def near_copies(
         "fingerprint", F.coalesce("root", "fingerprint").alias("root"), "least_id"
     )
     least = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    ids = labelled.join(least, "root").select("fingerprint", "component_id")
-    return docs.join(ids, "fingerprint").select("doc_id", "text_hash", F.col("fingerprint").alias("bits"), "component_id")
+    ids = labelled.join(least, "root").select("fingerprint", "component_id", "root")
+    return docs.join(ids, "fingerprint").select("doc_id", "text_hash", F.col("fingerprint").alias("bits"), "component_id", "root")
 
 
 def survivors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
@@ -281,10 +284,10 @@ def survivors(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **s
     i, h, n = (unused(df, x) for x in ("_id", "_hash", "_nth"))
     kept = near_copies(df, id_col, text_col, **settings).filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
     # rows may share the winning id: the smallest text hash decides
-    kept = kept.groupBy("component_id").agg(F.min(F.col("text_hash")).alias("text_hash"))
+    kept = kept.groupBy("root", "component_id").agg(F.min("text_hash").alias("text_hash"))
 
     def key(c):
-        return F.coalesce(F.col(c).cast("string"), F.lit(""))
+        return F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit(""))
 
     rows = df.withColumn(i, key(id_col)).withColumn(h, F.xxhash64(F.col(text_col)))
     winners = kept.select(key("component_id").alias(i), F.col("text_hash").alias(h))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.shared import materialise
+from presslens.llm.shared import materialise, unused
 
 ORDER = 6
 DISCOUNT = 0.75
@@ -238,7 +238,7 @@ def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_LABELLED, keep: bool = False) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row; ``keep`` returns all columns of ``df`` with ``score`` instead."""
+    """doc_id, held_out, score, predicted for every row; ``keep`` returns all columns of ``df`` and the score as the last one."""
     model, curve, share = train(df, labels, id_col, text_col, most)
     docs = df if keep else df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     at = docs.columns.index(text_col if keep else "text")
@@ -256,19 +256,21 @@ def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             given = batch.columns if keep else [batch.column(0)]
             yield pa.RecordBatch.from_arrays([*given, pa.array(values, pa.float64())], names)
 
-    names = [*docs.columns, "_score"] if keep else ["doc_id", "_score"]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds if keep or f.name == "doc_id"), "_score double"])
+    rating = unused(docs, "_score")
+    names = [*docs.columns, rating] if keep else ["doc_id", rating]
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds if keep or f.name == "doc_id"), f"{rating} double"])
     scored = docs.mapInArrow(rate, schema)
     if keep:
         return scored
     return scored.select(
         "doc_id",
         (fold("doc_id") == HELD_OUT).alias("held_out"),
-        F.col("_score").alias("score"),
-        (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+        F.col(rating).alias("score"),
+        (F.col(rating) >= 0.5).cast("int").alias("predicted"),
     )
 
 
 def accepted(df: DataFrame, labels: DataFrame, text_col: str = "text", **settings) -> DataFrame:
     """The rows that are not predicted toxic, with all their columns."""
-    return score(df, labels, text_col=text_col, keep=True, **settings).filter("_score < 0.5").select(*df.columns)
+    scored = score(df, labels, text_col=text_col, keep=True, **settings)
+    return scored.filter(F.col(scored.columns[-1]) < 0.5).select(*df.columns)

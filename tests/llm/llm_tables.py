@@ -14,7 +14,7 @@ def documents(spark):
     def make(rows, clash=True):
         df = spark.createDataFrame([(*r, "en", None if r[0] is None else f"s{r[0] % 3}", None) for r in rows], COLUMNS)
         if clash:
-            for name in ("_Digest", "_hash", "_id", "digest", "rank", "_range", "key", "Text_Hash", "_copies", "size"):
+            for name in ("_Digest", "_hash", "_id", "digest", "rank", "_range", "key", "Text_Hash", "_copies", "size", "_Score", "root", "Component_Id"):
                 df = df.withColumn(name, F.lit("x"))
         return df
 

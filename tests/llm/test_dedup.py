@@ -133,6 +133,12 @@ def test_near_copies_of_awkward_rows(awkward, empty):
     assert simhash.near_copies(empty).count() == simhash.survivors(empty).count() == 0
 
 
+def test_components_without_or_with_repeated_ids_stay_apart(documents):
+    texts = ["alpha beta gamma delta epsilon zeta", "one two three four five six seven", "red green blue black white grey pink"]
+    table = documents([(None, texts[0]), (None, texts[1]), (None, texts[1]), (9, texts[2]), (9, "")])
+    assert sorted(r.text for r in simhash.survivors(table).collect()) == sorted([*texts, ""])
+
+
 # ---- suffix arrays
 
 
