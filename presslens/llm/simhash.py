@@ -234,8 +234,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable over ``edges`` (a, b), for all nodes that have an edge.
 
     Alternates large-star and small-star contraction until the edges are stars.
-    Each step needs one row per node and edge; a hub's edges are dealt by
-    Spark's skew join.
+    Each step needs one row per node and edge. The least neighbours are written
+    before they are joined: a join whose sides are both plain shuffles can be
+    split where a hub is hot, one on top of an aggregation cannot.
     """
 
     def state(e: DataFrame):
@@ -243,11 +244,11 @@ def components(edges: DataFrame) -> DataFrame:
 
     def large_star(e: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        least = materialise(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "least")
         return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
     def small_star(e: DataFrame) -> DataFrame:
-        least = e.groupBy("a").agg(F.min("b").alias("m"))
+        least = materialise(e.groupBy("a").agg(F.min("b").alias("m")), "least")
         near = e.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         return near.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -256,7 +257,7 @@ def components(edges: DataFrame) -> DataFrame:
     before, after = None, state(current)
     while before != after:
         # large-star leaves every edge pointing down, as small-star wants it
-        current = materialise(small_star(large_star(current)), "edges")
+        current = materialise(small_star(materialise(large_star(current), "down")), "edges")
         before, after = after, state(current)
     return current.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
@@ -274,7 +275,8 @@ def near_copies(
     labelled = distinct.join(found, distinct["fingerprint"] == found["node"], "left").select(
         "fingerprint", F.coalesce("root", "fingerprint").alias("root"), "least_id"
     )
-    least = labelled.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    labelled = materialise(labelled, "labelled")
+    least = materialise(labelled.groupBy("root").agg(F.min("least_id").alias("component_id")), "least")
     ids = labelled.join(least, "root").select("fingerprint", "component_id", "root")
     return docs.join(ids, "fingerprint").select("doc_id", "text_hash", F.col("fingerprint").alias("bits"), "component_id", "root")
 
