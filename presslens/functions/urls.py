@@ -7,8 +7,6 @@ our Spark results.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -59,16 +57,6 @@ def _after_eq(p: Column) -> Column:
     return F.substr(p, F.instr(p, "=") + 1)
 
 
-def _drop_pairs_fast(query: Column) -> Column:
-    names = "|".join(re.escape(t) for t in TRACKING_PARAMS)
-    prefixes = "|".join(re.escape(p) + "[^&=]*" for p in TRACKING_PREFIXES)
-    s = F.concat(F.lit("&"), query, F.lit("&"))
-    s = F.regexp_replace(s, r"&[^&=]*(?=&)", "")  # pairs without '='
-    s = F.regexp_replace(s, r"&[^&=]*=(?=&)", "")  # blank values
-    s = F.regexp_replace(s, rf"(?i)&(?:{prefixes}|{names})=[^&]*(?=&)", "")  # tracking keys
-    return F.regexp_replace(s, r"^&+|&+$", "")
-
-
 def canonical_url(url: Column) -> Column:
     """Canonical article URL or NULL when the URL has no scheme or host.
 
@@ -111,15 +99,7 @@ def canonical_url(url: Column) -> Column:
             _encode_component(_decode_component(_after_eq(p))),
         ),
     )
-    # The pair-by-pair rewrite uses lambda functions, which Spark evaluates
-    # without codegen. A query made only of characters that decode and
-    # re-encode to themselves, with at most one '=' per pair, needs no
-    # rewrite: dropping key-only, blank-valued and tracking pairs is then
-    # three regex passes over the '&'-delimited string.
-    simple = query.rlike(r"^[A-Za-z0-9_.~+=&-]*$") & ~query.rlike(r"=[^&]*=")
-    q = (F.when(query == "", F.lit(""))
-          .when(simple, _drop_pairs_fast(query))
-          .otherwise(F.array_join(encoded, "&")))
+    q = F.when(query == "", F.lit("")).otherwise(F.array_join(encoded, "&"))
     bad_brackets = (F.instr(netloc, "[") > 0) != (F.instr(netloc, "]") > 0)
     ok = (
         url.isNotNull()

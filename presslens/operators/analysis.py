@@ -60,21 +60,22 @@ def detect_language(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return out.drop("_toks").withColumn("predicted", F.when(best["s"] < 0, best["l"]))
 
 
-def tfidf(docs: DataFrame, n_docs: int, id_col: str = "doc_id", text_col: str = "text",
-          min_len: int = 3) -> DataFrame:
+def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_len: int = 3,
+          salts: int = 32) -> DataFrame:
     """L2-normalised TF-IDF weights (doc, term, weight), idf = ln((N+1)/(df+1)).
-    ``n_docs`` is one scalar counted beforehand. Terms are whole-text words of
-    at least ``min_len`` letters.
-
-    Documents are hash-partitioned by id once: the per-document term counts
-    and the per-document norm then need no further exchange (shipping the
-    text once is cheaper than shipping (doc, term) pairs and re-shuffling
-    them by document); only the document frequencies shuffle by term."""
-    by_doc = docs.select(id_col, text_col).repartition(id_col)
-    toks = by_doc.select(id_col, F.explode(words(F.col(text_col))).alias("term")).filter(F.length("term") >= min_len)
+    Terms are whole-text words of at least ``min_len`` letters.
+
+    Words are counted where their text lies, so only (doc, term, tf) is
+    shuffled. A term that is in most documents would be one task of the join
+    with the document frequencies; it is dealt by document into ``salts``
+    parts, and the vocabulary is repeated for each."""
+    toks = docs.select(id_col, F.explode(words(F.col(text_col))).alias("term")).filter(F.length("term") >= min_len)
     tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
     df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    w = tf.join(df, "term").withColumn("w", F.col("tf") * F.log((F.lit(n_docs) + 1) / (F.col("df") + 1)))
+    dealt = df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = tf.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
+    n_docs = docs.agg(F.count(F.lit(1))).scalar()
+    w = salted.join(dealt, ["term", "_salt"]).withColumn("w", F.col("tf") * F.log((n_docs + 1) / (F.col("df") + 1)))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return w.withColumn("weight", F.when(norm > 0, F.col("w") / norm).otherwise(F.lit(0.0))).select(
         id_col, "term", "tf", "df", "weight")
@@ -94,8 +95,8 @@ def js_to_pool(dist: DataFrame, key: str, token: str = "token") -> DataFrame:
     pooled distribution of all groups. Tokens outside a group's support add
     ln2 * p_pool each, so only the group's own tokens are joined (no
     group x vocabulary product)."""
-    total = dist.agg(F.sum("n")).first()[0]  # one scalar
-    pool = dist.groupBy(token).agg((F.sum("n") / F.lit(float(total))).alias("q"))
+    total = dist.agg(F.sum("n")).scalar()
+    pool = dist.groupBy(token).agg(F.sum("n").alias("_n")).select(token, (F.col("_n") / total).alias("q"))
     j = dist.join(pool, token)
     m = (F.col("p") + F.col("q")) / 2
     return j.groupBy(key).agg(

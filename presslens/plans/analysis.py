@@ -73,8 +73,7 @@ FROM w
 def q_tfidf_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One L2-normalised TF-IDF vector per article (sparse: doc, term, weight) over whole texts."""
     d = S.table(spark, sf_dir, "documents", spread_rows=False).select("doc_id", "text")
-    n_docs = d.count()  # one scalar
-    return AN.tfidf(d, n_docs).withColumn("weight", F.round("weight", 6))
+    return AN.tfidf(d).withColumn("weight", F.round("weight", 6))
 
 
 @register("topics_kmeans", ids=("D03",))
@@ -143,15 +142,14 @@ def q_attention_asymmetry(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.round("min_share", 6).alias("min_share"), F.round("asymmetry", 6).alias("asymmetry"))
 
 
-def _headline_tokens(spark, sf_dir):
-    d = S.document_articles(spark, sf_dir).filter(F.col("title").isNotNull())
-    return TX.explode_tokens(d, ["sourcecountry", "source"])
+def _text_tokens(spark, sf_dir):
+    return TX.explode_tokens(S.document_articles(spark, sf_dir, with_text=True), ["sourcecountry", "source"], "text")
 
 
 TOKENS_SQL = f"""
 SELECT * FROM (
-  SELECT sourcecountry, source, LOWER(unnest(regexp_split_to_array(title, '{TX.ASCII_SPLIT_SQL}'))) AS token
-  FROM ({S.DOCS_SQL}) WHERE title IS NOT NULL)
+  SELECT sourcecountry, source, LOWER(unnest(regexp_split_to_array(text, '{TX.ASCII_SPLIT_SQL}'))) AS token
+  FROM ({S.DOCS_SQL}) WHERE text IS NOT NULL)
 WHERE LENGTH(token) >= {TX.MIN_TOKEN_LEN} AND token NOT IN ({_lst(TX.STOPWORDS)})
 """
 
@@ -168,9 +166,9 @@ SELECT sourcecountry, round(0.5 * SUM(CASE WHEN p > 0 THEN p * ln(p / ((p + q) /
 FROM g GROUP BY 1
 """)
 def q_token_js_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Framing divergence: Jensen-Shannon divergence of each country's headline
+    """Framing divergence: Jensen-Shannon divergence of each country's whole-text
     keyword distribution from the pooled distribution."""
-    dist = AN.distribution(_headline_tokens(spark, sf_dir), ["sourcecountry"])
+    dist = AN.distribution(_text_tokens(spark, sf_dir), ["sourcecountry"])
     return AN.js_to_pool(dist, "sourcecountry").select("sourcecountry", F.round("jsd", 6).alias("jsd"))
 
 
@@ -189,8 +187,8 @@ FROM j GROUP BY 1
 """)
 def q_outside_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outside vs domestic framing per country: JS divergence between the
-    headline keyword distributions of outside outlets and domestic ones."""
-    t = _headline_tokens(spark, sf_dir).withColumn("outside", F.col("source").isin(*OUTSIDE_OUTLETS))
+    whole-text keyword distributions of outside outlets and domestic ones."""
+    t = _text_tokens(spark, sf_dir).withColumn("outside", F.col("source").isin(*OUTSIDE_OUTLETS))
     a = AN.distribution(t.filter("outside"), ["sourcecountry"])
     b = AN.distribution(t.filter("NOT outside"), ["sourcecountry"])
     return AN.js_between(a, b, "sourcecountry", "token").select("sourcecountry", F.round("jsd", 6).alias("jsd"))
