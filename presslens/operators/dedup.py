@@ -1,10 +1,10 @@
 """Key-based deduplication: first-wins (cleaner) and newest-wins (FINAL read).
 
-Both are a single hash aggregation on the key with ``min_by``/``max_by`` over
-a struct of the row: partial aggregation collapses a hot key inside each map
-task before the shuffle, so a key holding a third of all rows costs one row
-per map task on the network, not a third of the data in one reducer. A
-``row_number`` window would instead sort every row of the hot key in one task.
+Both are one aggregation on the key with ``min_by``/``max_by`` over a struct of
+the row. Its buffer holds strings, so Spark plans a sort aggregation: map tasks
+sort their rows by key and collapse them before the shuffle. A key holding a
+third of all rows thus costs one row per map task on the network, not a third
+of the data in one reducer.
 """
 
 from __future__ import annotations

@@ -1,26 +1,20 @@
 """Write dispositions on plain parquet.
 
-* Keyed tables (upsert on ``url``) are log-structured: every merge appends
-  one batch folder ``<base>/batch=<n>`` (cost grows with the batch, not the
-  table); a read resolves newest-per-key over the latest compacted snapshot
-  plus the batches written after it; ``compact`` folds everything into a new
-  snapshot ``<base>/_compacted/upto=<n>`` so reads stay bounded. Newest is
-  "later batch first, then the order columns" for the batch arm (the batch
-  wins, like a merge) or the order columns alone for the stream arm (newest
-  event wins, like a replacing table read with FINAL). A folder counts only
-  once complete (``_SUCCESS``), so a killed write is invisible and re-running
-  a batch reproduces the same table.
-* ``merge_latest``: the same newest-wins rule for two in-memory DataFrames.
-* ``append``: plain append (duplicates kept).
+* ``merge_latest``: a keyed table and a batch become the next version of the
+  table, one row per key; the batch wins, then the order columns.
+* ``append``: plain append (duplicates kept); ``latest_by_key`` on read gives
+  the newest row per key.
 * snapshots: ``partitionBy('snapshot')`` and latest-snapshot selection with a
   literal partition filter (static partition pruning).
+* ``incremental_load``: append past a high-water mark.
 
-A table format with MERGE INTO would replace the folder bookkeeping; the
-DataFrame logic (one partial ``max_by`` aggregation on the key) stays.
+Callers choose where a version is written; a table format with MERGE INTO would
+take the place of ``merge_latest`` plus a write.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,76 +29,6 @@ def merge_latest(target: DataFrame, batch: DataFrame, key: str = "url",
     return latest_by_key(both, key, ["_side", *order]).drop("_side")
 
 
-def _children(spark: SparkSession, base: str, prefix: str) -> list[tuple[int, str]]:
-    """(id, path) of completed child folders ``<prefix><id>`` of ``base``."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(base)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        name = st.getPath().getName()
-        if name.startswith(prefix) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append((int(name[len(prefix):]), st.getPath().toString()))
-    return sorted(out)
-
-
-def append_batch(batch: DataFrame, base: str, batch_id: int) -> str:
-    """Write one batch folder (overwrite: a replayed batch id replaces itself)."""
-    path = f"{base}/batch={batch_id:09d}"
-    batch.write.mode("overwrite").parquet(path)
-    return path
-
-
-def read_keyed(spark: SparkSession, base: str, key: str | list[str], order: list[str],
-               batch_wins: bool = True) -> DataFrame | None:
-    """Newest row per key over the latest snapshot and the later batches."""
-    compacted = _children(spark, f"{base}/_compacted", "upto=")
-    upto = compacted[-1][0] if compacted else -1
-    live = [i for i, _ in _children(spark, base, "batch=") if i > upto]
-    parts = []
-    if live:
-        # one scan of the batch folders; the batch id is a partition column,
-        # so the folded and the incomplete folders are pruned at listing
-        b = spark.read.parquet(base).filter(F.col("batch").isin(live))
-        parts.append(b.withColumn("_batch", F.col("batch").cast("long")).drop("batch"))
-    if compacted:
-        parts.append(spark.read.parquet(compacted[-1][1]).withColumn("_batch", F.lit(upto).cast("long")))
-    if not parts:
-        return None
-    df = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    ordering = (["_batch"] if batch_wins else []) + list(order)
-    return latest_by_key(df, key, ordering).drop("_batch")
-
-
-def compact(spark: SparkSession, base: str, key: str | list[str], order: list[str],
-            batch_wins: bool = True) -> str | None:
-    """Fold all batches written so far into one snapshot; safe to re-run or kill."""
-    batches = _children(spark, base, "batch=")
-    if not batches:
-        return None
-    upto = batches[-1][0]
-    path = f"{base}/_compacted/upto={upto:09d}"
-    read_keyed(spark, base, key, order, batch_wins).write.mode("overwrite").parquet(path)
-    return path
-
-
-def upsert_table(spark: SparkSession, base: str, batch: DataFrame) -> str:
-    """Merge ``batch`` into the keyed table at ``base``: append it as the next
-    batch folder (the key and order are applied by readers and compaction,
-    where a later batch wins per key); returns the folder."""
-    done = _children(spark, base, "batch=")
-    nxt = done[-1][0] + 1 if done else 0
-    return append_batch(batch, base, nxt)
-
-
-def read_current(spark: SparkSession, base: str, key: str = "url",
-                 order: tuple[str, ...] = ("extracted_at", "seq")) -> DataFrame | None:
-    """The keyed table as of now: newest row per key, later batches winning."""
-    return read_keyed(spark, base, key, list(order), batch_wins=True)
-
-
 def append(batch: DataFrame, path: str) -> None:
     batch.write.mode("append").parquet(path)
 
@@ -131,10 +55,13 @@ def read_latest_snapshot(spark: SparkSession, path: str, prefix: str, snapshot_c
     return df.filter(F.col(snapshot_col) == F.lit(name))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+def _loaded(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def incremental_load(spark: SparkSession, path: str, source: DataFrame, cursor: str = "extracted_at", key: str | None = None):
@@ -142,15 +69,15 @@ def incremental_load(spark: SparkSession, path: str, source: DataFrame, cursor:
     (one scalar read back to the driver); returns the mark used. With ``key``,
     rows at or below the mark whose key is not loaded yet (late rows) come too."""
     mark = None
-    if _exists(spark, path):
+    loaded = _loaded(spark, path)
+    if loaded is not None:
         # the mark travels as text in the column's own type: a Python datetime
         # literal would be re-read in the session time zone
         dtype = dict(source.dtypes)[cursor]
-        mark = spark.read.parquet(path).agg(F.max(cursor).cast("string").alias("m")).first()["m"]
+        mark = loaded.agg(F.max(cursor).cast("string").alias("m")).first()["m"]
     new = source if mark is None else source.filter(F.col(cursor) > F.lit(mark).cast(dtype))
     if mark is not None and key:
-        loaded = spark.read.parquet(path).select(key)
-        late = source.filter(F.col(cursor) <= F.lit(mark).cast(dtype)).join(loaded, key, "left_anti")
+        late = source.filter(F.col(cursor) <= F.lit(mark).cast(dtype)).join(loaded.select(key), key, "left_anti")
         new = new.unionByName(late.select(*source.columns))
     new.write.mode("append").parquet(path)
     return mark

@@ -47,11 +47,11 @@ SELECT {', '.join(COLS)} FROM e
 QUALIFY ROW_NUMBER() OVER (PARTITION BY url ORDER BY extracted_at DESC, seq DESC) = 1
 """, e=EV))
 def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Streaming upsert: micro-batches appended idempotently per batch id, read newest-per-url."""
+    """Streaming upsert: micro-batches appended by the file sink, read newest-per-url."""
     base = _topic(spark, sf_dir, "upsert")
     msgs = _messages(spark, base).select(*COLS)
-    J.run(msgs, f"{base}/ckpt", sink=J.upsert_sink(f"{base}/table"))
-    return J.read_upserted(spark, f"{base}/table", ["url"], ["extracted_at", "seq"]).select(*COLS)
+    J.run(msgs, f"{base}/ckpt", path=f"{base}/table")
+    return J.read_newest(spark, f"{base}/table", ["url"], ["extracted_at", "seq"]).select(*COLS)
 
 
 def _windowed_counts(spark, sf_dir, name, duration, key_cols, out_name):
@@ -59,7 +59,7 @@ def _windowed_counts(spark, sf_dir, name, duration, key_cols, out_name):
     msgs = J.with_event_time(_messages(spark, base, max_files=None))
     agg = msgs.groupBy(*key_cols, F.window("_et", duration).alias("w")).agg(F.count(F.lit(1)).alias("n"))
     agg = agg.select(*key_cols, instant_to_utc_ntz(F.col("w.start")).alias(out_name), "n")
-    J.run(agg, f"{base}/ckpt", sink=J.update_sink(f"{base}/agg"), output_mode="update",
+    J.run(agg, f"{base}/ckpt", sink=J.versioned_sink(f"{base}/agg"), output_mode="update",
           state_partitions=J.default_state_partitions(spark))
     return J.read_updates(spark, f"{base}/agg", [*key_cols, out_name])
 
@@ -93,7 +93,7 @@ def q_stream_country_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = _messages(spark, base).filter(F.col("country_target").isNotNull())
     agg = msgs.groupBy("country_target").agg(F.count(F.lit(1)).alias("articles"),
                                              F.max("extracted_at").alias("last_seen"))
-    J.run(agg, f"{base}/ckpt", sink=J.update_sink(f"{base}/agg"), output_mode="update",
+    J.run(agg, f"{base}/ckpt", sink=J.versioned_sink(f"{base}/agg"), output_mode="update",
           state_partitions=J.default_state_partitions(spark))
     return J.read_updates(spark, f"{base}/agg", ["country_target"])
 
@@ -106,7 +106,7 @@ def q_stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _topic(spark, sf_dir, "first_seen")
     msgs = _messages(spark, base).filter(F.col("source").isNotNull())
     agg = msgs.groupBy("source").agg(F.min("extracted_at").alias("first_seen"))
-    J.run(agg, f"{base}/ckpt", sink=J.update_sink(f"{base}/agg"), output_mode="update",
+    J.run(agg, f"{base}/ckpt", sink=J.versioned_sink(f"{base}/agg"), output_mode="update",
           state_partitions=J.default_state_partitions(spark))
     return J.read_updates(spark, f"{base}/agg", ["source"])
 
@@ -147,7 +147,7 @@ def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
     per-batch counters that the sink records next to the data."""
     base = _topic(spark, sf_dir, "progress")
     msgs = _messages(spark, base).select(*COLS)
-    sink = J.counting_sink(J.upsert_sink(f"{base}/table"), f"{base}/progress")
+    sink = J.counting_sink(J.versioned_sink(f"{base}/table"), f"{base}/progress")
     J.run(msgs, f"{base}/ckpt", sink=sink)
     prog = spark.read.parquet(f"{base}/progress")
     return prog.groupBy("country_target").agg(F.sum("messages").alias("messages"))

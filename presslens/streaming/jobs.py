@@ -6,9 +6,9 @@ available here; with it, only ``readStream.format('kafka')`` and
 
 * decodes messages with an explicit schema (PERMISSIVE; malformed lines go to
   a quarantine sink instead of stopping the stream),
-* lands results through ``foreachBatch`` writes that are idempotent per batch
-  id (a replayed batch after a lost executor or driver restart overwrites the
-  same version), with progress in ``checkpointLocation``,
+* lands rows through Spark's parquet file sink, which counts every file once,
+  or through ``foreachBatch`` writes that overwrite the folder of their batch id
+  when a batch is replayed; progress is in ``checkpointLocation``,
 * runs with ``trigger(availableNow=True)`` (drain and stop) by default, or a
   processing-time trigger for a long-running service.
 """
@@ -22,8 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from presslens.functions.timefmt import ntz_to_instant
-from presslens.operators.upsert import compact as compact_keyed
-from presslens.operators.upsert import read_keyed
+from presslens.operators.dedup import latest_by_key
 from presslens.schemas import MESSAGE
 
 CORRUPT = "_corrupt"
@@ -125,47 +124,15 @@ def versioned_sink(base: str) -> Callable[[DataFrame, int], None]:
     return sink
 
 
-def upsert_sink(base: str) -> Callable[[DataFrame, int], None]:
-    """Newest-wins upsert per micro-batch. Appends go to per-batch folders
-    (idempotent); readers resolve newest-per-key with ``read_upserted`` and
-    ``compact`` folds the folders into one snapshot (key and order are given
-    there)."""
-    return versioned_sink(base)
-
-
-def read_upserted(spark: SparkSession, base: str, key: list[str], order: list[str]) -> DataFrame:
-    """Newest row per key (by the order columns, whatever the arrival order):
-    the latest compacted snapshot plus the batch folders written after it."""
-    out = read_keyed(spark, base, key, order, batch_wins=False)
-    if out is None:
-        raise RuntimeError(f"no data under {base}")
-    return out
-
-
-def compact(spark: SparkSession, base: str, key: list[str], order: list[str]) -> str | None:
-    """Collapse everything written so far into one newest-per-key snapshot;
-    later reads skip the folded batches. Safe to re-run and to kill."""
-    return compact_keyed(spark, base, key, order, batch_wins=False)
-
-
-def update_sink(base: str) -> Callable[[DataFrame, int], None]:
-    """Sink for update-mode aggregates: each batch's changed rows in its own
-    batch folder (the folder id orders the updates)."""
-    return versioned_sink(base)
+def read_newest(spark: SparkSession, path: str, key: list[str], order: list[str]) -> DataFrame:
+    """Newest row per key (by the order columns, whatever the arrival order) of an append-only sink."""
+    return latest_by_key(spark.read.parquet(path), key, order)
 
 
 def read_updates(spark: SparkSession, base: str, key: list[str]) -> DataFrame:
-    """Current value per key of an update-mode aggregate: the row from the
-    latest batch (or compacted snapshot) that updated the key."""
-    out = read_keyed(spark, base, key, [], batch_wins=True)
-    if out is None:
-        raise RuntimeError(f"no data under {base}")
-    return out
-
-
-def compact_updates(spark: SparkSession, base: str, key: list[str]) -> str | None:
-    """Fold the update folders into one snapshot of current values."""
-    return compact_keyed(spark, base, key, [], batch_wins=True)
+    """Current value per key of an update-mode aggregate landed by
+    ``versioned_sink``: the row of the latest batch that updated the key."""
+    return latest_by_key(spark.read.parquet(base), key, ["batch"]).drop("batch")
 
 
 def quarantine_sink(good_base: str, bad_base: str) -> Callable[[DataFrame, int], None]:

@@ -21,14 +21,13 @@ def _r(seq, url, minutes, title="t"):
     return (seq, "s", "DE", title, None, url, None, T0 + dt.timedelta(minutes=minutes))
 
 
-def test_upsert_batch_wins_and_is_idempotent(spark, tmp_dir):
-    base = os.path.join(tmp_dir, "table")
-    UP.upsert_table(spark, base, _rows(spark, [_r(1, "u1", 0, "old"), _r(2, "u2", 0)]))
+def test_merge_batch_wins_and_is_idempotent(spark):
+    table = _rows(spark, [_r(1, "u1", 50, "old"), _r(2, "u2", 0)])
+    # the batch wins even with an older extracted_at
     batch = _rows(spark, [_r(3, "u1", 5, "new"), _r(4, "u3", 5)])
-    UP.upsert_table(spark, base, batch)
-    once = sorted((r.url, r.title) for r in UP.read_current(spark, base).collect())
-    UP.upsert_table(spark, base, batch)  # the same batch again
-    twice = sorted((r.url, r.title) for r in UP.read_current(spark, base).collect())
+    merged = UP.merge_latest(table, batch)
+    once = sorted((r.url, r.title) for r in merged.collect())
+    twice = sorted((r.url, r.title) for r in UP.merge_latest(merged, batch).collect())
     assert once == twice == [("u1", "new"), ("u2", "t"), ("u3", "t")]
 
 
@@ -57,15 +56,14 @@ def test_stream_restart_processes_only_new_files(spark, tmp_dir):
 
     def run_once():
         msgs = J.decode(J.read_messages(spark, topic + "/*", max_files=1)).drop("value", J.CORRUPT, "body")
-        J.run(msgs, ckpt, sink=J.upsert_sink(table))
+        J.run(msgs, ckpt, path=table)
 
     run_once()
-    batches_after_first = len(os.listdir(table))
+    assert spark.read.parquet(table).count() == 6
     J.publish(second, os.path.join(topic, "b"), files=2)
     run_once()  # same checkpoint: only the new files are read
-    out = {r.url: r.seq for r in J.read_upserted(spark, table, ["url"], ["extracted_at", "seq"]).collect()}
+    out = {r.url: r.seq for r in J.read_newest(spark, table, ["url"], ["extracted_at", "seq"]).collect()}
     assert out == {"u0": 9, "u1": 10, "u2": 11}
-    assert len(os.listdir(table)) > batches_after_first
     raw = spark.read.parquet(table)
     assert raw.count() == 12  # every message landed exactly once
 
@@ -101,17 +99,12 @@ def test_incremental_load_independent_of_session_zone(spark, tmp_dir):
         spark.conf.set("spark.sql.session.timeZone", old)
 
 
-def test_compaction_keeps_newest_per_key(spark, tmp_dir):
+def test_newest_per_key_whatever_the_arrival_order(spark, tmp_dir):
     table = os.path.join(tmp_dir, "t")
-    sink = J.upsert_sink(table)
-    sink(_rows(spark, [_r(1, "u1", 0), _r(2, "u2", 0)]), 0)
-    sink(_rows(spark, [_r(3, "u1", 5)]), 1)
-    J.compact(spark, table, ["url"], ["extracted_at", "seq"])
-    sink(_rows(spark, [_r(4, "u2", 9), _r(5, "u3", 1)]), 2)
-    out = {r.url: r.seq for r in J.read_upserted(spark, table, ["url"], ["extracted_at", "seq"]).collect()}
+    for rows in ([_r(3, "u1", 5), _r(2, "u2", 0)], [_r(1, "u1", 0)], [_r(4, "u2", 9), _r(5, "u3", 1)]):
+        UP.append(_rows(spark, rows), table)
+    out = {r.url: r.seq for r in J.read_newest(spark, table, ["url"], ["extracted_at", "seq"]).collect()}
     assert out == {"u1": 3, "u2": 4, "u3": 5}
-    J.compact(spark, table, ["url"], ["extracted_at", "seq"])  # re-run after more batches
-    assert {r.url: r.seq for r in J.read_upserted(spark, table, ["url"], ["extracted_at", "seq"]).collect()} == out
 
 
 def test_progress_listener_and_counters(spark, tmp_dir):
@@ -134,25 +127,12 @@ def test_progress_listener_and_counters(spark, tmp_dir):
     assert sum(r["rows"] for r in rec.records) == 20
 
 
-def test_batch_upsert_with_compaction(spark, tmp_dir):
-    base = os.path.join(tmp_dir, "keyed")
-    UP.upsert_table(spark, base, _rows(spark, [_r(1, "u1", 50, "old"), _r(2, "u2", 0)]))
-    UP.compact(spark, base, "url", ["extracted_at", "seq"])
-    # a later batch wins even with an older extracted_at (merge semantics)
-    UP.upsert_table(spark, base, _rows(spark, [_r(3, "u1", 5, "new")]))
-    got = sorted((r.url, r.title) for r in UP.read_current(spark, base).collect())
-    assert got == [("u1", "new"), ("u2", "t")]
-    UP.compact(spark, base, "url", ["extracted_at", "seq"])
-    assert sorted((r.url, r.title) for r in UP.read_current(spark, base).collect()) == got
-    assert len(os.listdir(os.path.join(base, "_compacted"))) == 2
-
-
 def test_state_partitions_do_not_leak_into_the_session(spark, tmp_dir):
     topic = os.path.join(tmp_dir, "topic")
     J.publish(_rows(spark, [_r(i, f"u{i % 2}", i) for i in range(6)]), topic, files=1)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     agg = J.decode(J.read_messages(spark, topic)).groupBy("url").count()
-    J.run(agg, os.path.join(tmp_dir, "ckpt"), sink=J.update_sink(os.path.join(tmp_dir, "agg")),
+    J.run(agg, os.path.join(tmp_dir, "ckpt"), sink=J.versioned_sink(os.path.join(tmp_dir, "agg")),
           output_mode="update", state_partitions=3)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     state = os.path.join(tmp_dir, "ckpt", "state", "0")
@@ -172,15 +152,16 @@ def test_rocksdb_state_store_for_dedup(spark, tmp_dir):
     assert any(f.endswith(".zip") for f in files), files  # RocksDB snapshot files
 
 
-def test_update_sink_compaction(spark, tmp_dir):
+def test_updates_of_a_replayed_batch_count_once(spark, tmp_dir):
     base = os.path.join(tmp_dir, "agg")
-    sink = J.update_sink(base)
+    sink = J.versioned_sink(base)
     sink(spark.createDataFrame([("DE", 1), ("US", 2)], "c string, n long"), 0)
-    sink(spark.createDataFrame([("DE", 5)], "c string, n long"), 1)
-    J.compact_updates(spark, base, ["c"])
+    sink(spark.createDataFrame([("DE", 4)], "c string, n long"), 1)
+    sink(spark.createDataFrame([("DE", 5)], "c string, n long"), 1)  # the same batch again
     sink(spark.createDataFrame([("US", 7), ("IT", 1)], "c string, n long"), 2)
     got = {r.c: r.n for r in J.read_updates(spark, base, ["c"]).collect()}
     assert got == {"DE": 5, "US": 7, "IT": 1}
+    assert spark.read.parquet(base).count() == 5
 
 
 def _three_months(spark, days):
