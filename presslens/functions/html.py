@@ -9,37 +9,12 @@ is the same chain step by step.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # --- fixed values ------------------------------------------------------------
-# Named/numeric entities decoded by the text chains; '&amp;' must come last so
-# that one pass decodes exactly one level.
-ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#34;", '"'),
-    ("&#39;", "'"),
-    ("&#x27;", "'"),
-    ("&apos;", "'"),
-    ("&nbsp;", " "),
-    ("&#160;", " "),
-    ("&copy;", "©"),
-    ("&reg;", "®"),
-    ("&middot;", "·"),
-    ("&hellip;", "…"),
-    ("&ndash;", "–"),
-    ("&mdash;", "—"),
-    ("&lsquo;", "‘"),
-    ("&rsquo;", "’"),
-    ("&ldquo;", "“"),
-    ("&rdquo;", "”"),
-    ("&laquo;", "«"),
-    ("&raquo;", "»"),
-    ("&euro;", "€"),
-    ("&amp;", "&"),
-)
 # Elements whose text is never article text.
 INVISIBLE_TAGS = ("script", "style", "noscript", "template")
 BOILERPLATE_TAGS = ("nav", "header", "footer", "aside", "form", "table", "figure")
@@ -47,6 +22,13 @@ BLOCK_TAGS = ("p", "div", "h1", "h2", "h3", "h4", "h5", "h6", "li", "br", "secti
               "blockquote", "pre", "tr", "ul", "ol", "article", "main")
 # ---------------------------------------------------------------------------
 
+# All named character references that end in a semicolon; a no-break space is a space in text.
+NAMED = {name[:-1]: chars.replace("\xa0", " ") for name, chars in html5.items() if name.endswith(";")}
+# looked up before the whole table, which is searched from end to end
+COMMON = ("amp", "lt", "gt", "quot", "apos", "nbsp", "hellip", "ndash", "mdash", "lsquo", "rsquo", "ldquo", "rdquo", "copy", "euro")
+# what may follow an '&': the name or number of a reference
+REFERENCE_RE = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
 TAG_RE = r"<[A-Za-z/!?][^>]*>"
 SPACES = " \t\n\x0b\f\r"
 
@@ -101,19 +83,31 @@ def _spark_chain(c: Column, steps) -> Column:
             nodes = F.transform(F.split(c, TAG_RE), lambda t: F.btrim(t, F.lit(SPACES)))
             c = F.array_join(F.filter(nodes, lambda t: t != ""), " ")
         elif kind == "entities":
-            # most texts have no entity left to decode (always after the first
-            # pass of a double decode): the replace passes are skipped for
-            # them; the shared input is evaluated once (common subexpression)
             c = decode_entities(c)
     return c
 
 
 def decode_entities(c: Column) -> Column:
-    """One level of entity decoding (fixed table), skipped when there is no '&'."""
-    decoded = c
-    for old, new in ENTITIES:
-        decoded = F.replace(decoded, F.lit(old), F.lit(new))
-    return F.when(F.instr(c, "&") > 0, decoded).otherwise(c)
+    """One level of character references (named, decimal, hexadecimal) decoded; anything else after '&' stays.
+
+    The text is cut at each '&', so that it occurs once in the plan and is evaluated once.
+    """
+    def table(names) -> Column:
+        # one literal, folded into a map when the query is planned
+        return F.str_to_map(F.lit("\x01".join(f"{n}\x02{NAMED[n]}" for n in names)), F.lit("\x01"), F.lit("\x02"))
+
+    def decoded(piece: Column) -> Column:
+        name = F.regexp_extract(piece, REFERENCE_RE, 1)
+        number = F.when(F.lower(name).startswith("#x"), F.conv(F.substr(name, F.lit(3)), 16, 10)).when(
+            name.startswith("#"), F.substr(name, F.lit(2))).try_cast("long")
+        char = F.when(number == 160, " ").when(
+            (number == 0) | (number > 0x10FFFF) | number.between(0xD800, 0xDFFF), "\ufffd").otherwise(
+            F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+        known = F.coalesce(F.try_element_at(table(COMMON), name), F.try_element_at(table(NAMED), name), char)
+        return F.coalesce(F.concat(known, F.substr(piece, F.length(name) + 2)), F.concat(F.lit("&"), piece))
+
+    pieces = F.transform(F.split(c, "&"), lambda piece, i: F.when(i == 0, piece).otherwise(decoded(piece)))
+    return F.array_join(pieces, "")
 
 
 def _q(s: str) -> str:
@@ -131,11 +125,24 @@ def _sql_chain(x: str, steps) -> str:
             nodes = f"[trim(t, {_q(SPACES)}) FOR t IN string_split_regex({x}, {_q(TAG_RE)})]"
             x = f"array_to_string([t FOR t IN {nodes} IF t <> ''], ' ')"
         elif kind == "entities":
-            for old, new in ENTITIES:
-                x = f"replace({x}, {_q(old)}, {_q(new)})"
+            x = decode_entities_sql(x)
     return x
 
 
+def decode_entities_sql(x: str) -> str:
+    """The same, for DuckDB."""
+    name = f"regexp_extract(p, {_q(REFERENCE_RE)}, 1)"
+    number = (f"CASE WHEN lower({name}) LIKE '#x%' THEN TRY_CAST('0x' || substr({name}, 3) AS BIGINT) "
+              f"WHEN {name} LIKE '#%' THEN TRY_CAST(substr({name}, 2) AS BIGINT) END")
+    table = "MAP {" + ", ".join(f"{_q(n)}: {_q(c)}" for n, c in NAMED.items()) + "}"
+    char = (f"CASE WHEN ({number}) = 160 THEN ' ' WHEN ({number}) = 0 OR ({number}) > 1114111 OR ({number}) BETWEEN 55296 AND 57343 "
+            f"THEN '\ufffd' ELSE chr(({number})::INTEGER) END")
+    known = f"CASE WHEN {name} = '' THEN NULL WHEN {name} LIKE '#%' THEN {char} ELSE map_extract({table}, {name})[1] END"
+    decoded = f"coalesce(({known}) || substr(p, length({name}) + 2), '&' || p)"
+    return (f"array_to_string(list_transform(string_split({x}, '&'), "
+            f"lambda p, i: CASE WHEN i = 1 THEN p ELSE {decoded} END), '')")
+
+
 # ----------------------------------------------------------------- Spark side
 def strip_html(value: Column) -> Column:
     """Visible text of an HTML fragment, text nodes joined by one space,

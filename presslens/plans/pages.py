@@ -31,9 +31,7 @@ def _q(s: str) -> str:
 def anchor_text_sql(x: str) -> str:
     t = f"regexp_replace({x}, '\\s*<[A-Za-z/!?][^>]*>\\s*', '', 'g')"
     t = f"regexp_replace({t}, '^\\s+|\\s+$', '', 'g')"
-    for old, new in H.ENTITIES:
-        t = f"replace({t}, {_q(old)}, {_q(new)})"
-    return t
+    return H.decode_entities_sql(t)
 
 
 def join_url_sql(base: str, href: str) -> str:

@@ -70,6 +70,9 @@ def test_strip_html_cases(spark):
         (None, None),
         ("<p> one </p>\n<p>two</p><!-- c --><style>p{}</style>", "one two"),
         ("5 < 6 and &lt;b&gt; stays", "5 < 6 and <b> stays"),
+        ("caf&eacute; &#8212; &#x1F600; &NotEqualTilde; &nbsp;x", "café — 😀 ≂̸  x"),
+        ("R&D &unknown; &amp &#; &#0; &#xD800; &; a&", "R&D &unknown; &amp &#; \ufffd \ufffd &; a&"),
+        ("&amp;amp;amp;", "&amp;"),
     ]
     df = spark.createDataFrame([(i, c) for i, (c, _) in enumerate(cases)], "i int, h string")
     got = {r.i: r.t for r in df.select("i", H.strip_html(F.col("h")).alias("t")).collect()}
@@ -171,7 +174,8 @@ def test_html_chains_match_sql_twins_on_random_fragments(spark):
     parts = ["<p>", "</p>", "<b>", "</b>", "<br>", "<div class='x'>", "</div>", "<script>var a='</p>';</script>",
              "<style>p{}</style>", "<!-- c -->", "&amp;", "&amp;amp;", "&lt;i&gt;", "&nbsp;", " ", "\n", "Wort",
              "été", "a < b", "<nav>menu</nav>", "<footer>(c)</footer>", "<article>", "</article>", "<h2>T</h2>",
-             "<a href='/x'>link</a>", "&copy;", "<li>i</li>"]
+             "<a href='/x'>link</a>", "&copy;", "<li>i</li>",
+             "&eacute;", "&#233;", "&#xE9;", "&nope;", "&", ";", "&#160;", "&#0;", "&CounterClockwiseContourIntegral;"]
     docs = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 25))) for _ in range(300)]
     df = spark.createDataFrame([(i, d) for i, d in enumerate(docs)], "i int, h string")
     got = {r.i: (r.t, r.b) for r in df.select("i", H.strip_html(F.col("h")).alias("t"),
