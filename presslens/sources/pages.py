@@ -2,9 +2,7 @@
 DataFrame jobs over a whole table of pages (page_id, url, html).
 
 Each page is parsed independently with native regex expressions; arrays of
-matches are exploded with their position so "first k in page order" stays
-exact. The only shuffles are keyed by (page, url) and bounded by the anchors
-of one page.
+matches keep their position so "first k in page order" stays exact.
 """
 
 from __future__ import annotations
@@ -32,34 +30,28 @@ def anchor_text(a: Column) -> Column:
     return H.decode_entities(t)
 
 
-def anchors(pages: DataFrame) -> DataFrame:
-    """One row per anchor: page_id, page url, pos (0-based, page order), href, text."""
-    exploded = pages.select("page_id", F.col("url").alias("page_url"),
-                            F.posexplode(F.regexp_extract_all("html", F.lit(ANCHOR_RE), 0)).alias("pos", "a"))
-    return exploded.select("page_id", "page_url", "pos",
-                           F.regexp_extract("a", HREF_RE, 1).alias("href"),
-                           anchor_text(F.col("a")).alias("text"),
-                           F.col("a").rlike(r"(?is)^<a\b[^>]*?\bhref\s*=").alias("has_href"))
-
-
 def harvest_links(pages: DataFrame, href_pattern: str, max_links: int = MAX_HOMEPAGE_LINKS) -> DataFrame:
     """Homepage link harvest: anchors whose href matches ``href_pattern``, one
     row per distinct URL in first-seen order, title = first non-empty anchor
     text, stopping when ``max_links`` distinct URLs were collected (texts of
-    anchors after that point are not seen)."""
-    a = anchors(pages).filter(F.col("has_href") & F.col("href").rlike(href_pattern))
-    first = a.groupBy("page_id", "href").agg(F.min("pos").alias("first_pos"))
-    w = Window.partitionBy("page_id").orderBy("first_pos")
-    first = first.withColumn("rank", F.row_number().over(w).cast("bigint"))
-    cutoff = (first.filter(F.col("rank") == max_links)
-              .select("page_id", F.col("first_pos").alias("cutoff")))
-    kept = first.filter(F.col("rank") <= max_links).join(cutoff, "page_id", "left")
-    titled = (a.filter(F.col("text") != "")
-              .groupBy("page_id", "href").agg(F.min_by("text", "pos").alias("title"), F.min("pos").alias("tpos")))
-    out = kept.join(titled, ["page_id", "href"], "left")
-    seen = F.col("cutoff").isNull() | (F.col("tpos") <= F.col("cutoff"))
-    return out.select("page_id", F.col("href").alias("url"),
-                      F.when(seen, F.col("title")).alias("title"), "rank")
+    anchors after that point are not seen). Array functions within each page's
+    row: nothing is shuffled."""
+    def href(a: Column) -> Column:
+        return F.regexp_extract(a, HREF_RE, 1)
+
+    wanted = F.filter(F.regexp_extract_all("html", F.lit(ANCHOR_RE), F.lit(0)),
+                      lambda a: a.rlike(r"(?is)^<a\b[^>]*?\bhref\s*=") & href(a).rlike(href_pattern))
+    found = pages.select("page_id", F.transform(wanted, lambda a: F.struct(
+        href(a).alias("url"), anchor_text(a).alias("text"))).alias("links"))
+    found = found.withColumn("urls", F.slice(F.array_distinct(F.col("links.url")), 1, max_links))
+    # the anchor that brings the last URL is the last one seen
+    last = F.array_position("links.url", F.try_element_at("urls", F.lit(max_links))).cast("int")
+    seen = F.when(F.size("urls") == max_links, F.slice("links", 1, last)).otherwise(F.col("links"))
+    found = found.select("page_id", "urls", F.filter(seen, lambda m: m["text"] != "").alias("titled"))
+    # outer: an inner explode would test the whole chain for emptiness a second time
+    out = found.select("page_id", "titled", F.posexplode_outer("urls").alias("pos", "url")).filter("url IS NOT NULL")
+    same = F.filter("titled", lambda m: m["url"] == F.col("url"))
+    return out.select("page_id", "url", F.get(same, 0)["text"].alias("title"), (F.col("pos") + 1).cast("bigint").alias("rank"))
 
 
 def list_items(pages: DataFrame, item_re: str, fallback_re: str | None = None,
