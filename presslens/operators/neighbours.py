@@ -61,7 +61,9 @@ def neighbours_topk(vectors: DataFrame, k: int = 5, block: str = "label", id_col
     v = vectors.select(F.col(id_col).alias("vec_id"), F.col(block).alias("block"),
                        F.col(vec).cast("array<double>").alias("v"))
     norm = F.sqrt(F.aggregate(F.col("v"), F.lit(0.0), lambda acc, x: acc + x * x))
-    v = v.withColumn("v", F.transform("v", lambda x: x / norm))
+    # no direction, no neighbours: null, zero and non-finite vectors take no part
+    v = v.withColumn("norm", norm).filter((F.col("norm") > 0) & (F.col("norm") < float("inf")))
+    v = v.withColumn("v", F.transform("v", lambda x: x / F.col("norm"))).drop("norm")
     n_tiles = v.groupBy("block").agg(F.greatest(F.ceil(F.count(F.lit(1)) / F.lit(tile)), F.lit(1))
                                      .cast("int").alias("n_tiles"))
     v = v.join(n_tiles, "block").withColumn("tile", F.pmod(F.xxhash64("vec_id"), F.col("n_tiles")).cast("int"))

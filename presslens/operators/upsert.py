@@ -6,7 +6,8 @@
   the newest row per key.
 * snapshots: ``partitionBy('snapshot')`` and latest-snapshot selection with a
   literal partition filter (static partition pruning).
-* ``incremental_load``: append past a high-water mark.
+* ``append_unseen``: append of rows whose key is new; ``incremental_load``:
+  append past a high-water mark.
 
 Callers choose where a version is written; a table format with MERGE INTO would
 take the place of ``merge_latest`` plus a write.
@@ -64,6 +65,18 @@ def _loaded(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def append_unseen(spark: SparkSession, path: str, rows: DataFrame, key: str = "url") -> DataFrame:
+    """Append the rows (one per key) whose key the table at ``path`` does not have yet and return the table.
+
+    A run repeated after a failure adds nothing twice. Columns that later runs
+    bring along are NULL in earlier rows.
+    """
+    known = _loaded(spark, path)
+    fresh = rows if known is None else rows.join(known.select(key), key, "left_anti").select(*rows.columns)
+    fresh.write.mode("append").parquet(path)
+    return spark.read.option("mergeSchema", True).parquet(path)
+
+
 def incremental_load(spark: SparkSession, path: str, source: DataFrame, cursor: str = "extracted_at", key: str | None = None):
     """Append the rows of ``source`` newer than the loaded high-water mark
     (one scalar read back to the driver); returns the mark used. With ``key``,

@@ -8,8 +8,12 @@ from pyspark.sql import functions as F
 from presslens.functions import html as H
 from presslens.functions import text as T
 from presslens.functions import urls as U
+from presslens.operators import analysis as AN
 from presslens.operators import clean as C
+from presslens.operators import upsert as UP
+from presslens.plans.analysis import PRED_SQL, SCORES_SQL
 from presslens.plans.registry import register
+from presslens.session import scratch_path
 from presslens.sources import tables as S
 
 
@@ -72,3 +76,27 @@ def q_clean_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_clean_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cleaner counters: raw_in = clean_out + dropped_no_url + dropped_stub + dropped_dupe."""
     return C.clean_counts(S.raw_articles(spark, sf_dir))
+
+
+def _one_line_sql(x: str) -> str:
+    return f"regexp_replace(regexp_replace({x}, '\\s+', ' ', 'g'), '^ | $', '', 'g')"
+
+
+@register("clean_table", ids=("K04", "K07", "J05", "D01"), oracle=f"""
+WITH c AS ({CLEAN_SQL}),
+n AS (SELECT c.* REPLACE ({_one_line_sql('title')} AS title, {_one_line_sql('summary')} AS summary) FROM c),
+t AS (SELECT n.*, concat_ws(' ', title, summary) AS text FROM n),
+s AS (SELECT t.*, {SCORES_SQL} FROM t)
+SELECT source, country_target, title, summary, url, published_at, extracted_at, {PRED_SQL} AS language FROM s
+""")
+def q_clean_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cleaning job in two runs: the first arm, then all arms, of which only unseen URLs are added."""
+    path = scratch_path(spark, "articles_clean")
+    raw = S.raw_articles(spark, sf_dir)
+    for rows in (raw.filter(F.col("arm") == 0), raw):
+        c = C.clean(rows).withColumns({x: AN.normalise_whitespace(F.col(x)) for x in ("title", "summary")})
+        c = AN.detect_language(c.withColumn("text", F.concat_ws(" ", "title", "summary")))
+        columns = ["source", "country_target", "title", "summary", "url", "published_at", "extracted_at"]
+        table = UP.append_unseen(spark, path, c.select(*columns, F.col("predicted").alias("language")))
+    C.assert_unique_urls(table)
+    return table

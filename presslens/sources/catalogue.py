@@ -109,7 +109,7 @@ def parse_shard(spec: str) -> tuple[int, int]:
 def assign_shards(feeds: DataFrame, m: int, order: str = "pos") -> DataFrame:
     """Modulo shard of the ordered feed list: shard = (dense index) % m. The
     dense index needs one ordered pass over the feed list, which is bounded by
-    the catalogue size; a hash shard (pmod(xxhash64(rss), m)) avoids even that."""
+    the catalogue size."""
     idx = F.row_number().over(Window.orderBy(order)) - 1
     return feeds.withColumn("shard", (idx % m).cast("int"))
 
@@ -117,7 +117,3 @@ def assign_shards(feeds: DataFrame, m: int, order: str = "pos") -> DataFrame:
 def shard(feeds: DataFrame, spec: str, order: str = "pos") -> DataFrame:
     n, m = parse_shard(spec)
     return assign_shards(feeds, m, order).filter(F.col("shard") == n)
-
-
-def hash_shard(feeds: DataFrame, m: int, key: str = "rss") -> DataFrame:
-    return feeds.withColumn("shard", F.pmod(F.xxhash64(key), F.lit(m)).cast("int"))

@@ -333,3 +333,11 @@ def test_extract_by_rules_per_outlet(spark):
         ("Outlet KZ", "N0", "https://kz.example/n/0"), ("Outlet KZ", "N1", "https://kz.example/n/1"),
         ("Outlet KZ", "N2", "https://kz.example/n/2")]
     assert out[0].published_at == dt.datetime(2026, 5, 1)
+
+
+def test_vectors_without_direction_have_no_neighbours(spark):
+    rows = [(1, "x", [1.0, 0.0]), (2, "x", [1.0, 1.0]), (3, "x", [0.0, 0.0]), (4, "x", None),
+            (5, "x", [float("nan"), 1.0]), (6, "x", [float("inf"), 1.0]), (7, "x", [None, 1.0])]
+    v = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    got = {(r.vec_id, r.neighbour_id) for r in neighbours_topk(v, k=3).collect()}
+    assert got == {(1, 2), (2, 1)}

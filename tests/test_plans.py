@@ -11,7 +11,7 @@ PY_OPS = re.compile(r"ArrowEvalPython|BatchEvalPython|MapInPandas|MapInArrow|Fla
                     r"AggregateInPandas|WindowInPandas")
 PAIRS = re.compile(r"CartesianProduct|BroadcastNestedLoopJoin")
 # queries that write files while being built are covered by their own tests
-WRITERS = {"upsert_merge", "append_raw", "latest_snapshot", "incremental_load", "jsonl_tsv_scan"}
+WRITERS = {"upsert_merge", "append_raw", "latest_snapshot", "incremental_load", "jsonl_tsv_scan", "clean_table"}
 PYTHON_ALLOWED = {"neighbours_topk"}
 
 

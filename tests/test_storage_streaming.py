@@ -185,3 +185,13 @@ def test_incremental_load_keeps_late_rows(spark, tmp_dir):
     for _ in range(2):
         UP.incremental_load(spark, path, everything, key="seq")
     assert sorted(r.seq for r in spark.read.parquet(path).collect()) == list(range(6))
+
+
+def test_unseen_keys_are_appended_once_and_later_columns_show(spark, tmp_dir):
+    path = f"{tmp_dir}/clean"
+    UP.append_unseen(spark, path, spark.createDataFrame([("u1", "a"), ("u2", "b")], "url string, title string"))
+    later = spark.createDataFrame([("u2", "x", "de"), ("u3", "c", "fr")], "url string, title string, language string")
+    for _ in range(2):  # the second run adds nothing
+        table = UP.append_unseen(spark, path, later)
+    got = sorted((r.url, r.title, r.language) for r in table.collect())
+    assert got == [("u1", "a", None), ("u2", "b", None), ("u3", "c", "fr")]
