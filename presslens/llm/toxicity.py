@@ -10,10 +10,13 @@ three ways: per letter, per root of letters, and per expression over the PEAK
 most toxic ones, which a long text does not dilute. A logistic curve maps the
 three to 0..1.
 
-Learning uses labelled rows only: counts come from the rows whose
-crc32(id as text) mod 5 is 1, 2 or 3, the curve is fitted on 4, and 0 is held
-out. At most about MAX_LABELLED labelled rows (chosen by a hash of the id) are
-used, which bounds the model that every task gets. Every text is scored whole.
+Class counts come from every labelled row whose crc32(id as text) mod 5 is 1, 2
+or 3; the shared counts know the words of all documents, whatever their label.
+The curve is fitted on 4, on about MAX_LABELLED rows at most (chosen by a hash of
+the id), and 0 is held out. Words, counts and probabilities are tables that grow
+with the input; tasks are given only the COMMON_WORDS and COMMON_KEYS most used
+entries, which saves most of the joins, and what they lack is joined. Every text
+is scored whole. Sums are of integers, so no order of rows changes a score.
 
 Defined results: null texts count as empty; a text without words scores the share
 of toxic rows among those the curve is fitted on; a null id has crc32 of the empty
@@ -30,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from presslens.llm.shared import materialise, unused
@@ -47,6 +50,10 @@ SYMBOLS, BITS = 1022, 10
 WORD = re.compile(r"\w+")
 #: distinct words remembered by a task
 REMEMBERED = 300_000
+#: most used words and letters in context that every task is given; longer words are always joined
+COMMON_WORDS, COMMON_KEYS, LONG = 100_000, 400_000, 64
+#: log-likelihood ratios are kept in units of 1 / UNIT
+UNIT = 1 << 24
 
 
 def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -76,7 +83,10 @@ def _ratios(numerator: np.ndarray, denominator: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Model:
-    """Log-likelihood ratio of every letter that training has seen in its context, and of unseen ones by context."""
+    """The models of counts that fit in memory: what ``ratios`` is tested against.
+
+    Log-likelihood ratio of every letter that training has seen in its context, and of unseen ones by context.
+    """
 
     keys: np.ndarray
     ratio: np.ndarray
@@ -132,34 +142,6 @@ def _shared(keys: np.ndarray) -> np.ndarray:
     return probability[np.searchsorted(previous, keys & mask)]
 
 
-class Scorer:
-    """Features of texts under a model; each distinct word is scored once while it is remembered."""
-
-    def __init__(self, model: Model):
-        self.model, self.memory = model, {}
-
-    def features(self, texts: list[str | None], slice_: int = 256) -> np.ndarray:
-        """Features of all texts, a slice at a time: the words of a whole Arrow batch would take hundreds of MB."""
-        parts = [self._features(texts[at : at + slice_]) for at in range(0, len(texts), slice_)]
-        return np.concatenate(parts) if parts else np.zeros((0, 4))
-
-    def _features(self, texts: list[str | None]) -> np.ndarray:
-        """Per text: letters of its distinct words (ends included); log-likelihood ratio per letter, per root of letters, at its peak."""
-        words = [set(WORD.findall((t or "").lower())) for t in texts]
-        new = list({w for ws in words for w in ws if w not in self.memory})
-        if len(self.memory) + len(new) > REMEMBERED:
-            new = list({w for ws in words for w in ws})
-            self.memory = {}
-        self.memory.update(zip(new, self.model.score(new).tolist()))
-        value = self.memory.__getitem__
-        letters = np.array([sum(map(len, ws)) + len(ws) for ws in words], dtype=float)
-        # sorted: sets have no order to add up in that a rerun would repeat
-        ratios = [sorted(map(value, ws), reverse=True) for ws in words]
-        total = np.array([sum(r) for r in ratios])
-        peak = np.array([sum(r[:PEAK]) / PEAK for r in ratios])
-        return np.stack([letters, _ratios(total, letters), _ratios(total, np.sqrt(letters)), peak], axis=1)
-
-
 def fit_curve(features: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Logistic regression by Newton's method with a small ridge: intercept and slopes of the scaled features."""
     scale = np.maximum(features.std(axis=0), 1e-9)
@@ -180,97 +162,237 @@ def fold(id_col: str) -> Column:
     return (F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % FOLDS).cast("int")
 
 
+def _mask(order: int) -> Column:
+    """The part of a key that holds its last ``order`` letters."""
+    return F.col("key").bitwiseAND(F.lit((1 << (BITS * order)) - 1).cast("long"))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held = {0: Counter(), 1: Counter()}
+    """From text, toxic, ordinary (label rows of each class): words with the texts of each class, and all texts, that hold them."""
+    held = {(0, 0): Counter(), (1, 0): Counter(), (0, 1): Counter()}
 
     def emit() -> pa.RecordBatch:
-        parts = []
-        for toxic, words in held.items():
-            if words:
-                keys, owner = grams(list(words))
-                n = np.fromiter(words.values(), dtype=float, count=len(words))[owner]
-                parts.append((keys, n * toxic, n * (1 - toxic)))
-                words.clear()
-        keys, t, o = _sum_by(*(np.concatenate(x) for x in zip(*parts))) if parts else (np.empty(0, np.int64), np.empty(0), np.empty(0))
-        return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(t.astype(np.int64)), pa.array(o.astype(np.int64))], ["key", "toxic", "ordinary"])
+        words = [w for c in held.values() for w in c]
+        uses = np.array([n for c in held.values() for n in c.values()], dtype=np.int64)
+        kind = np.repeat(np.array(list(held), dtype=np.int64), [len(c) for c in held.values()], axis=0)
+        for c in held.values():
+            c.clear()
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *(pa.array(x) for x in (uses * kind[:, 0], uses * kind[:, 1], uses))], ["word", "toxic", "ordinary", "uses"])
 
     for rows in batches:
-        for text, toxic in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
-            held[toxic].update(set(WORD.findall((text or "").lower())))
-        if sum(map(len, held.values())) > REMEMBERED:
-            yield emit()
+        for text, toxic, ordinary in zip(*(c.to_pylist() for c in rows.columns)):
+            words = set(WORD.findall((text or "").lower()))
+            if toxic + ordinary <= 1:
+                held[toxic, ordinary].update(words)
+            else:  # learned once per label row
+                held[1, 0].update(dict.fromkeys(words, toxic) if toxic else ())
+                held[0, 1].update(dict.fromkeys(words, ordinary) if ordinary else ())
+            if sum(map(len, held.values())) > REMEMBERED:
+                yield emit()
     yield emit()
 
 
-def train(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_LABELLED):
-    """(model, curve, share of toxic rows) from the labelled rows outside the held-out fold; the model is None without both classes."""
-    spark = df.sparkSession
-    marked = labels.filter("toxic IN (0, 1)").select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
-    marked = marked.filter(fold("_id") != HELD_OUT)
-    chance = most / max(most, marked.count())
-    marked = marked.filter(F.pmod(F.xxhash64(F.lit("labelled"), "_id"), F.lit(1 << 30)) < int(chance * (1 << 30)))
-    docs = df.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
-    # ``most`` bounds the labels, so the texts stay where they are
-    rows = docs.join(F.broadcast(marked), F.col("_doc") == F.col("_id")).select("text", "toxic", fold("_id").alias("fold"))
-    rows = materialise(rows, "labelled")
-    counted = rows.filter(F.col("fold") != CURVE_FOLD).select("text", "toxic")
-    counts = counted.mapInArrow(_count, "key bigint, toxic bigint, ordinary bigint")
-    table = counts.groupBy("key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).toArrow().sort_by("key")
-    keys, toxic, ordinary = (table.column(i).to_numpy() for i in range(3))
-    curve_rows = rows.filter(F.col("fold") == CURVE_FOLD).select("text", "toxic")
-    if not (toxic.sum() and ordinary.sum()):
-        return None, None, curve_rows.agg(F.avg("toxic")).first()[0] or 0.0
-    model = spark.sparkContext.broadcast(Model.fit(keys, toxic, ordinary))
-
-    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.value)
-        for batch in batches:
-            f = scorer.features(batch.column(0).to_pylist())
-            yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in f.T), batch.column(1)], ["letters", "mean", "root", "peak", "toxic"])
+def vocabulary(docs: DataFrame, marked: DataFrame) -> DataFrame:
+    """word, toxic, ordinary, uses of every word of ``docs`` (doc_id, text), and ``wid``, its number."""
+    learned = marked.filter(~fold("_id").isin(HELD_OUT, CURVE_FOLD)).groupBy("_id")
+    learned = learned.agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("ordinary"))
+    unlearned = fold("doc_id").isin(HELD_OUT, CURVE_FOLD)
+    # only texts that can have a label to learn from meet the labels
+    met = docs.filter(~unlearned).join(learned, F.col("doc_id") == F.col("_id"), "left")
+    none = F.lit(0).cast("long")
+    rows = met.select("text", *(F.coalesce(c, none).alias(c) for c in ("toxic", "ordinary")))
+    rows = rows.unionByName(docs.filter(unlearned).select("text", none.alias("toxic"), none.alias("ordinary")))
+    counts = rows.mapInArrow(_count, "word string, toxic bigint, ordinary bigint, uses bigint").groupBy("word")
+    return materialise(counts.agg(*(F.sum(c).alias(c) for c in ("toxic", "ordinary", "uses"))).withColumn("wid", F.monotonically_increasing_id()), "words")
 
-    seen = curve_rows.mapInArrow(measure, "letters double, mean double, root double, peak double, toxic int").toArrow()
-    letters, mean, root, peak, toxic = (seen.column(i).to_numpy() for i in range(5))
-    share = float(toxic.mean()) if len(toxic) else 0.0
-    with_words = letters > 0
-    if len(set(toxic[with_words].tolist())) < 2:
-        return None, None, share
-    return model, fit_curve(np.stack([mean, root, peak], axis=1)[with_words], toxic[with_words]), share
 
+def _spell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in batches:
+        keys, owner = grams(rows.column(0).to_pylist()) if len(rows) else (np.empty(0, np.int64),) * 2
+        weights = (rows.column(1).to_numpy(), rows.column(2).to_numpy(), np.ones(len(rows)))
+        keys, *sums = _sum_by(keys, *(w[owner] for w in weights))
+        yield pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(x.astype(np.int64)) for x in sums)], ["key", "toxic", "ordinary", "uses"])
 
-def score(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", most: int = MAX_LABELLED, keep: bool = False) -> DataFrame:
-    """doc_id, held_out, score, predicted for every row; ``keep`` returns all columns of ``df`` and the score as the last one."""
-    model, curve, share = train(df, labels, id_col, text_col, most)
-    docs = df if keep else df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    at = docs.columns.index(text_col if keep else "text")
-    kinds = docs.schema
 
-    def rate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.value) if model else None
+def shared(keys: DataFrame) -> DataFrame:
+    """below, shared: what ``_shared`` computes, by the last ORDER - 1 letters of a key; each group is one context, of SYMBOLS letters at most."""
+    levels = {ORDER: keys.select("key")}
+    for order in range(ORDER - 1, 0, -1):
+        # one row per distinct key of the next order: counting rows counts its different left neighbours
+        levels[order] = levels[order + 1].groupBy(_mask(order).alias("key")).agg(F.count(F.lit(1)).alias("left"))
+    found = None
+    for order in range(1, ORDER):
+        level = levels[order]
+        if found is None:
+            level = level.withColumn("shared", F.lit(1.0 / (SYMBOLS + 1)))
+        else:
+            level = level.withColumn("below", _mask(order - 1)).join(found, "below")
+        same = Window.partitionBy(F.shiftright("key", BITS))
+        total, kinds = F.sum("left").over(same), F.count(F.lit(1)).over(same)
+        own = F.greatest(F.col("left") - DISCOUNT, F.lit(0.0)) / total
+        found = level.select(F.col("key").alias("below"), (own + DISCOUNT * kinds / total * F.col("shared")).alias("shared"))
+    return found
+
+
+def ratios(words: DataFrame) -> DataFrame:
+    """key, ratio (in units of 1 / UNIT), uses (places in words) of every letter in its context, as ``Model`` has them."""
+    spelt = words.select("word", "toxic", "ordinary").mapInArrow(_spell, "key bigint, toxic bigint, ordinary bigint, uses bigint")
+    keys = materialise(spelt.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("toxic", "ordinary", "uses"))), "keys")
+    same = Window.partitionBy(F.shiftright("key", BITS))
+
+    def layer(counts: Column, below: Column, weight: int) -> Column:
+        total, kinds = F.sum(counts).over(same), F.sum((counts > 0).cast("int")).over(same)
+        # totals are whole numbers, so that the least divisor of 1 only stands in for 0
+        share = F.greatest(total + weight, F.lit(1))
+        spare = F.when(total > 0, (DISCOUNT * kinds + weight) / share).otherwise(1.0)
+        return F.greatest(counts - DISCOUNT, F.lit(0.0)) / share + spare * below
+
+    toxic, ordinary = F.col("toxic"), F.col("ordinary")
+    rows = keys.withColumn("below", _mask(ORDER - 1)).join(shared(keys), "below")
+    rows = rows.withColumn("pooled", layer(toxic + ordinary, F.col("shared"), 0))
+    ratio = F.log(layer(toxic, F.col("pooled"), SHARED)) - F.log(layer(ordinary, F.col("pooled"), SHARED))
+    return materialise(rows.select("key", F.round(ratio * UNIT).cast("long").alias("ratio"), "uses"), "ratios")
+
+
+def _common(rows: DataFrame, most: int) -> DataFrame:
+    """The most used rows, at most ``most`` of them: all from some number of uses on."""
+    step = F.floor(F.log2("uses") * 16)
+    least, total = None, 0
+    for r in sorted(rows.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("n"), F.min("uses").alias("least")).collect(), reverse=True):
+        total += r.n
+        if total > most:
+            break
+        least = r.least
+    return rows.filter(F.col("uses") >= least) if least is not None else rows.limit(0)
+
+
+def _word_values(words: DataFrame, most: int) -> DataFrame:
+    """word, uses, value: the summed ratio of the letters of every word."""
+    known = ratios(words)
+    table = _common(known, most).select("key", "ratio").toArrow().sort_by("key")
+    given = words.sparkSession.sparkContext.broadcast(tuple(table.column(i).to_numpy() for i in range(2)))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, ratio = given.value
+        for rows in batches:
+            if not len(rows):
+                continue
+            keys, owner = grams(rows.column(0).to_pylist())
+            here = np.zeros(len(keys), bool)
+            if len(common):
+                at = np.minimum(np.searchsorted(common, keys), len(common) - 1)
+                here = common[at] == keys
+            sums = np.zeros(len(rows), np.int64)
+            if here.any():
+                np.add.at(sums, owner[here], ratio[at[here]])
+            ends = np.cumsum(np.bincount(owner[~here], minlength=len(rows)))
+            rest = pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), pa.array(keys[~here]))
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(sums), rest], ["word", "uses", "wid", "sum", "rest"])
+
+    # written before the join, so that a key of many words can be split
+    added = materialise(words.select("word", "uses", "wid").mapInArrow(add, "word string, uses bigint, wid bigint, sum bigint, rest array<bigint>"), "spelt")
+    others = added.select("wid", F.explode("rest").alias("key")).join(known.select("key", "ratio"), "key")
+    others = others.groupBy("wid").agg(F.sum("ratio").alias("others"))
+    value = F.col("sum") + F.coalesce("others", F.lit(0))
+    return materialise(added.drop("rest").join(others, "wid", "left").select("word", "uses", value.alias("value")), "values")
+
+
+def features(docs: DataFrame, values: DataFrame, most: int) -> DataFrame:
+    """rid, doc_id of ``docs`` (and text); letters of its distinct words (ends included); log-likelihood ratio per letter, per root of letters, at its peak."""
+    table = _common(values.filter(F.length("word") <= LONG), most).select("word", "value").toArrow()
+    given = docs.sparkSession.sparkContext.broadcast(dict(zip(table.column(0).to_pylist(), table.column(1).to_pylist())))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = given.value
         for batch in batches:
-            if scorer:
-                f = scorer.features(batch.column(at).to_pylist())
-                fitted = 1 / (1 + np.exp(-np.clip(curve[0] + f[:, 1:] @ curve[1:], -500, 500)))
-                values = np.where(f[:, 0] > 0, fitted, share)
-            else:
-                values = np.full(len(batch), share)
-            given = batch.columns if keep else [batch.column(0)]
-            yield pa.RecordBatch.from_arrays([*given, pa.array(values, pa.float64())], names)
-
-    rating = unused(docs, "_score")
-    names = [*docs.columns, rating] if keep else ["doc_id", rating]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kinds if keep or f.name == "doc_id"), f"{rating} double"])
-    scored = docs.mapInArrow(rate, schema)
-    if keep:
-        return scored
-    return scored.select(
+            # a slice at a time: the words of a whole Arrow batch would take hundreds of MB
+            for rows in (batch.slice(at, 256) for at in range(0, len(batch), 256)):
+                letters, sums, top, rest = [], [], [], []
+                for text in rows.column(2).to_pylist():
+                    words = set(WORD.findall((text or "").lower()))
+                    known = sorted((common[w] for w in words if w in common), reverse=True)
+                    letters.append(sum(map(len, words)) + len(words))
+                    sums.append(sum(known))
+                    top.append(known[:PEAK])
+                    rest.append([w for w in words if w not in common])
+                made = [pa.array(x, t) for x, t in zip((letters, sums, top, rest), (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.string())))]
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), *made], ["rid", "doc_id", "letters", "sum", "top", "rest"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    docs = docs.select("rid", "doc_id", "text")
+    added = materialise(docs.mapInArrow(add, f"rid bigint, doc_id {kind}, letters bigint, sum bigint, top array<bigint>, rest array<string>"), "texts")
+    others = added.select("rid", F.explode("rest").alias("word")).join(values.select("word", "value"), "word")
+    most_toxic = F.slice(F.sort_array(F.collect_list("value"), asc=False), 1, PEAK)
+    others = others.groupBy("rid").agg(F.sum("value").alias("others"), most_toxic.alias("more"))
+    both = F.concat("top", F.coalesce("more", F.array().cast("array<bigint>")))
+    peak = F.aggregate(F.slice(F.sort_array(both, asc=False), 1, PEAK), F.lit(0).cast("long"), lambda a, x: a + x)
+    total = (F.col("sum") + F.coalesce("others", F.lit(0))) / UNIT
+    per = F.greatest("letters", F.lit(1))
+    out = added.drop("rest").join(others, "rid", "left")
+    return materialise(out.select("rid", "doc_id", "letters", (total / per).alias("mean"), (total / F.sqrt(per)).alias("root"), (peak / (UNIT * PEAK)).alias("peak")), "features")
+
+
+def _rate(docs: DataFrame, labels: DataFrame, most: int, common_words: int, common_keys: int) -> DataFrame:
+    """rid, doc_id, score of ``docs`` (rid, doc_id, text)."""
+    marked = labels.filter("toxic IN (0, 1)").select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
+    curve_rows = marked.filter(fold("_id") == CURVE_FOLD)
+    chance = most / max(most, curve_rows.count())
+    curve_rows = F.broadcast(curve_rows.filter(F.pmod(F.xxhash64(F.lit("labelled"), "_id"), F.lit(1 << 30)) < int(chance * (1 << 30))))
+    on = F.col("doc_id") == F.col("_id")
+    words = vocabulary(docs, marked)
+    if not all(words.agg(F.sum("toxic"), F.sum("ordinary")).first()):
+        share = docs.select("doc_id").join(curve_rows, on).agg(F.avg("toxic")).first()[0] or 0.0
+        return docs.select("rid", "doc_id", F.lit(share).alias("score"))
+    rows = features(docs, _word_values(words, common_keys), common_words)
+    names = ["mean", "root", "peak"]
+    # in one order, as adding up depends on it
+    seen = rows.join(curve_rows, on).select("letters", *names, "toxic").toArrow()
+    seen = seen.sort_by([(c, "ascending") for c in seen.column_names])
+    letters, mean, root, peak, toxic = (seen.column(i).to_numpy() for i in range(5))
+    share = float(toxic.mean()) if len(toxic) else 0.0
+    with_words = letters > 0
+    if len(set(toxic[with_words].tolist())) < 2:
+        return rows.select("rid", "doc_id", F.lit(share).alias("score"))
+    curve = fit_curve(np.stack([mean, root, peak], axis=1)[with_words], toxic[with_words]).tolist()
+    height = sum((F.col(c) * w for c, w in zip(names, curve[1:])), F.lit(curve[0]))
+    fitted = 1 / (1 + F.exp(-F.greatest(F.lit(-500.0), F.least(F.lit(500.0), height))))
+    return rows.select("rid", "doc_id", F.when(F.col("letters") > 0, fitted).otherwise(share).alias("score"))
+
+
+def score(
+    df: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    most: int = MAX_LABELLED,
+    common_words: int = COMMON_WORDS,
+    common_keys: int = COMMON_KEYS,
+) -> DataFrame:
+    """doc_id, held_out, score, predicted for every row; ``most`` bounds the rows that the curve is fitted on."""
+    docs = df.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return _rate(docs, labels, most, common_words, common_keys).select(
         "doc_id",
         (fold("doc_id") == HELD_OUT).alias("held_out"),
-        F.col(rating).alias("score"),
-        (F.col(rating) >= 0.5).cast("int").alias("predicted"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
 
 
-def accepted(df: DataFrame, labels: DataFrame, text_col: str = "text", **settings) -> DataFrame:
+def accepted(
+    df: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    most: int = MAX_LABELLED,
+    common_words: int = COMMON_WORDS,
+    common_keys: int = COMMON_KEYS,
+) -> DataFrame:
     """The rows that are not predicted toxic, with all their columns."""
-    scored = score(df, labels, text_col=text_col, keep=True, **settings)
-    return scored.filter(F.col(scored.columns[-1]) < 0.5).select(*df.columns)
+    rid = unused(df, "_rid")
+    # numbered once and written: a second reading could number the rows otherwise
+    rows = materialise(df.withColumn(rid, F.monotonically_increasing_id()), "numbered")
+    docs = rows.select(F.col(rid).alias("rid"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rated = _rate(docs, labels, most, common_words, common_keys)
+    out = unused(rows, "_out")
+    rejected = rated.filter("score >= 0.5").select(F.col("rid").alias(out))
+    return rows.join(rejected, F.col(rid) == F.col(out), "left_anti").select(*df.columns)

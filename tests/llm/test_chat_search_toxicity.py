@@ -135,6 +135,59 @@ def test_held_out_labels_do_not_matter(spark):
     assert a == b
 
 
+def brute_scores(docs, labels):
+    """doc_id -> score, by the in-memory model of all labelled rows of the learning folds."""
+
+    def crc_fold(i):
+        return zlib.crc32(str(i).encode()) % 5
+
+    words = {i: set(toxicity.WORD.findall((t or "").lower())) for i, t in docs}
+    spelt = sorted({w for ws in words.values() for w in ws})
+    keys, owner = toxicity.grams(spelt)
+    kinds, at = np.unique(keys, return_inverse=True)
+    counts = {0: dict.fromkeys(spelt, 0), 1: dict.fromkeys(spelt, 0)}
+    for i, toxic in labels:
+        if i in words and crc_fold(i) in (1, 2, 3):
+            for w in words[i]:
+                counts[toxic][w] += 1
+    toxic, ordinary = (np.bincount(at, weights=np.array([counts[c][w] for w in spelt], float)[owner]) for c in (1, 0))
+    value = dict(zip(spelt, toxicity.Model.fit(kinds, toxic, ordinary).score(spelt).tolist()))
+    rows = {}
+    for i, ws in words.items():
+        found, letters = sorted(map(value.get, ws), reverse=True), sum(map(len, ws)) + len(ws)
+        rows[i] = [sum(found) / letters, sum(found) / letters**0.5, sum(found[:3]) / 3]
+    curve = [(rows[i], t) for i, t in labels if i in rows and crc_fold(i) == 4]
+    w = toxicity.fit_curve(np.array([f for f, _ in curve]), np.array([t for _, t in curve]))
+    return {i: float(1 / (1 + np.exp(-(w[0] + np.array(f) @ w[1:])))) for i, f in rows.items()}
+
+
+def toxic_table(spark):
+    """Half of the documents have a label; one in three labelled ones is toxic."""
+    rng = np.random.default_rng(11)
+    plain, rude = ([f"{a}{b}{c}" for a in x for b in ("ar", "olu", "in") for c in y] for x, y in (("bdgl", ("t", "mes", "k")), ("ksz", ("rk", "xt"))))
+    docs, labels = [], []
+    for i in range(1200):
+        toxic = int(i % 6 == 0)
+        text = [*rng.choice(plain, 12), *rng.choice(rude, 2 if toxic or i % 50 == 3 else 0), f"q{i}w"]
+        docs.append((i, " ".join(text)))
+        if i % 2 == 0:
+            labels.append((i, 0, toxic))
+    return spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), docs, [(i, t) for i, _, t in labels]
+
+
+@pytest.mark.parametrize("common_words,common_keys", [(100_000, 400_000), (5, 7), (0, 0)])
+def test_toxicity_counts_every_labelled_row(spark, common_words, common_keys):
+    docs, labels, texts, marks = toxic_table(spark)
+    expected = brute_scores(texts, marks)
+    # enough rows for the curve's fold, fewer than there are to learn from
+    most = sum(zlib.crc32(str(i).encode()) % 5 == 4 for i, _ in marks)
+    got = {r.doc_id: r.score for r in toxicity.score(docs, labels, most=most, common_words=common_words, common_keys=common_keys).collect()}
+    assert got.keys() == expected.keys() and most < len(marks) / 2
+    assert all(got[i] == pytest.approx(expected[i], abs=1e-4) for i in got)
+    kept = {r.doc_id for r in toxicity.accepted(docs, labels, most=most, common_words=common_words, common_keys=common_keys).collect()}
+    assert kept == {i for i, s in got.items() if s < 0.5} and 0 < len(kept) < len(got)
+
+
 def test_pipeline_stages_agree_with_the_operators(spark):
     docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
     columns = docs.columns
