@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from presslens.llm import alignment, chat, exact_dedup, mixing, packing, sharding, simhash, suffix_dedup, token_files, topk_search, toxicity
+from presslens.llm import alignment, chat, exact_dedup, mixing, packing, sharding, simhash, suffix_dedup, token_files, topk_search, toxicity, whitening
 from presslens.llm.tokens import vocabulary
 
 SHARDS = 16
@@ -73,6 +73,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copies(_table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_table(spark, sf_dir, "embeddings"))
+
+
 def op13_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(_table(spark, sf_dir, "documents"), *ALIGNED)
 
@@ -89,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_hash_tree_sharding": op8_hash_tree_sharding,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_exact_dedup": op10_exact_dedup,
+        "op12_embedding_whitening": op12_embedding_whitening,
         "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
         "pipeline": corpus_pipeline.run,
     }
