@@ -35,6 +35,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -49,9 +50,16 @@ SPACE_MARK = "▁"
 #: a space with white space on neither side: where a text falls into words
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 CROWDED_SPACE = re.compile(r"\s\s|^\s|\s$")
+#: words of visible characters up to U+024F and line ends, of which every engine of the split pattern thinks alike
+PLAIN = re.compile("[\n!-~¡-ɏ]+")
+#: Fixed value: the byte-level split pattern.
+SPLIT = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: bytes that no text holds, for entries that stand for no text
 NO_TEXT = b"\xff"
 
+#: in place of the times of pairs that are all linked once
+ONCE, ONE = b"", np.int64(1).tobytes()
+
 Record = tuple[bytes, bytes, bytes, str] | None
 
 
@@ -119,8 +127,26 @@ class Aligner:
             and not any(SPACE_MARK in p for p in pieces)
             and self.b.normalize("a  b ") == f"{SPACE_MARK}a{SPACE_MARK * 2}b{SPACE_MARK}"
         )
+        self.quick = self._ranked(spec["model"].get("merges", [])) if self.wordwise else None
+        self.names = list(map(str, range(self.span)))
         self.known: dict[str, Record] = {}
 
+    def _ranked(self, merges: list) -> tiktoken.CoreBPE | None:
+        """A faster engine for A, if A's ids are its order of merging."""
+        alphabet, ranks = byte_alphabet(), {e: i for i, e in enumerate(self.bytes_a) if e != NO_TEXT}
+        for i, merge in enumerate(merges):
+            left, right = merge.split(" ") if isinstance(merge, str) else merge
+            if ranks.get(bytes(alphabet[c] for c in left + right)) != 256 + i:
+                return None
+        return tiktoken.Encoding("a", pat_str=SPLIT, mergeable_ranks=ranks, special_tokens={})._core_bpe
+
+    def encode_a(self, texts: list[str]) -> list[list[int]]:
+        """A's ids of texts that each begin with the space in front."""
+        if self.quick is None:
+            return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
+        quick, plain = self.quick.encode_ordinary, PLAIN.fullmatch
+        return [quick(t) if plain(t, 1) else self.a.encode(t, add_special_tokens=False).ids for t in texts]
+
     def words(self, text: str) -> list[str]:
         """``text`` cut at spaces; every word stands for one space and itself."""
         if not self.wordwise:
@@ -128,11 +154,11 @@ class Aligner:
         return BETWEEN.split(text) if CROWDED_SPACE.search(text) else text.split(" ")
 
     def records(self, words: list[str]) -> list[Record]:
-        """For each word: pair codes, times of each, (A tokens, B tokens, groups, links), groups as text; None if not restored."""
+        """For each word: pair codes, times of each (or ONCE), (A tokens, B tokens, groups, links), groups as text; None if not restored."""
         if not words:
             return []
         wanted = [" " + w for w in words]
-        tokens = [e.ids for e in self.a.encode_batch(wanted, add_special_tokens=False)], self.b.encode(words, num_threads=1)
+        tokens = self.encode_a(wanted), self.b.encode(words, num_threads=1)
         expected = [w.encode() for w in wanted]
         restored = [
             b"".join(map(self.bytes_a.__getitem__, a)) == e == b"".join(map(self.bytes_b.__getitem__, b))
@@ -158,8 +184,11 @@ class Aligner:
         # group by group, A before B
         spoken = np.lexsort((side, group))
         g, s, w = group[spoken], side[spoken], word[spoken]
-        after = np.where(w[1:] != w[:-1], "\n", np.where(g[1:] != g[:-1], ";", np.where(s[1:] != s[:-1], "|", ","))).tolist() + [""]
-        texts = "".join([x for pair in zip(map(str, token[spoken].tolist()), after) for x in pair]).split("\n")
+        change = np.where(w[1:] != w[:-1], 3, np.where(g[1:] != g[:-1], 2, s[1:] != s[:-1]))
+        pieces = [""] * (2 * len(token) - 1)
+        pieces[::2] = map(self.names.__getitem__, token[spoken].tolist())
+        pieces[1::2] = map(",|;\n".__getitem__, change.tolist())
+        texts = "".join(pieces).split("\n")
 
         ga, ia, ta = _counted(group[side == 0], token[side == 0], self.span)
         gb, ib, tb = _counted(group[side == 1], token[side == 1], self.span)
@@ -174,9 +203,10 @@ class Aligner:
         n_links = np.bincount(pair_word, weights=times, minlength=len(counts[0])).astype(np.int64)
         sums = np.column_stack([counts[0], counts[1], np.bincount(owner, minlength=len(counts[0])), n_links]).tobytes()
         cuts = (8 * np.searchsorted(pair_word, np.arange(len(counts[0]) + 1))).tolist()
+        several = np.bincount(pair_word, weights=times > 1, minlength=len(counts[0])).tolist()
         codes, times = codes.tobytes(), times.tobytes()
         for i, (begin, end, text) in enumerate(zip(cuts, cuts[1:], texts)):
-            yield codes[begin:end], times[begin:end], sums[32 * i : 32 * i + 32], text
+            yield codes[begin:end], times[begin:end] if several[i] else ONCE, sums[32 * i : 32 * i + 32], text
 
     def align(self, texts: list[str]) -> list[list[Record]]:
         """The records of every text; no records for a text that either vocabulary does not restore."""
@@ -223,10 +253,17 @@ def _distinct(records: list[list[Record]]) -> tuple[list[bytes], list[bytes]]:
     """The distinct pairs of every text: codes and how often each is linked, packed."""
     codes, times = [], []
     for own in records:
-        code, at = np.unique(np.frombuffer(b"".join([r[0] for r in own]), np.int64), return_inverse=True)
-        weights = np.frombuffer(b"".join([r[1] for r in own]), np.int64)
+        every = np.frombuffer(b"".join([r[0] for r in own]), np.int64)
+        if any(r[1] for r in own):
+            weights = np.frombuffer(b"".join([r[1] or ONE * (len(r[0]) // 8) for r in own]), np.int64)
+            code, at = np.unique(every, return_inverse=True)
+            total = np.bincount(at, weights=weights, minlength=len(code)).astype(np.int64)
+        else:
+            every = np.sort(every)
+            first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]][: len(every)])
+            code, total = every[first], np.diff(np.r_[first, len(every)])
         codes.append(code.tobytes())
-        times.append(np.bincount(at, weights=weights, minlength=len(code)).astype(np.int64).tobytes())
+        times.append(total.tobytes())
     return codes, times
 
 
