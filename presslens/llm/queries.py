@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from presslens.llm import alignment, chat, exact_dedup, mixing, packing, sharding, simhash, suffix_dedup, token_files, topk_search, toxicity, whitening
+from presslens.llm import alignment, chat, exact_dedup, mixing, packing, passage_dedup, sharding, simhash, suffix_dedup, token_files, topk_search, toxicity, whitening
 from presslens.llm.tokens import vocabulary
 
 SHARDS = 16
@@ -73,6 +73,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.copies(_table(spark, sf_dir, "documents"))
 
 
+def op11_recompression_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passage_dedup.digest(_table(spark, sf_dir, "documents"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(_table(spark, sf_dir, "embeddings"))
 
@@ -93,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_hash_tree_sharding": op8_hash_tree_sharding,
         "op9_simhash_near_dedup": op9_simhash_near_dedup,
         "op10_exact_dedup": op10_exact_dedup,
+        "op11_recompression_dedup": op11_recompression_dedup,
         "op12_embedding_whitening": op12_embedding_whitening,
         "op13_cross_tokenizer_alignment": op13_cross_tokenizer_alignment,
         "pipeline": corpus_pipeline.run,
@@ -105,6 +110,7 @@ def oracle_sql() -> dict[str, str]:
         "op6_chat_formatting": chat.ORACLE,
         "op7_kd_tree_top_k": topk_search.ORACLE,
         "op10_exact_dedup": exact_dedup.ORACLE,
+        "op11_recompression_dedup": passage_dedup.ORACLE,
     }
     if corpus_pipeline.ORACLE_SQL:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL

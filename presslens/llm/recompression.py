@@ -22,7 +22,7 @@ U = np.uint64
 
 def mix(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
     """A 64-bit name for an ordered pair of names."""
-    h = a * U(0x9E3779B97F4A7C15) + b * U(0xC2B2AE3D27D4EB4F) + U(0x165667B19E3779F9)
+    h = a * U(0x9E3779B97F4A7C15) + np.atleast_1d(b) * U(0xC2B2AE3D27D4EB4F) + U(0x165667B19E3779F9)
     h ^= h >> U(32)
     h *= U(0xD6E8FEB86659FD93)
     h ^= h >> U(29)
