@@ -2,8 +2,8 @@
 table, merge them back (F08-F16, K06, J07, A19, A22, A23).
 
 At scale the page table dominates (HTML is 10-50x the article row), so the
-body is extracted on the page side *before* the join: only url + body (at
-most 20 000 chars) is shuffled, never the HTML.
+body is extracted on the page side *before* the join: only url + body is
+shuffled, never the HTML.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.functions import html as H
+from presslens.functions import body_text as BT
 from presslens.functions import urls as U
 from presslens.operators.dedup import first_by_key
 
@@ -48,7 +48,7 @@ def missing_body(articles: DataFrame, country: str | None = None, source_like: s
 def page_bodies(pages: DataFrame) -> DataFrame:
     """url -> body for every page (first page per url by page_id). The body is
     extracted map-side, so the dedup shuffle carries url + body, not HTML."""
-    bodies = pages.select("url", "page_id", H.extract_body(F.col("html")).alias("body"))
+    bodies = pages.select("url", "page_id", BT.extract_body(F.col("html")).alias("body"))
     return first_by_key(bodies, "url", ["page_id"]).select("url", "body")
 
 

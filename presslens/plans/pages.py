@@ -7,7 +7,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from presslens.functions import body_text as BT
 from presslens.functions import html as H
+from presslens.functions import text as T
 from presslens.functions import urls as U
 from presslens.functions.timefmt import round_half_up, round_half_up_sql
 from presslens.operators import backfill as B
@@ -192,15 +194,43 @@ def q_null_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ bodies
+def _bodies_sql() -> str:
+    """Main text per page by counting how deep each piece of a page lies, which needs
+    well-nested regions: the SQL has no stack of open elements."""
+    raw = "|".join(rf"<{t}\b[^>]*>.*?</{t}\s*>" for t in ("script", "style"))
+    piece = f"(?is)<!--.*?-->|{raw}|<[A-Za-z/!?][^>]*>|(?:[^<]|<[^A-Za-z/!?]|<$)+"
+    hidden = T.sql_list(sorted(BT.HIDDEN - BT.RAW))
+    step = "CASE WHEN ends THEN -1 ELSE 1 END"
+    depth = ", ".join(f"sum(CASE WHEN {test} THEN {step} ELSE 0 END) OVER w AS {name}"
+                      for name, test in [(f"in_{r}", f"name = '{r}'") for r in BT.REGIONS if r] + [("hidden", f"name IN ({hidden})")])
+    texts = ", ".join(f"string_agg(piece, '' ORDER BY pos) FILTER (hidden = 0 AND {test}) AS t{i}"
+                      for i, test in enumerate(f"in_{r} > 0" if r else "true" for r in BT.REGIONS))
+    lines = [f"nullif(trim(regexp_replace(regexp_replace(replace({H.decode_entities_sql(f't{i}')}, chr(160), ' '), "
+             f"'[ \t\r\f\x0b]+', ' ', 'g'), '\\s*\\n\\s*', chr(10), 'g'), ' ' || chr(10)), '')" for i in range(len(BT.REGIONS))]
+    return f"""
+SELECT page_id, url, coalesce({", ".join(lines)}) AS body FROM pages LEFT JOIN (
+  SELECT page_id, {texts} FROM (
+    SELECT page_id, pos, {depth},
+           CASE WHEN is_text THEN p WHEN name IN ({T.sql_list(sorted(BT.LINES))}) THEN chr(10) ELSE '' END AS piece
+    FROM (SELECT *, starts_with(p, '</') AS ends, NOT regexp_matches(p, '^<[A-Za-z/!?]') AS is_text,
+                 CASE WHEN NOT regexp_matches(p, '(?i)^<(script|style)') THEN lower(regexp_extract(p, '^</?([A-Za-z][A-Za-z0-9]*)', 1)) END AS name
+          FROM (SELECT page_id, unnest(ps) AS p, generate_subscripts(ps, 1) AS pos
+                FROM (SELECT page_id, regexp_extract_all(html, {_q(piece)}) AS ps FROM pages)))
+    WINDOW w AS (PARTITION BY page_id ORDER BY pos))
+  GROUP BY 1) USING (page_id)
+"""
+
+
+BODY_SQL = _bodies_sql()
+
+
 @register("body_extract", ids=("F14", "F16"), oracle=f"""
-SELECT page_id, url, {H.extract_body_sql('html')} AS body,
-       substr({H.extract_body_sql('html')}, 1, 250) AS head
-FROM pages
+SELECT page_id, url, body, substr(body, 1, 250) AS head FROM ({BODY_SQL})
 """)
 def q_body_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Main text of every page (article region, boilerplate dropped, 20 000-char cap) and its 250-char head."""
+    """Main text of every page (article region, boilerplate dropped, whole) and its 250-char head."""
     p = S.table(spark, sf_dir, "pages")
-    body = H.extract_body(F.col("html"))
+    body = BT.extract_body(F.col("html"))
     return p.select("page_id", "url", body.alias("body")).withColumn("head", F.substring("body", 1, 250))
 
 
@@ -224,7 +254,7 @@ SELECT source, sourcecountry, title, NULL::VARCHAR, url, NULL::TIMESTAMP, NULL::
 FROM ({S.DOCS_SQL})
 """
 BODIES_SQL = f"""
-SELECT url, {H.extract_body_sql('html')} AS body FROM pages
+SELECT url, body FROM ({BODY_SQL})
 QUALIFY ROW_NUMBER() OVER (PARTITION BY url ORDER BY page_id) = 1
 """
 MISSING_SQL = f"SELECT * FROM t WHERE (body IS NULL OR body = '') AND NOT {U.should_skip_sql('url')}"
@@ -309,27 +339,35 @@ def q_body_coverage_overall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.agg(F.count(F.lit(1)).alias("total"), F.count_if(has).alias("with_body"))
 
 
-METHODS = ("article_region", "whole_body", "meta_description")
-
-
 @register("method_tally", ids=("A21", "F13"), oracle=f"""
-WITH m AS (
-  SELECT page_id, 'article_region' AS method, {H.extract_body_sql('html')} IS NOT NULL AS ok FROM pages
+WITH b AS ({BODY_SQL}),
+r AS (SELECT page_id, url, {U.canonical_url_sql('url')} AS canonical FROM pages),
+m AS (
+  SELECT page_id, 'main_text' AS method, body IS NOT NULL AS ok FROM b
   UNION ALL
-  SELECT page_id, 'whole_body', {H.strip_html_sql(H.main_region_sql("regexp_replace(html, '(?is)<article\\b', '<x', 'g')"))} IS NOT NULL FROM pages
+  SELECT page_id, 'visible_text', {H.strip_html_sql('html')} IS NOT NULL FROM pages
   UNION ALL
-  SELECT page_id, 'meta_description', {_meta_sql('html')} IS NOT NULL FROM pages)
+  SELECT page_id, 'meta_description', {_meta_sql('html')} IS NOT NULL FROM pages
+  UNION ALL
+  SELECT page_id, 'resolved_page', canonical IN (SELECT url FROM b WHERE body IS NOT NULL) FROM r WHERE canonical <> url)
 SELECT method, COUNT(*) FILTER (WHERE ok) AS succeeded, COUNT(*) AS eligible FROM m GROUP BY 1
 """)
 def q_method_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Extraction comparison: per method, pages with a non-empty result out of eligible pages.
-    Long form via one array-of-structs explode (one scan of the page table)."""
+
+    Three methods read the page itself (one array of results per page, one scan).
+    The fourth resolves the page's address to its canonical form and asks for the
+    main text of the page there; only pages with another address are eligible.
+    """
     p = S.table(spark, sf_dir, "pages")
-    no_article = F.regexp_replace("html", r"(?is)<article\b", "<x")
-    results = F.array(
-        F.struct(F.lit("article_region").alias("method"), H.extract_body(F.col("html")).isNotNull().alias("ok")),
-        F.struct(F.lit("whole_body").alias("method"), H.strip_html(H.main_region(no_article)).isNotNull().alias("ok")),
-        F.struct(F.lit("meta_description").alias("method"), H.meta_description(F.col("html")).isNotNull().alias("ok")),
-    )
-    long = p.select(F.inline(results))
+    body = BT.extract_body(F.col("html"))
+    read = p.select(
+        "url", U.canonical_url(F.col("url")).alias("canonical"), body.isNotNull().alias("main_text"),
+        H.strip_html(F.col("html")).isNotNull().alias("visible_text"), H.meta_description(F.col("html")).isNotNull().alias("meta_description"))
+    own = ("main_text", "visible_text", "meta_description")
+    results = F.array(*[F.struct(F.lit(m).alias("method"), F.col(m).alias("ok")) for m in own])
+    with_text = read.filter("main_text").select(F.col("url").alias("canonical"), F.lit(True).alias("there")).distinct()
+    resolved = read.filter("canonical <> url").select("canonical").join(with_text, "canonical", "left")
+    resolved = resolved.select(F.lit("resolved_page").alias("method"), F.coalesce("there", F.lit(False)).alias("ok"))
+    long = read.select(F.inline(results)).unionByName(resolved)
     return long.groupBy("method").agg(F.count_if("ok").alias("succeeded"), F.count(F.lit(1)).alias("eligible"))
