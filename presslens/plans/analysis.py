@@ -10,15 +10,19 @@ from pyspark.sql import functions as F
 from presslens.functions import text as TX
 from presslens.functions.timefmt import round_half_up, round_half_up_sql
 from presslens.operators import analysis as AN
+from presslens.operators import sentiment as SE
+from presslens.operators import topics as TO
 from presslens.operators.neighbours import neighbours_topk
 from presslens.operators.topk import top_k_per_group
 from presslens.plans.registry import register
+from presslens.session import written
 from presslens.sources import tables as S
 
 LANGS = sorted(AN.LANG_PROFILES)
 WORDS_SQL = "regexp_split_to_array(lower(text), '[^\\p{L}]+')"
 OUTSIDE_OUTLETS = ("src0", "src1", "src2", "src3", "src4")
 NEIGHBOURS_K = 5
+TOPICS_PER_LANGUAGE = 5
 
 
 def _lst(vals) -> str:
@@ -88,21 +92,70 @@ def q_topics_kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return model.transform(v).select("vec_id", "label", F.col("prediction").alias("cluster"))
 
 
+@register("topics_by_language", ids=("D03",))
+def q_topics_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topic clusters of the articles of each language: one k-means model per language over TF-IDF of whole texts."""
+    d = S.document_articles(spark, sf_dir, with_text=True).select("doc_id", "language", "text")
+    return TO.clusters_by_language(d, k=TOPICS_PER_LANGUAGE)[0]
+
+
+def _means_sql(keys: str, vector: str, rows: str) -> str:
+    """Mean vector per key, as a list named c."""
+    return (f"SELECT {keys}, list(x ORDER BY dim) AS c FROM (SELECT {keys}, dim, avg(x) AS x FROM "
+            f"(SELECT {keys}, unnest({vector})::DOUBLE AS x, generate_subscripts({vector}, 1) AS dim FROM {rows}) GROUP BY ALL) GROUP BY ALL")
+
+
+TEXT_VECTORS_SQL = f"""
+SELECT doc_id, list(coalesce(n, 0)::DOUBLE ORDER BY i) AS t
+FROM (SELECT DISTINCT doc_id FROM buckets) CROSS JOIN range({TO.TEXT_DIMS}) r(i) LEFT JOIN buckets USING (doc_id, i) GROUP BY 1
+"""
+TOPIC_CTES = f"""
+said AS (SELECT doc_id, unnest({WORDS_SQL}) AS w FROM documents),
+buckets AS (SELECT doc_id, ('0x' || substr(md5(w), 1, 8))::BIGINT % {TO.TEXT_DIMS} AS i, count(*) AS n FROM said WHERE length(w) >= {TO.MIN_WORD} GROUP BY 1, 2),
+texts AS ({TEXT_VECTORS_SQL}),
+centroids AS ({_means_sql("label", "embedding", "embeddings")}),
+vectors AS ({_means_sql("vec_id", "embedding", "embeddings")}),
+by_vector AS (
+  SELECT d.doc_id, k.label AS topic FROM (SELECT DISTINCT doc_id FROM documents) d JOIN vectors v ON v.vec_id = d.doc_id CROSS JOIN centroids k
+  QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY round(list_cosine_similarity(v.c, k.c), {TO.DECIMALS}) DESC, k.label) = 1),
+known AS (SELECT d.lang, b.topic, t.t FROM documents d JOIN by_vector b USING (doc_id) JOIN texts t USING (doc_id)),
+stories AS ({_means_sql("lang, topic", "t", "known")}),
+by_text AS (
+  SELECT d.doc_id, k.topic FROM documents d JOIN texts t USING (doc_id) JOIN stories k USING (lang)
+  QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY round(list_cosine_similarity(t.t, k.c), {TO.DECIMALS}) DESC, k.topic) = 1),
+topics AS (SELECT d.doc_id, coalesce(b.topic, t.topic) AS topic FROM documents d LEFT JOIN by_vector b USING (doc_id) LEFT JOIN by_text t USING (doc_id))
+"""
+
+
+def _topics(spark, sf_dir):
+    """Articles of the documents, with their topic."""
+    d = S.document_articles(spark, sf_dir, with_text=True)
+    return TO.assign_topics(d, S.table(spark, sf_dir, "embeddings"), "doc_id", "text", "language")
+
+
+@register("article_table", ids=("D04",), oracle=f"""
+WITH {TOPIC_CTES}
+SELECT d.doc_id, url, source, sourcecountry AS country_target, language, title, topic
+FROM ({S.DOCS_SQL}) d JOIN topics USING (doc_id)
+""")
+def q_article_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The canonical article table: every article with its topic, by its vector or else by its text."""
+    return _topics(spark, sf_dir).select("doc_id", "url", "source", F.col("sourcecountry").alias("country_target"), "language", "title", "topic")
+
+
 def _topic_events(spark, sf_dir):
-    e = S.event_articles(spark, sf_dir)
-    v = S.table(spark, sf_dir, "embeddings").select("vec_id", F.col("label").alias("topic"))
-    # an event takes the topic of one of all embeddings
-    vectors = v.agg(F.count(F.lit(1))).scalar()
-    return e.withColumn("vec_id", F.col("seq") % vectors).join(v, "vec_id")
+    """Every event with the topic of the article it is about; null where that article is not known."""
+    e = S.event_articles(spark, sf_dir).withColumn("doc_id", F.expr(f"seq div {S.EVENTS_PER_URL}"))
+    return e.join(_topics(spark, sf_dir).select("doc_id", "topic").dropDuplicates(["doc_id"]), "doc_id", "left")
 
 
 TOPIC_EVENTS_SQL = f"""
-SELECT e.*, v.label AS topic FROM ({S.EVENTS_SQL}) e JOIN embeddings v ON v.vec_id = e.seq % (SELECT count(*) FROM embeddings)
+SELECT e.*, a.topic FROM ({S.EVENTS_SQL}) e LEFT JOIN topics a ON a.doc_id = e.seq // {S.EVENTS_PER_URL}
 """
 
 
-@register("country_topic_daily", ids=("D04", "D05"), oracle=f"""
-WITH t AS ({TOPIC_EVENTS_SQL})
+@register("country_topic_daily", ids=("D05",), oracle=f"""
+WITH {TOPIC_CTES}, t AS ({TOPIC_EVENTS_SQL})
 SELECT country_target, topic, CAST(extracted_at AS DATE) AS day, COUNT(*) AS articles FROM t GROUP BY 1, 2, 3
 """)
 def q_country_topic_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +166,7 @@ def q_country_topic_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("top_outlets_per_topic", ids=("D07",), oracle=f"""
-WITH t AS ({TOPIC_EVENTS_SQL})
+WITH {TOPIC_CTES}, t AS ({TOPIC_EVENTS_SQL})
 SELECT topic, source, COUNT(*) AS articles FROM t GROUP BY 1, 2
 QUALIFY ROW_NUMBER() OVER (PARTITION BY topic ORDER BY COUNT(*) DESC, source) <= 3
 """)
@@ -124,7 +177,7 @@ def q_top_outlets_per_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("attention_asymmetry", ids=("D06",), oracle=f"""
-WITH t AS ({TOPIC_EVENTS_SQL}),
+WITH {TOPIC_CTES}, t AS ({TOPIC_EVENTS_SQL}),
 c AS (SELECT country_target, topic, COUNT(*) AS n FROM t GROUP BY 1, 2),
 tot AS (SELECT country_target, SUM(n) AS tot FROM c GROUP BY 1),
 grid AS (SELECT tot.country_target, tp.topic, tot.tot FROM tot CROSS JOIN (SELECT DISTINCT topic FROM c) tp),
@@ -222,25 +275,48 @@ def q_neighbours_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("similarity", F.round("similarity", 6))
 
 
-SENTIMENT_SQL = f"""
-SELECT doc_id, CAST(len(list_filter({WORDS_SQL}, lambda x: x IN ({_lst(AN.NEGATIVE_LEXICON)}))) AS INTEGER) AS hits
-FROM documents
+# an article of good quality that is not toxic is the positive class, a toxic one the negative; others teach nothing
+LEXICON_CTES = f"""
+lab AS (SELECT text, (toxic = 1)::BIGINT AS negative FROM documents JOIN labels USING (doc_id)
+        WHERE (toxic = 1 OR quality = 1) AND doc_id % {SE.FOLDS} <> {SE.HELD_OUT}),
+tot AS (SELECT count(*)::DOUBLE AS n, sum(negative)::DOUBLE AS n_neg FROM lab),
+per AS (SELECT w, count(*)::DOUBLE AS docs, sum(negative)::DOUBLE AS neg
+        FROM (SELECT negative, unnest(list_distinct({WORDS_SQL})) AS w FROM lab) WHERE w <> '' GROUP BY 1),
+lex AS (SELECT w, round(ln(((docs - neg + {SE.SMOOTHING} * docs / n) / (n - n_neg + {SE.SMOOTHING}))
+                           / ((neg + {SE.SMOOTHING} * docs / n) / (n_neg + {SE.SMOOTHING}))), 6) AS weight
+        FROM per, tot WHERE docs < n AND n_neg > 0
+          AND abs((neg - docs / n * n_neg) / sqrt(docs / n * n_neg * (1 - docs / n))) > {SE.SIGNIFICANT}),
+hit AS (SELECT doc_id, count(*) AS hits, sum(weight::DECIMAL(18, 6))::DOUBLE AS total
+        FROM (SELECT doc_id, unnest(list_distinct({WORDS_SQL})) AS w FROM documents) JOIN lex USING (w) GROUP BY 1),
+rated AS (SELECT d.doc_id, d.lang, coalesce(hits, 0) AS hits, round(tanh(coalesce(total, 0) / 2), 6) AS score
+          FROM documents d LEFT JOIN hit USING (doc_id)),
+sent AS (SELECT *, CASE WHEN score <= {SE.NEGATIVE} THEN 'negative' WHEN score >= {SE.POSITIVE} THEN 'positive' ELSE 'neutral' END AS sentiment
+         FROM rated)
 """
 
 
-@register("sentiment_labels", ids=("D08",), oracle=f"""
-WITH s AS ({SENTIMENT_SQL})
-SELECT doc_id, hits, CASE WHEN hits > 0 THEN 'negative' ELSE 'neutral' END AS sentiment FROM s
-""")
+def _truth(spark, sf_dir):
+    toxic, good = F.col("toxic") == 1, F.col("quality") == 1
+    return S.table(spark, sf_dir, "labels").select(
+        "doc_id", toxic.alias("negative"), F.when(toxic | good, toxic).alias("class"))
+
+
+def _sentiment(spark, sf_dir):
+    """Every document rated with a lexicon learned from the labels outside the held-out fold."""
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "text")
+    learned = d.join(_truth(spark, sf_dir).filter(~SE.held_out(F.col("doc_id"))).select("doc_id", "class"), "doc_id")
+    return SE.score(d, SE.learn_lexicon(learned, negative="class"))
+
+
+@register("sentiment_labels", ids=("D08",), oracle=f"WITH {LEXICON_CTES} SELECT doc_id, hits, score, sentiment FROM sent")
 def q_sentiment_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lexicon sentiment label per document (negative when any lexicon word occurs)."""
-    d = S.table(spark, sf_dir, "documents")
-    s = d.select("doc_id", AN.lexicon_hits(F.col("text")).alias("hits"))
-    return s.withColumn("sentiment", F.when(F.col("hits") > 0, "negative").otherwise("neutral"))
+    """Sentiment score (-1 to 1) and label of every document, by words learned from the labelled ones."""
+    return _sentiment(spark, sf_dir)
 
 
 @register("sentiment_eval", ids=("D09",), oracle=f"""
-WITH s AS ({SENTIMENT_SQL}), j AS (SELECT s.hits > 0 AS pred, l.toxic = 1 AS truth FROM s JOIN labels l USING (doc_id))
+WITH {LEXICON_CTES},
+j AS (SELECT sentiment = 'negative' AS pred, toxic = 1 AS truth FROM sent JOIN labels USING (doc_id) WHERE doc_id % {SE.FOLDS} = {SE.HELD_OUT})
 SELECT COUNT(*) FILTER (WHERE pred AND truth) AS tp, COUNT(*) FILTER (WHERE pred AND NOT truth) AS fp,
        COUNT(*) FILTER (WHERE NOT pred AND truth) AS fn, COUNT(*) FILTER (WHERE NOT pred AND NOT truth) AS tn,
        {round_half_up_sql("COUNT(*) FILTER (WHERE pred AND truth) / nullif(COUNT(*) FILTER (WHERE pred), 0)", 4)} AS "precision",
@@ -248,24 +324,17 @@ SELECT COUNT(*) FILTER (WHERE pred AND truth) AS tp, COUNT(*) FILTER (WHERE pred
 FROM j
 """)
 def q_sentiment_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Evaluation of the lexicon label against the labelled ground truth (toxic): confusion counts, precision, recall."""
-    d = S.table(spark, sf_dir, "documents").select("doc_id", AN.lexicon_hits(F.col("text")).alias("hits"))
-    lab = S.table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    j = d.join(lab, "doc_id").select((F.col("hits") > 0).alias("pred"), (F.col("toxic") == 1).alias("truth"))
-    out = j.agg(F.count_if(F.col("pred") & F.col("truth")).alias("tp"),
-                F.count_if(F.col("pred") & ~F.col("truth")).alias("fp"),
-                F.count_if(~F.col("pred") & F.col("truth")).alias("fn"),
-                F.count_if(~F.col("pred") & ~F.col("truth")).alias("tn"))
-    return out.select("*",
-                      round_half_up(F.col("tp") / F.nullif(F.col("tp") + F.col("fp"), F.lit(0)), 4).alias("precision"),
-                      round_half_up(F.col("tp") / F.nullif(F.col("tp") + F.col("fn"), F.lit(0)), 4).alias("recall"))
+    """The negative label against the labelled ground truth (toxic) on rows never learned from: confusion counts, precision, recall."""
+    out = SE.evaluate(_sentiment(spark, sf_dir), _truth(spark, sf_dir).select("doc_id", "negative"))
+    return out.select("tp", "fp", "fn", "tn", round_half_up(F.col("precision"), 4).alias("precision"),
+                      round_half_up(F.col("recall"), 4).alias("recall"))
 
 
 @register("sentiment_spread", ids=("D06", "D08"), oracle=f"""
-WITH s AS ({SENTIMENT_SQL}),
-c AS (SELECT d.lang AS sourcecountry, COUNT(*) AS docs, COUNT(*) FILTER (WHERE s.hits > 0) AS negative
-      FROM documents d JOIN s USING (doc_id) GROUP BY 1)
-SELECT sourcecountry, docs, negative, round(negative / docs, 6) AS negative_share,
+WITH {LEXICON_CTES},
+c AS (SELECT lang AS sourcecountry, COUNT(*) AS docs, COUNT(*) FILTER (WHERE sentiment = 'negative') AS negative,
+             COUNT(*) FILTER (WHERE sentiment = 'positive') AS positive FROM sent GROUP BY 1)
+SELECT sourcecountry, docs, negative, positive, round(negative / docs, 6) AS negative_share,
        round(MAX(negative / docs) OVER () - MIN(negative / docs) OVER (), 6) AS spread
 FROM c
 """)
@@ -273,10 +342,47 @@ def q_sentiment_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sentiment spread across countries: each country's share of negative
     documents and the max - min of those shares (window over one row per country)."""
     from pyspark.sql import Window
-    d = S.table(spark, sf_dir, "documents").select(F.col("lang").alias("sourcecountry"),
-                                                    (AN.lexicon_hits(F.col("text")) > 0).alias("neg"))
-    c = d.groupBy("sourcecountry").agg(F.count(F.lit(1)).alias("docs"), F.count_if("neg").alias("negative"))
+    d = S.table(spark, sf_dir, "documents", spread_rows=False).select("doc_id", F.col("lang").alias("sourcecountry"))
+    rated = d.join(_sentiment(spark, sf_dir), "doc_id")
+    c = rated.groupBy("sourcecountry").agg(
+        F.count(F.lit(1)).alias("docs"), F.count_if(F.col("sentiment") == "negative").alias("negative"),
+        F.count_if(F.col("sentiment") == "positive").alias("positive"))
     share = F.col("negative") / F.col("docs")
     everything = Window.partitionBy()
-    return c.select("sourcecountry", "docs", "negative", F.round(share, 6).alias("negative_share"),
+    return c.select("sourcecountry", "docs", "negative", "positive", F.round(share, 6).alias("negative_share"),
                     F.round(F.max(share).over(everything) - F.min(share).over(everything), 6).alias("spread"))
+
+
+@register("narrative_divergence", ids=("D06",), oracle=f"""
+WITH {TOPIC_CTES}, {LEXICON_CTES},
+a AS (SELECT d.doc_id, d.lang AS country, topic FROM documents d JOIN topics USING (doc_id)),
+told AS (SELECT * FROM a WHERE topic IS NOT NULL AND country IS NOT NULL),
+scored AS (SELECT told.*, score, t FROM told JOIN sent USING (doc_id) LEFT JOIN texts USING (doc_id)),
+means AS ({_means_sql("topic, country", "t", "scored")}),
+told_per AS (SELECT topic, country, COUNT(*) / (SELECT COUNT(*) FROM a b WHERE b.country = scored.country) AS share, AVG(score) AS mood
+        FROM scored GROUP BY 1, 2),
+k AS (SELECT topic, country, w AS token, COUNT(*) AS k FROM told JOIN said USING (doc_id)
+      WHERE length(w) >= {TO.MIN_WORD} GROUP BY 1, 2, 3),
+p AS (SELECT topic, country, token, k / SUM(k) OVER (PARTITION BY topic, country) AS p FROM k),
+pairs AS (SELECT x.topic, x.country, y.country AS country2, abs(x.share - y.share) AS attention, abs(x.mood - y.mood) AS sentiment
+          FROM told_per x JOIN told_per y ON x.topic = y.topic AND x.country < y.country),
+terms AS (
+  SELECT topic, country, country2, token, SUM(p) AS p, SUM(q) AS q FROM (
+    SELECT g.topic, g.country, g.country2, token, p, 0 AS q FROM pairs g JOIN p ON p.topic = g.topic AND p.country = g.country
+    UNION ALL
+    SELECT g.topic, g.country, g.country2, token, 0, p FROM pairs g JOIN p ON p.topic = g.topic AND p.country = g.country2)
+  GROUP BY ALL),
+js AS (SELECT topic, country, country2, 0.5 * SUM(CASE WHEN p > 0 THEN p * ln(2 * p / (p + q)) ELSE 0 END
+                                               + CASE WHEN q > 0 THEN q * ln(2 * q / (p + q)) ELSE 0 END) AS framing FROM terms GROUP BY 1, 2, 3)
+SELECT g.topic, g.country, g.country2, round(attention, 6) AS attention, round(coalesce(framing, ln(2)), 6) AS framing,
+       round(1 - list_cosine_similarity(m.c, m2.c), 6) AS distance, round(sentiment, 6) AS sentiment
+FROM pairs g LEFT JOIN js USING (topic, country, country2)
+LEFT JOIN means m ON m.topic = g.topic AND m.country = g.country LEFT JOIN means m2 ON m2.topic = g.topic AND m2.country = g.country2
+""")
+def q_narrative_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How differently two countries cover a topic: attention, framing, distance and sentiment per (topic, country, country2)."""
+    articles = written(_topics(spark, sf_dir).select("doc_id", F.col("sourcecountry").alias("country"), "topic"), "article-topics")
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = d.select("doc_id", F.explode(AN.words(F.col("text"))).alias("token")).filter(F.length("token") >= TO.MIN_WORD)
+    out = TO.narrative_divergence(articles, tokens, TO.text_vectors(d, "doc_id", "text"), _sentiment(spark, sf_dir))
+    return out.select("topic", "country", "country2", *[F.round(c, 6).alias(c) for c in ("attention", "framing", "distance", "sentiment")])

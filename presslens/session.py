@@ -62,3 +62,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df, name: str):
+    """``df`` written once under the shared checkpoint folder and read back: what several
+    parts of a query use is computed once, and a lost executor costs only its own tasks."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
