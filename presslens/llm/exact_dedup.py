@@ -74,12 +74,10 @@ def copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", heavy:
         verified.groupBy("digest").agg(F.max(top).alias("top"), F.count(F.lit(1)).alias("group_size")), "winners"
     )
     settled = rows.join(F.broadcast(winners), "digest")
-    same = Window.partitionBy("digest")
-    rest = (
-        rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
-        .withColumn("top", F.max(top).over(same))
-        .withColumn("group_size", F.count(F.lit(1)).over(same))
-    )
+    light = rows.join(F.broadcast(winners.select("digest")), "digest", "left_anti")
+    # the groups are written before the join: a join of plain shuffles can be split where a digest is common
+    groups = materialise(light.groupBy("digest").agg(F.max(top).alias("top"), F.count(F.lit(1)).alias("group_size")), "groups")
+    rest = light.join(groups, "digest")
     return settled.unionByName(rest).select(
         "doc_id",
         F.col("top.doc_id").alias("keep_id"),

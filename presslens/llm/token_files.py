@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from presslens.llm.shared import materialise, width
@@ -38,6 +38,12 @@ SEQUENCE = 2048
 BATCH = 128
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """``folder`` with its file system: one without a scheme lies on the cluster's default one, as for Spark itself."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri if "://" in uri else "file://" + uri.removeprefix("file:"))
 
@@ -137,7 +143,7 @@ def write(
 ) -> DataFrame:
     """Write the token files and return their manifest: range, tokens, documents (paths), n_docs, n_ids."""
     spark = df.sparkSession
-    folder = folder or scratch_path(spark, "tokens")
+    folder = qualified(spark, folder or scratch_path(spark, "tokens"))
     docs = df.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     order = [F.col("doc_id"), F.col("hash")]
     dealt = docs.withColumn("hash", F.xxhash64("text")).repartitionByRange(width(spark), *order).sortWithinPartitions(*order)

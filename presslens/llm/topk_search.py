@@ -12,8 +12,9 @@ block of queries. Results per shard are at most k a query and are ranked per
 query.
 
 Defined results: vectors that are null, or hold null or non-finite components,
-or have no id, take no part; rows that repeat an id count once, with the largest
-vector; a query meets vectors of its own length only; ties go to the smaller id
+or have no id, take no part; rows that repeat an id are rows of their own, as
+queries and as candidates, and a query only leaves its own row out; it meets
+vectors of its own length only; ties go to the smaller id
 (nodes keep their smallest id, so crowds of equal vectors are skipped at once);
 empty vectors score 0; scores beyond the range of a long are cut off there.
 """
@@ -35,20 +36,19 @@ SHARD, BLOCK, LEAF = 4096, 1024, 64
 
 
 def integer_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(vec_id, vector): floor(scale * x) of every component, of the rows that take part."""
+    """(rid, vec_id, vector): floor(scale * x) of every component, of the rows that take part, each with a number of its own."""
     v = F.col(vector_col)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     # the vector is only looked at where it is known to be finite
     scaled = F.when(v.isNotNull() & finite, F.transform(v, lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))))
-    rows = df.select(F.col(id_col).alias("vec_id"), scaled.alias("vector")).filter("vec_id IS NOT NULL AND vector IS NOT NULL")
-    return rows.groupBy("vec_id").agg(F.max("vector").alias("vector"))
+    rows = df.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("vec_id"), scaled.alias("vector"))
+    return rows.filter("vec_id IS NOT NULL AND vector IS NOT NULL")
 
 
 class KDTree:
     """Median splits with tight boxes over the rows of ``points``; identical points stay in one leaf."""
 
-    def __init__(self, points: np.ndarray, ids: np.ndarray, leaf: int = LEAF):
-        self.points, self.ids = points, ids
+    def __init__(self, points: np.ndarray, ids: np.ndarray, rows: np.ndarray, leaf: int = LEAF):
         order, nodes = np.arange(len(points)), []
         stack = [(0, len(points), -1, 0)]
         while stack:
@@ -63,7 +63,7 @@ class KDTree:
                 middle = (end - start) // 2
                 order[start:end] = order[start:end][np.argpartition(inside[:, int(extent.argmax())], middle)]
                 stack += [(start, start + middle, len(nodes) - 1, 0), (start + middle, end, len(nodes) - 1, 1)]
-        self.points, self.ids = points[order], ids[order]
+        self.points, self.ids, self.rows = points[order], ids[order], rows[order]
         self.spans = [(n[0], n[1]) for n in nodes]
         self.low, self.high = (np.array([n[i] for n in nodes]).reshape(len(nodes), -1) for i in (2, 3))
         self.least_id = [int(n[4]) for n in nodes]
@@ -75,7 +75,7 @@ class KDTree:
         return np.maximum(queries, zero) @ self.high.T + np.minimum(queries, zero) @ self.low.T
 
     def search(self, query: np.ndarray, bound: np.ndarray, own: int, k: int, beat: tuple | None) -> list[tuple]:
-        """The best (score, -id) of at most k rows other than ``own``, all better than ``beat``."""
+        """The best (score, -id) of at most k rows other than row ``own``, all better than ``beat``."""
         best: list[tuple] = []  # heap of (score, -id), the worst on top
         waiting = [(-bound[0], 0)]
         while waiting:
@@ -94,7 +94,8 @@ class KDTree:
                 continue
             start, end = self.spans[node]
             scores, ids = self.points[start:end] @ query, self.ids[start:end]
-            better = np.flatnonzero((scores >= worst[0]) & (ids != own)) if worst is not None else np.flatnonzero(ids != own)
+            others = self.rows[start:end] != own
+            better = np.flatnonzero((scores >= worst[0]) & others if worst is not None else others)
             if len(better) > k:  # of equal scores the smaller ids
                 better = better[np.lexsort((ids[better], -scores[better]))[:k]]
             for i in better.tolist():
@@ -123,20 +124,20 @@ def _exact(points: np.ndarray, queries: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 
 def _search(k: int, leaf: int):
-    schema = pa.schema({"query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()})
+    schema = pa.schema({"query": pa.int64(), "query_id": pa.int64(), "vec_id": pa.int64(), "score": pa.int64()})
 
     def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
-        found: list[tuple[int, int, int]] = []
+        found: list[tuple[int, int, int, int]] = []
         if len(vectors) and len(queries):
             points, wanted = _exact(_matrix(vectors.column("vector")), _matrix(queries.column("vector")))
-            tree = KDTree(points, vectors.column("vec_id").to_numpy(), leaf)
+            tree = KDTree(points, vectors.column("vec_id").to_numpy(), vectors.column("rid").to_numpy(), leaf)
             bounds = tree.bounds(wanted)
-            ids, beats = queries.column("vec_id").to_pylist(), queries.column("beat").to_pylist()
-            for query, bound, own, beat in zip(wanted, bounds.tolist(), ids, beats):
+            rows, ids, beats = (queries.column(n).to_pylist() for n in ("rid", "vec_id", "beat"))
+            for query, bound, row, own, beat in zip(wanted, bounds.tolist(), rows, ids, beats):
                 limit = (beat["score"], -beat["vec_id"]) if beat else None
-                found += [(own, -i, s) for s, i in tree.search(query, bound, own, k, limit)]
+                found += [(row, own, -i, s) for s, i in tree.search(query, bound, row, k, limit)]
         low, high = -(1 << 63), (1 << 63) - 1
-        columns = [[f[0] for f in found], [f[1] for f in found], [min(max(int(f[2]), low), high) for f in found]]
+        columns = [*([f[i] for f in found] for i in range(3)), [min(max(int(f[3]), low), high) for f in found]]
         return pa.table([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
     return run
@@ -163,24 +164,24 @@ def top_k(
         _groups(F.col("n"), shard).alias("shards"), _groups(F.col("q"), block).alias("blocks")
     )
     shards, blocks = counts.first()
-    dealt = vectors.withColumn("dim", F.size("vector")).withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)))
+    dealt = vectors.withColumn("dim", F.size("vector")).withColumn("shard", F.pmod(F.xxhash64("rid"), F.lit(shards)))
     queries = materialise(
-        dealt.filter(is_query).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "vec_id"), F.lit(blocks))), "queries"
+        dealt.filter(is_query).withColumn("block", F.pmod(F.xxhash64(F.lit("block"), "rid"), F.lit(blocks))), "queries"
     )
     every_block = dealt.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
     keys = ["dim", "shard", "block"]
-    kinds = "query_id long, vec_id long, score long"
+    kinds = "query long, query_id long, vec_id long, score long"
 
     def search(these: DataFrame) -> DataFrame:
         return every_block.groupBy(*keys).cogroup(these.groupBy(*keys)).applyInArrow(_search(k, leaf), kinds)
 
     nothing = F.lit(None).cast("struct<score: long, vec_id: long>").alias("beat")
     at_home = materialise(search(queries.select("*", nothing)), "home")
-    best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("vec_id"))
+    best = Window.partitionBy("query").orderBy(F.col("score").desc(), F.col("vec_id"))
     kth = at_home.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") == k)
-    kth = kth.select(F.col("query_id").alias("vec_id"), F.struct("score", F.col("vec_id").alias("vec_id")).alias("beat"))
+    kth = kth.select(F.col("query").alias("rid"), F.struct("score", F.col("vec_id").alias("vec_id")).alias("beat"))
     others = F.array_except(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")), F.array("shard"))
-    sent = queries.join(kth, "vec_id", "left").withColumn("shard", F.explode(others)).select("vec_id", "vector", *keys, "beat")
+    sent = queries.join(kth, "rid", "left").withColumn("shard", F.explode(others)).select("rid", "vec_id", "vector", *keys, "beat")
     found = at_home.unionByName(search(sent))
     ranked = found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -188,14 +189,14 @@ def top_k(
 
 ORACLE = f"""
 WITH vectors AS (
-  SELECT vec_id, [floor({SCALE} * x::DOUBLE) FOR x IN embedding] AS vector FROM embeddings
+  SELECT row_number() OVER () AS rid, vec_id, [floor({SCALE} * x::DOUBLE) FOR x IN embedding] AS vector FROM embeddings
   WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.vector, v.vector)::BIGINT AS score
-  FROM vectors q JOIN vectors v ON q.vec_id % 100 = 0 AND q.vec_id <> v.vec_id
+  SELECT q.rid, q.vec_id AS query_id, v.vec_id, list_inner_product(q.vector, v.vector)::BIGINT AS score
+  FROM vectors q JOIN vectors v ON q.vec_id % 100 = 0 AND q.rid <> v.rid
 )
 SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score
 FROM scored
-WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+WINDOW best AS (PARTITION BY rid ORDER BY score DESC, vec_id)
 QUALIFY rank <= {K}
 """

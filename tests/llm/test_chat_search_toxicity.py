@@ -48,15 +48,12 @@ def test_every_assistant_turn_is_an_example(spark):
 
 
 def brute_top_k(rows, k):
-    vectors = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            whole = [math.floor(1024 * x) for x in v]
-            vectors[i] = max(vectors.get(i, whole), whole)
+    """Every row is a candidate, and a query where its id asks for it, whatever other rows have its id."""
+    kept = [(i, [math.floor(1024 * x) for x in v]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q, a in vectors.items():
+    for n, (q, a) in enumerate(kept):
         if q % 100 == 0:
-            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in vectors.items() if i != q and len(b) == len(a))
+            scored = sorted((-sum(x * y for x, y in zip(a, b)), i) for m, (i, b) in enumerate(kept) if m != n and len(b) == len(a))
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored[:k])]
     return sorted(out)
 
@@ -68,6 +65,7 @@ def test_top_k_against_brute_force(spark, shard, block, leaf):
     rows += [(500 + i, [0.25, 0.25, 0.25]) for i in range(301)]  # a crowd of equal vectors
     rows += [(1000, None), (1100, [None, 1.0, 1.0]), (1200, [float("nan"), 0.0, 0.0]), (1300, [float("inf"), 0.0, 0.0]), (None, [9.0, 9.0, 9.0])]
     rows += [(1400, []), (1401, []), (1500, [1.0, 2.0]), (1501, [-3.0, 0.1]), (100, [0.5, 0.5, 0.5]), (100, [0.5, 0.5, 0.5])]
+    rows += [(7, [2.0, 2.0, 2.0]), (7, [2.0, 2.0, 2.0]), (7, [-2.0, 0.0, 0.0]), (200, [1.0, -1.0, 0.0])]  # repeated ids
     table = spark.createDataFrame([(*r, 0, "x") for r in rows], "vec_id long, embedding array<double>, dim int, shard string")
     got = topk_search.top_k(table, F.col("vec_id") % 100 == 0, shard=shard, block=block, leaf=leaf)
     assert sorted(map(tuple, got.collect())) == brute_top_k(rows, 10)
