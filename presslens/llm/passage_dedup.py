@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,35 +38,40 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from presslens.llm.recompression import PLACE_BITS, rounds_of, segments
-from presslens.llm.shared import materialise, unused
+from presslens.llm.recompression import PLACE_BITS, rounds_of, segments, text_names
+from presslens.llm.shared import materialise, release, unused
 
 LENGTH = 20
-#: words worked on at once, words remembered by a task
-BLOCK, REMEMBERED = 1 << 19, 500_000
+#: bytes worked on at once
+BLOCK = 2_000_000
 #: bytes of classes compared by one task, and of one name's classes before its windows are aggregated instead
 SHARD, CROWDED = 2_000_000, 2_000_000
 #: rough bytes of a word and its space
 WORD = 7
+SPACE = np.isin(np.arange(256), np.frombuffer(b"\t\n\x0b\x0c\r ", np.uint8))
 
 
-class _Names(dict):
-    """64-bit names of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        name = self[word] = xxhash.xxh3_64_intdigest(word)
-        return name
-
-
-def _blocks(rows: list[tuple[int, bytes]], length: int) -> Iterator[list[tuple[int, int, list[bytes]]]]:
-    """Pieces (row, first word, words) of about BLOCK words together; longer texts go on with LENGTH - 1 words of overlap."""
+def _pieces(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
+    """(number of the first word, text); a text beyond BLOCK goes on with LENGTH - 1 words of overlap."""
+    if len(text) <= BLOCK:
+        yield 0, text
+        return
+    words = text.split()
+    begin = 0
+    while begin + length <= len(words):
+        end, held = begin, 0
+        while end < len(words) and (held <= BLOCK // 2 or end < begin + length):
+            held += len(words[end]) + 1
+            end += 1
+        yield begin, b" ".join(words[begin:end])
+        begin = end - length + 1
+
+
+def _blocks(texts: list[bytes], length: int) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Pieces (row, first word, text) of about BLOCK bytes together."""
     held, size = [], 0
-    for row, text in rows:
-        words = text.split()
-        for begin in range(0, len(words) - length + 1, BLOCK):
-            piece = words[begin : begin + BLOCK + length - 1]
+    for row, text in enumerate(texts):
+        for begin, piece in _pieces(text, length):
             if held and size + len(piece) > BLOCK:
                 yield held
                 held, size = [], 0
@@ -76,38 +81,46 @@ def _blocks(rows: list[tuple[int, bytes]], length: int) -> Iterator[list[tuple[i
         yield held
 
 
-def _found(held: list[tuple[int, int, list[bytes]]], names: _Names, length: int) -> tuple[np.ndarray, ...]:
+def _found(held: list[tuple[int, int, bytes]], length: int) -> tuple[np.ndarray, ...]:
     """(piece, start, windows, anchor less start, key, content) of the segments of a block."""
-    sizes = np.array([len(words) + 1 for _, _, words in held], dtype=np.int64)
-    ends = np.cumsum(sizes)
-    assert ends[-1] < 1 << PLACE_BITS
-    words = list(chain.from_iterable([*words, b""] for _, _, words in held))
-    separator = np.zeros(len(words), bool)
-    separator[ends - 1] = True
-    named = np.fromiter(map(names.__getitem__, words), np.uint64, len(words))
-    piece = np.repeat(np.arange(len(held)), sizes)
-    windows = np.arange(len(words))
-    windows = windows[windows + length < ends[piece]]
-    start, count, place, key = segments(named, separator, windows, length, rounds_of(length))
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    at = np.cumsum(lengths) - lengths
-    text = b" ".join(words)
-    begin, end, off = at[start].tolist(), (at[start + count - 1 + length] - 1).tolist(), place - start
+    raw = np.frombuffer(b"\n".join([text for _, _, text in held]) + b"\n", np.uint8)
+    stops = np.cumsum([len(text) + 1 for _, _, text in held]) - 1
+    space = SPACE[raw]
+    # words with one space after each
+    kept = np.flatnonzero(~space | np.r_[False, space[1:] & ~space[:-1]])
+    text = np.where(space[kept], np.uint8(32), raw[kept])
+    end = np.flatnonzero(text == 32)
+    size = np.diff(np.r_[-1, end]) - 1
+    begin = end - size
+    piece = np.searchsorted(stops, kept[end])
+    # a separator after the words of each piece
+    at = np.arange(len(end)) + piece
+    total = len(end) + len(held)
+    assert total < 1 << PLACE_BITS
+    separator = np.ones(total, bool)
+    separator[at] = False
+    names, sizes, places = np.zeros(total, np.uint64), np.ones(total, np.int64), np.zeros(total, np.int64)
+    names[at], sizes[at], places[at] = text_names(text, begin, size), size + 1, np.arange(len(end))
+    last = np.flatnonzero(separator)[piece]
+    start, count, place, key = segments(names, sizes, separator, at[at + length <= last], length, rounds_of(length))
+    word, off = places[start], place - start
+    data = text.tobytes()
     hashed = xxhash.xxh3_64_intdigest
-    content = np.fromiter((hashed(text[b:e], o) for b, e, o in zip(begin, end, off.tolist())), np.uint64, len(begin))
+    spans = zip(begin[word].tolist(), end[word + count - 2 + length].tolist(), off.tolist())
+    content = np.fromiter((hashed(data[b:e], o) for b, e, o in spans), np.uint64, len(word))
+    own = piece[word]
+    earlier = np.searchsorted(piece, np.arange(len(held)))  # words of the pieces before
     first = np.array([begin for _, begin, _ in held], dtype=np.int64)
-    own = piece[start]
-    return own, start - (ends - sizes)[own] + first[own], count, off, key.view(np.int64), content.view(np.int64)
+    return own, word - earlier[own] + first[own], count, off, key.view(np.int64), content.view(np.int64)
 
 
 def named_segments(docs: DataFrame, length: int) -> DataFrame:
     """Every segment of ``docs`` (doc_id, k2, text as bytes)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = _Names()
         for batch in batches:
-            for held in _blocks(list(enumerate(batch.column("text").to_pylist())), length):
-                piece, start, count, off, key, content = _found(held, names, length)
+            for held in _blocks(batch.column("text").to_pylist(), length):
+                piece, start, count, off, key, content = _found(held, length)
                 row = pa.array(np.array([r for r, _, _ in held], dtype=np.int64)[piece])
                 columns = [batch.column("doc_id").take(row), batch.column("k2").take(row)]
                 columns += [pa.array(x.astype(np.int32)) for x in (start, count, off)] + [pa.array(key), pa.array(content)]
@@ -125,7 +138,9 @@ def _kind(df: DataFrame) -> str:
 def recurring(found: DataFrame) -> DataFrame:
     """Segments whose name occurs more than once; the names are written first, so that a hot one can be split."""
     again = materialise(found.groupBy("key").count().filter("count > 1").select("key"), "again")
-    return found.join(again, "key", "left_semi").select(*found.columns)
+    members = materialise(found.join(again, "key", "left_semi").select(*found.columns), "recurring")
+    release(again)
+    return members
 
 
 def _same_document(a: str, b: str) -> Column:
@@ -134,22 +149,19 @@ def _same_document(a: str, b: str) -> Column:
 
 def fetched(classes: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """The words of every class, cut from its first member's text."""
-    own = classes.select("first.*", "key", "content", "windows", "crowded")
+    own = classes.select("first.*", "key", "content", "crowded", "windows")
     wanted = own.groupBy("doc_id", "k2").agg(F.collect_list(F.struct("key", "content", "crowded", "start", "windows")).alias("found"))
     joined = docs.alias("d").join(wanted.alias("w"), _same_document("d", "w")).select("d.doc_id", "d.k2", "d.text", "w.found")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (b.slice(i, 256) for b in batches for i in range(0, b.num_rows, 256)):
-            out, rows = [], []
-            for row, (text, found) in enumerate(zip(batch.column("text").to_pylist(), batch.column("found").to_pylist())):
-                words = text.split()
-                for f in found:
-                    part = words[f["start"] : f["start"] + f["windows"] + length - 1]
-                    out.append((f["key"], f["content"], f["crowded"], f["start"], b" ".join(part)))
-                rows += [row] * len(found)
-            kinds = pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.binary()
-            columns = [pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 5, kinds)]
-            columns += [batch.column(n).take(pa.array(rows, pa.int64())) for n in ("doc_id", "k2")]
+            found = batch.column("found")
+            rows = np.repeat(np.arange(batch.num_rows), found.value_lengths().to_numpy())
+            key, content, crowded, start, windows = found.flatten().flatten()
+            texts, parts = [t.split() for t in batch.column("text").to_pylist()], []
+            for row, a, n in zip(rows.tolist(), start.to_pylist(), windows.to_pylist()):
+                parts.append(b" ".join(texts[row][a : a + n + length - 1]))
+            columns = [key, content, crowded, start, pa.array(parts, pa.binary()), *(batch.column(n).take(pa.array(rows)) for n in ("doc_id", "k2"))]
             yield pa.RecordBatch.from_arrays(columns, ["key", "content", "crowded", "start", "words", "doc_id", "k2"])
 
     return joined.mapInArrow(cut, f"key bigint, content bigint, crowded boolean, start int, words binary, doc_id {_kind(docs)}, k2 bigint")
@@ -157,34 +169,38 @@ def fetched(classes: DataFrame, docs: DataFrame, length: int) -> DataFrame:
 
 def _windows(words: bytes, length: int) -> list[bytes]:
     """Every window of ``length`` words of words joined by one space."""
-    parts = words.split()
-    ends = np.cumsum([len(w) + 1 for w in parts]).tolist()
-    begins = [0, *ends]
-    return [words[begins[i] : ends[i + length - 1] - 1] for i in range(len(parts) - length + 1)]
+    ends = list(accumulate([len(w) + 1 for w in words.split()]))
+    return [words[a : b - 1] for a, b in zip([0, *ends], ends[length - 1 :])]
 
 
 def repeats_in(length: int):
     """One shard of names: the windows of each class that come earlier in another class, as from..to within the class."""
 
     def find(table: pa.Table) -> pa.Table:
-        earliest: dict[bytes, tuple] = {}
-        classes: dict[tuple[int, int], tuple[list[bytes], list[tuple]]] = {}
-        columns = (table.column(n).to_pylist() for n in ("key", "content", "words", "doc_id", "k2", "start"))
-        for key, content, words, doc_id, k2, start in zip(*columns):
+        rows = list(zip(*(table.column(n).to_pylist() for n in ("key", "content", "words", "doc_id", "k2", "start"))))
+        # documents numbered in order, so that a place is one integer
+        order = {d: i << 32 for i, d in enumerate(sorted({r[3:5] for r in rows}, key=lambda d: (d[0] is not None, *d)))}
+        earliest: dict[bytes, int] = {}
+        classes: dict[tuple[int, int], tuple[int, list[bytes]]] = {}
+        for key, content, words, doc_id, k2, start in rows:
             if (key, content) in classes:  # a repeated row is fetched once per repeat
                 continue
-            windows = _windows(words, length)
-            places = [(doc_id is not None, doc_id, k2, start + i) for i in range(len(windows))]
-            classes[key, content] = windows, places
-            for window, place in zip(windows, places):
-                if (before := earliest.setdefault(window, place)) is not place and place < before:
+            first, windows = order[doc_id, k2] + start, _windows(words, length)
+            classes[key, content] = first, windows
+            for place, window in enumerate(windows, first):
+                if earliest.setdefault(window, place) > place:
                     earliest[window] = place
         out = []
-        for (key, content), (windows, places) in classes.items():
-            again = [earliest[w] is not p for w, p in zip(windows, places)]
-            edge = np.diff(np.array([False, *again, False]).astype(np.int8))
-            runs = zip(np.flatnonzero(edge == 1).tolist(), (np.flatnonzero(edge == -1) - 1).tolist())
-            out += [(key, content, a, b) for a, b in runs]
+        for (key, content), (first, windows) in classes.items():
+            run = None
+            for i, window in enumerate(windows):
+                if earliest[window] == first + i:
+                    run = None
+                elif run is None:
+                    run = [key, content, i, i]
+                    out.append(run)
+                else:
+                    run[3] = i
         kinds = [("key", pa.int64()), ("content", pa.int64()), ("from", pa.int32()), ("to", pa.int32())]
         return pa.table({n: pa.array([r[i] for r in out], k) for i, (n, k) in enumerate(kinds)})
 
@@ -220,15 +236,16 @@ def covered_words(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, cro
     ``docs`` has doc_id, k2 (hash of the text) and text (bytes, not null).
     """
     found = materialise(named_segments(docs, length), "segments")
-    members = materialise(recurring(found), "recurring")
+    members = recurring(found)
+    release(found)
     first = F.min(F.struct("doc_id", "k2", "start")).alias("first")
     classes = members.groupBy("key", "content").agg(first, F.first("windows").alias("windows"), F.count(F.lit(1)).alias("members"))
     classes = materialise(classes, "classes")
     weight = F.sum((F.col("windows") + length) * WORD)
     several = classes.groupBy("key").agg(F.count(F.lit(1)).alias("kinds"), weight.alias("bytes")).filter("kinds > 1")
     several = materialise(several.select("key", "bytes", (F.col("bytes") > crowded).alias("crowded")), "several")
-    texts = materialise(fetched(classes.join(several, "key"), docs, length), "words")
     total, dense = several.agg(F.sum(F.when(~F.col("crowded"), F.col("bytes"))), F.count_if("crowded")).first()
+    texts = materialise(fetched(classes.join(several, "key"), docs, length), "words")
     dealt = texts.filter("NOT crowded").withColumn("shard", F.pmod(F.xxhash64("key"), F.lit((total or 0) // shard + 1)))
     repeats = dealt.groupBy("shard").applyInArrow(repeats_in(length), REPEATS)
     if dense:
@@ -237,6 +254,7 @@ def covered_words(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, cro
     # in a class, all but the first member repeat it; the first repeats what other classes have earlier
     decided = classes.join(runs, ["key", "content"], "left").filter("members > 1 OR runs IS NOT NULL")
     decided = materialise(decided.select("key", "content", "first", "runs"), "decided")
+    release(texts, several, classes)
     start, is_first = F.col("start"), F.struct("doc_id", "k2", "start").eqNullSafe(F.col("first"))
 
     def span(a: Column, b: Column) -> Column:
@@ -245,7 +263,9 @@ def covered_words(docs: DataFrame, length: int = LENGTH, shard: int = SHARD, cro
     own = F.coalesce(F.transform("runs", lambda r: span(r["from"], r["to"])), F.array().cast("array<struct<begin:int,end:int>>"))
     whole = F.array(span(F.lit(0), F.col("windows") - 1))
     spans = members.join(decided, ["key", "content"]).select("doc_id", "k2", F.explode(F.when(is_first, own).otherwise(whole)).alias("span"))
-    return spans.groupBy("doc_id", "k2").agg(F.collect_list("span").alias("covered"))
+    covered = materialise(spans.groupBy("doc_id", "k2").agg(F.collect_list("span").alias("covered")), "covered")
+    release(members, decided)
+    return covered
 
 
 def _kept(text: bytes, covered: list[dict] | None) -> tuple[int, list[bytes]]:
@@ -267,7 +287,7 @@ def _read(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard: int = SHARD, crowded: int = CROWDED) -> DataFrame:
     """One row per input row: doc_id, n_words, n_removed, kept_sha256."""
     docs = _read(df, id_col, text_col)
-    covered = materialise(covered_words(docs, length, shard, crowded), "covered")
+    covered = covered_words(docs, length, shard, crowded)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,7 +303,7 @@ def digest(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length
 def cleaned(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, shard: int = SHARD, crowded: int = CROWDED) -> DataFrame:
     """``df`` with the kept words of changed texts, joined by one space; other texts stay as they are."""
     docs = _read(df, id_col, text_col)
-    covered = materialise(covered_words(docs, length, shard, crowded), "covered")
+    covered = covered_words(docs, length, shard, crowded)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -8,7 +8,8 @@ for, so that all tasks name equal runs and pairs alike without a dictionary.
 What happens inside a stretch depends on nothing outside it, except for the runs
 and pairs at its ends. Stripping those, round by round, leaves the stretch's
 interior: symbols that stand in every stretch of the same tokens at the same
-place, wherever it lies. The longest interior symbol is the stretch's anchor.
+place, wherever it lies. The longest interior symbol, which is the one least
+likely to occur by chance, is the stretch's anchor.
 """
 
 from __future__ import annotations
@@ -31,6 +32,18 @@ def mix(a: np.ndarray, b: np.ndarray | np.uint64) -> np.ndarray:
     return h
 
 
+def text_names(text: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit name for each word of ``text`` (bytes), given where it begins and its size."""
+    if not len(begin):
+        return np.empty(0, U)
+    letter = mix(np.arange(256, dtype=U), U(3))
+    power = np.r_[U(1), np.cumprod(np.full(int(size.max()), 0xD6E8FEB86659FD93, U))]
+    # the byte after each word is a space: it adds the same to every word of a size
+    whole = size + 1
+    place = np.arange(int(whole.sum())) - np.repeat(np.cumsum(whole) - whole, whole)
+    return mix(np.add.reduceat(letter[text] * power[place], begin), size.astype(U))
+
+
 def rounds_of(length: int) -> int:
     """Rounds after which a stretch of ``length`` tokens mostly keeps an interior of some symbols."""
     return max(0, (length // 5).bit_length() - 1)
@@ -40,17 +53,16 @@ class Symbols:
     """Symbols of a block of texts at one level, with a separator after each text, and the interiors of stretches.
 
     ``begin`` and ``end`` hold, of every stretch still alive, its interior as a
-    range of symbols.
+    range of symbols; ``size`` is the length of each symbol in letters.
     """
 
-    def __init__(self, names: np.ndarray, separator: np.ndarray, begin: np.ndarray, end: np.ndarray):
-        self.names, self.separator, self.begin, self.end = names, separator, begin, end
-        self.place, self.size = np.arange(len(names)), np.ones(len(names), np.int64)
-        self.total = len(names)
+    def __init__(self, names: np.ndarray, size: np.ndarray, separator: np.ndarray, begin: np.ndarray, end: np.ndarray):
+        self.names, self.size, self.separator, self.begin, self.end = names, size, separator, begin, end
+        self.place = np.arange(len(names))
 
     def _shrink(self, first: np.ndarray, names: np.ndarray, after_begin: np.ndarray, after_end: np.ndarray) -> None:
         self.names, self.separator, self.place = names, self.separator[first], self.place[first]
-        self.size = np.diff(np.r_[self.place, self.total])
+        self.size = np.add.reduceat(self.size, first)
         self.begin, self.end = after_begin[self.begin], after_end[self.end]
 
     def runs(self) -> None:
@@ -96,10 +108,10 @@ class Symbols:
         return (best & U((1 << PLACE_BITS) - 1)).astype(np.int64)
 
 
-def anchors(names: np.ndarray, separator: np.ndarray, windows: np.ndarray, length: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+def anchors(names: np.ndarray, size: np.ndarray, separator: np.ndarray, windows: np.ndarray, length: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
     """(key, place) of the anchor of every stretch of ``length`` tokens that starts at ``windows``."""
     key, place = np.empty(len(windows), U), np.empty(len(windows), np.int64)
-    symbols = Symbols(names, separator, windows, windows + length)
+    symbols = Symbols(names, size, separator, windows, windows + length)
     alive = np.arange(len(windows))
 
     def settle(level: int, chosen: np.ndarray) -> None:
@@ -121,11 +133,11 @@ def anchors(names: np.ndarray, separator: np.ndarray, windows: np.ndarray, lengt
     return key, place
 
 
-def segments(names: np.ndarray, separator: np.ndarray, windows: np.ndarray, length: int, rounds: int) -> tuple[np.ndarray, ...]:
+def segments(names: np.ndarray, size: np.ndarray, separator: np.ndarray, windows: np.ndarray, length: int, rounds: int) -> tuple[np.ndarray, ...]:
     """(first window, number of windows, anchor's place, key) of every run of consecutive windows with one anchor."""
     if not len(windows):
         return tuple(np.empty(0, t) for t in (np.int64, np.int64, np.int64, U))
-    key, place = anchors(names, separator, windows, length, rounds)
+    key, place = anchors(names, size, separator, windows, length, rounds)
     new = np.r_[True, (place[1:] != place[:-1]) | (key[1:] != key[:-1]) | (windows[1:] != windows[:-1] + 1)]
     first = np.flatnonzero(new)
     return windows[first], np.diff(np.r_[first, len(windows)]), place[first], key[first]

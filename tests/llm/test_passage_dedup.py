@@ -20,7 +20,7 @@ def test_anchors_depend_on_nothing_but_the_window():
             named = np.concatenate([np.r_[names[t], np.uint64(0)] for t in texts]).astype(np.uint64)
             plain = np.concatenate([np.r_[t, -1] for t in texts])
             windows = np.array([i for i in range(len(plain) - length + 1) if (plain[i : i + length] >= 0).all()], dtype=np.int64)
-            key, place = recompression.anchors(named, plain < 0, windows, length, recompression.rounds_of(length))
+            key, place = recompression.anchors(named, np.ones(len(named), np.int64), plain < 0, windows, length, recompression.rounds_of(length))
             seen = {}
             for w, k, p in zip(windows.tolist(), key.tolist(), place.tolist()):
                 assert 0 <= p - w < length
@@ -70,13 +70,29 @@ def test_against_brute_force(documents, length, crowded):  # noqa: F811
 
 
 def test_long_texts_in_blocks(documents, monkeypatch):  # noqa: F811
-    rows = passages(9, 30, 500)
-    monkeypatch.setattr(passage_dedup, "BLOCK", 16)
-    blocks = passage_dedup._blocks([(r, t.encode()) for r, t in rows], 20)
-    starts = [(r, b + i) for held in blocks for r, b, words in held for i in range(len(words) - 19)]
-    assert starts == [(r, i) for r, t in rows for i in range(len(t.split()) - 19)]
-    pieces = sum((list(passage_dedup._found(h, passage_dedup._Names(), 20)[1:4]) for h in passage_dedup._blocks([(0, rows[3][1].encode() * 9)], 20)), [])
-    assert all(len(p) for p in pieces)
+    rows = [(i, t * 3) for i, t in passages(9, 30, 500)]
+    monkeypatch.setattr(passage_dedup, "BLOCK", 300)
+    texts = [t.encode() for _, t in rows]
+    starts, found = [], []
+    for held in passage_dedup._blocks(texts, 20):
+        starts += [(r, b + i) for r, b, piece in held for i in range(len(piece.split()) - 19)]
+        piece, start, count, off, _, _ = passage_dedup._found(held, 20)
+        found += [(held[p][0], s + i) for p, s, n in zip(piece.tolist(), start.tolist(), count.tolist()) for i in range(n)]
+        assert ((off >= 0) & (off < 20)).all()
+    whole = [(r, i) for r, t in rows for i in range(len(t.split()) - 19)]
+    assert starts == whole and found == whole
+    assert any(len(t) > 600 for t in texts)
+
+
+def test_names_tell_words_apart():
+    words = [b"a", b"b", b"aa", b"ab", b"ba", "é".encode(), b"x" * 50, b"x" * 51]
+    text = np.frombuffer(b" ".join(words) + b" ", np.uint8)
+    size = np.array([len(w) for w in words])
+    begin = np.cumsum(size + 1) - size - 1
+    names = recompression.text_names(text, begin, size)
+    assert len(set(names.tolist())) == len(words)
+    again = recompression.text_names(text[begin[5] :], begin[5:] - begin[5], size[5:])
+    assert again.tolist() == names[5:].tolist()
 
 
 def test_awkward_rows(awkward):  # noqa: F811
