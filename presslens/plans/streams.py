@@ -5,17 +5,24 @@ results read back from their sinks. Each oracle is the equivalent batch SQL
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.functions.timefmt import instant_to_utc_ntz
+from presslens.operators.topk import top_k_per_group
 from presslens.plans.registry import register
 from presslens.session import scratch_path
 from presslens.sources import tables as S
 from presslens.streaming import jobs as J
 
+# the files of a finished topic come in any order, so its watermark has to span the topic
+LATEST_ARRIVAL_DAYS = 400
 COLS = ["seq", "source", "country_target", "title", "summary", "url", "published_at", "extracted_at"]
-MAX_FILES = 2  # micro-batch size bound (maxFilesPerTrigger)
+MAX_FILES = 8  # files of a micro-batch (maxFilesPerTrigger), of at most ROWS_PER_FILE messages each
+STRETCH_DAYS = 5  # days of the topic that a publish of the windowed dedup brings
+RECENT = "1 minute"
 
 
 def _topic(spark: SparkSession, sf_dir: str, name: str, corrupt=None) -> str:
@@ -25,8 +32,8 @@ def _topic(spark: SparkSession, sf_dir: str, name: str, corrupt=None) -> str:
     return base
 
 
-def _messages(spark, base, max_files=MAX_FILES):
-    return J.decode(J.read_messages(spark, f"{base}/topic", max_files))
+def _messages(spark, base, max_files=None):
+    return J.decode(J.read_messages(spark, f"{base}/topic", max_files or MAX_FILES))
 
 
 EV = S.EVENTS_SQL
@@ -54,11 +61,12 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.read_newest(spark, f"{base}/table", ["url"], ["extracted_at", "seq"]).select(*COLS)
 
 
-def _windowed_counts(spark, sf_dir, name, duration, key_cols, out_name):
+def _windowed_counts(spark, sf_dir, name, duration, key_cols, out_name, max_files=None):
     base = _topic(spark, sf_dir, name)
-    msgs = J.with_event_time(_messages(spark, base, max_files=None))
-    agg = msgs.groupBy(*key_cols, F.window("_et", duration).alias("w")).agg(F.count(F.lit(1)).alias("n"))
-    agg = agg.select(*key_cols, instant_to_utc_ntz(F.col("w.start")).alias(out_name), "n")
+    msgs = J.with_event_time(_messages(spark, base, max_files), delay=f"{LATEST_ARRIVAL_DAYS} days")
+    agg = msgs.groupBy(*key_cols, F.window("_et", duration).alias("w")).agg(
+        F.count(F.lit(1)).alias("n"), F.max("extracted_at").alias("latest"))
+    agg = agg.select(*key_cols, instant_to_utc_ntz(F.col("w.start")).alias(out_name), "n", "latest")
     J.run(agg, f"{base}/ckpt", sink=J.versioned_sink(f"{base}/agg"), output_mode="update",
           state_partitions=J.default_state_partitions(spark))
     return J.read_updates(spark, f"{base}/agg", [*key_cols, out_name])
@@ -71,7 +79,7 @@ FROM e GROUP BY 1, 2
 def q_stream_pace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event-time 15-minute tumbling counts per country with a watermark (update mode)."""
     out = _windowed_counts(spark, sf_dir, "pace", "15 minutes", ["country_target"], "bucket")
-    return out.withColumnRenamed("n", "articles")
+    return out.select("country_target", "bucket", F.col("n").alias("articles"))
 
 
 @register("stream_arrivals", ids=("T07", "A15"), oracle=S.with_ctes("""
@@ -80,22 +88,47 @@ SELECT date_trunc('second', extracted_at) AS sec, COUNT(*) AS arrivals FROM e GR
 def q_stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-second arrivals as a 1-second tumbling window (update mode)."""
     out = _windowed_counts(spark, sf_dir, "arrivals", "1 second", [], "sec")
-    return out.withColumnRenamed("n", "arrivals")
+    return out.select("sec", F.col("n").alias("arrivals"))
+
+
+@register("stream_arrival_rate", ids=("T07", "A16"), oracle=S.with_ctes("""
+, s AS (SELECT date_trunc('second', extracted_at) AS sec, COUNT(*) AS arrivals FROM e GROUP BY 1)
+SELECT MAX(sec) AS as_of, SUM(arrivals)::BIGINT AS arrivals, COUNT(*) AS seconds, SUM(arrivals) / COUNT(*) AS rate
+FROM s WHERE sec >= (SELECT MAX(sec) FROM s) - INTERVAL 1 MINUTE
+""", e=EV))
+def q_stream_arrival_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages per second over the non-empty seconds of the stream's last minute."""
+    return arrival_rate(_windowed_counts(spark, sf_dir, "rate", "1 second", [], "sec"))
+
+
+def arrival_rate(seconds: DataFrame) -> DataFrame:
+    """as_of, arrivals, seconds, rate from per-second counts (sec, n); no row for a stream without messages."""
+    as_of = seconds.agg(F.max("sec").alias("as_of"))
+    last = seconds.crossJoin(as_of).filter(F.col("sec") >= F.col("as_of") - F.expr(f"INTERVAL {RECENT}"))
+    return last.groupBy("as_of").agg(F.sum("n").alias("arrivals"), F.count(F.lit(1)).alias("seconds")).withColumn(
+        "rate", F.col("arrivals") / F.col("seconds"))
 
 
 @register("stream_country_totals", ids=("T09", "A17"), oracle=S.with_ctes("""
-SELECT country_target, COUNT(*) AS articles, MAX(extracted_at) AS last_seen
+SELECT country_target, COUNT(*) AS articles, MAX(extracted_at) AS last_seen,
+       COUNT(*) FILTER (WHERE date_trunc('second', extracted_at) > (SELECT date_trunc('second', MAX(extracted_at)) FROM e) - INTERVAL 1 MINUTE) AS recent
 FROM e WHERE country_target IS NOT NULL GROUP BY 1
 """, e=EV))
 def q_stream_country_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live per-country totals and last arrival (stateful aggregate, update mode)."""
-    base = _topic(spark, sf_dir, "country")
-    msgs = _messages(spark, base).filter(F.col("country_target").isNotNull())
-    agg = msgs.groupBy("country_target").agg(F.count(F.lit(1)).alias("articles"),
-                                             F.max("extracted_at").alias("last_seen"))
-    J.run(agg, f"{base}/ckpt", sink=J.versioned_sink(f"{base}/agg"), output_mode="update",
-          state_partitions=J.default_state_partitions(spark))
-    return J.read_updates(spark, f"{base}/agg", ["country_target"])
+    """Live per-country totals, last arrival and last-minute heat, all from one stream of per-second counts."""
+    return country_heat(_windowed_counts(spark, sf_dir, "country", "1 second", ["country_target"], "sec"))
+
+
+def country_heat(seconds: DataFrame) -> DataFrame:
+    """country_target, articles, last_seen, recent (arrivals of the minute before the stream's latest second).
+
+    ``seconds`` has country_target, sec, n, latest; its seconds without a country count for the clock only.
+    """
+    as_of = seconds.agg(F.max("sec").alias("as_of"))
+    recent = F.col("sec") > F.col("as_of") - F.expr(f"INTERVAL {RECENT}")
+    known = seconds.filter("country_target IS NOT NULL").crossJoin(as_of)
+    return known.groupBy("country_target").agg(
+        F.sum("n").alias("articles"), F.max("latest").alias("last_seen"), F.coalesce(F.sum(F.when(recent, F.col("n"))), F.lit(0)).alias("recent"))
 
 
 @register("stream_first_seen", ids=("T08", "J06"), oracle=S.with_ctes("""
@@ -103,14 +136,39 @@ SELECT source, MIN(extracted_at) AS first_seen FROM e WHERE source IS NOT NULL G
 """, e=EV))
 def q_stream_first_seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First sighting of every source (state keyed by source, update mode)."""
-    base = _topic(spark, sf_dir, "first_seen")
-    msgs = _messages(spark, base).filter(F.col("source").isNotNull())
+    return first_seen(spark, sf_dir, "first_seen")
+
+
+@register("stream_sightings", ids=("T08", "J06"), oracle=S.with_ctes("""
+, f AS (SELECT source, CAST(MIN(extracted_at) AS DATE) AS refresh FROM e WHERE source IS NOT NULL GROUP BY 1),
+r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY refresh ORDER BY source) AS position FROM f
+      WHERE refresh > (SELECT MIN(refresh) FROM f))
+SELECT refresh, position, source FROM r WHERE position <= 6
+""", e=EV))
+def q_stream_sightings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New sources announced at each daily refresh: sorted, the first six; the very first refresh announces none."""
+    return announcements(first_seen(spark, sf_dir, "sightings"))
+
+
+def first_seen(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """source, first_seen from the stream, whatever the order and grouping in which messages arrive."""
+    base = _topic(spark, sf_dir, name)
+    msgs = _messages(spark, base, max_files).filter(F.col("source").isNotNull())
     agg = msgs.groupBy("source").agg(F.min("extracted_at").alias("first_seen"))
     J.run(agg, f"{base}/ckpt", sink=J.versioned_sink(f"{base}/agg"), output_mode="update",
-          state_partitions=J.default_state_partitions(spark))
+          state_partitions=J.default_state_partitions(spark), state_store="rocksdb")
     return J.read_updates(spark, f"{base}/agg", ["source"])
 
 
+def announcements(seen: DataFrame, most: int = 6) -> DataFrame:
+    """refresh (day), position, source: each source once, in the refresh that first saw it."""
+    by_day = seen.select("source", F.to_date("first_seen").alias("refresh"))
+    begun = by_day.agg(F.min("refresh").alias("begun"))
+    fresh = by_day.crossJoin(begun).filter("refresh > begun").select("refresh", "source")
+    ranked = top_k_per_group(fresh, ["refresh"], [F.asc("source")], most, rank_col="position")
+    return ranked.select("refresh", F.col("position").cast("bigint").alias("position"), "source")
+
+
 @register("stream_dedup", ids=("T13", "U05"), oracle=S.with_ctes("SELECT DISTINCT url FROM e", e=EV))
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Duplicate URLs dropped over the whole stream, in several micro-batches.
@@ -125,6 +183,66 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+@register("stream_dedup_window", ids=("T13", "U05"), oracle=S.with_ctes("SELECT url, COUNT(*) AS times FROM (SELECT DISTINCT url FROM e) GROUP BY 1", e=EV))
+def q_stream_dedup_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Duplicate URLs dropped within a watermark, so that the state forgets old URLs.
+
+    The topic arrives in stretches of five days, a publish each. A URL repeats
+    within hours, so one that was forgotten never returns and comes through once.
+    """
+    base = scratch_path(spark, "dedup_window")
+    e = S.event_articles(spark, sf_dir).select(*COLS)
+    span = e.agg(F.min("extracted_at").alias("a"), F.max("extracted_at").alias("b")).first()
+    begin = span["a"]
+    while begin is not None and begin <= span["b"]:
+        end = begin + dt.timedelta(days=STRETCH_DAYS)
+        J.publish(e.filter((F.col("extracted_at") >= F.lit(begin)) & (F.col("extracted_at") < F.lit(end))), f"{base}/topic")
+        begin = end
+    # messages of one stretch come in any order, so none of them may be late
+    once = dedup_within(spark, base, f"{STRETCH_DAYS + 1} days")
+    return once.groupBy("url").agg(F.count(F.lit(1)).alias("times"))
+
+
+def dedup_within(spark: SparkSession, base: str, window: str, max_files: int | None = None) -> DataFrame:
+    """url, seq, extracted_at: the first message per URL of each stretch; a URL may return once it was forgotten.
+
+    A URL is remembered until the watermark (the latest time seen less ``window``)
+    passes the time of its message plus ``window``. A message older than the
+    watermark is late and left out. A micro-batch goes by the watermark that the
+    batches before it have come to.
+    """
+    msgs = J.with_event_time(_messages(spark, base, max_files), delay=window)
+    once = msgs.dropDuplicatesWithinWatermark(["url"]).select("url", "seq", "extracted_at")
+    J.run(once, f"{base}/ckpt", path=f"{base}/out", state_partitions=J.default_state_partitions(spark), state_store="rocksdb")
+    return spark.read.parquet(f"{base}/out").select("url", "seq", "extracted_at")
+
+
+@register("stream_replay", ids=("T01", "T04", "T11"), oracle=S.with_ctes("""
+, h AS (SELECT *, seq < (SELECT (MIN(seq) + MAX(seq)) // 2 FROM e) AS early FROM e)
+SELECT 'first' AS run, COUNT(*) FILTER (WHERE early) AS messages, COUNT(DISTINCT url) FILTER (WHERE early) AS urls FROM h
+UNION ALL SELECT 'restart', COUNT(*) FILTER (WHERE NOT early), COUNT(DISTINCT url) FILTER (WHERE NOT early) FROM h
+UNION ALL SELECT 'replay', COUNT(*), COUNT(DISTINCT url) FROM h
+""", e=EV))
+def q_stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A consumer that stops half-way, restarts from its checkpoint, and another that replays the topic from its beginning."""
+    base = scratch_path(spark, "replay")
+    e = S.event_articles(spark, sf_dir).select(*COLS)
+    middle = e.agg(F.expr("(min(seq) + max(seq)) div 2")).scalar()
+
+    def consume(group: str, run: str) -> DataFrame:
+        msgs = _messages(spark, base).select(*COLS)
+        # each run lands its own messages; the checkpoint is the group's
+        J.run(msgs, f"{base}/ckpt-{group}", sink=J.versioned_sink(f"{base}/{run}"))
+        return spark.read.parquet(f"{base}/{run}").select(F.lit(run).alias("run"), "url")
+
+    J.publish(e.filter(F.col("seq") < middle), f"{base}/topic")
+    runs = [consume("a", "first")]
+    J.publish(e.filter(F.col("seq") >= middle), f"{base}/topic")
+    runs += [consume("a", "restart"), consume("b", "replay")]
+    every = runs[0].unionByName(runs[1]).unionByName(runs[2])
+    return every.groupBy("run").agg(F.count(F.lit(1)).alias("messages"), F.countDistinct("url").alias("urls"))
+
+
 @register("stream_quarantine", ids=("T10",), oracle=S.with_ctes("""
 SELECT CASE WHEN country_target = 'error' THEN 'quarantined' ELSE 'valid' END AS kind, COUNT(*) AS messages
 FROM e GROUP BY 1
@@ -140,14 +258,13 @@ def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("stream_progress", ids=("A20",), oracle=S.with_ctes("""
-SELECT country_target, COUNT(*) AS messages FROM e GROUP BY 1
+SELECT coalesce(country_target, '?') AS country_target, COUNT(*) AS messages, (SELECT COUNT(*) FROM e) AS total FROM e GROUP BY 1
 """, e=EV))
 def q_stream_progress(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Consumer progress counters: messages per country summed over the
-    per-batch counters that the sink records next to the data."""
+    """Consumer progress by country and in total, from the counters that the sink
+    records next to the data; the rate depends on the clock and is left out here."""
     base = _topic(spark, sf_dir, "progress")
     msgs = _messages(spark, base).select(*COLS)
     sink = J.counting_sink(J.versioned_sink(f"{base}/table"), f"{base}/progress")
     J.run(msgs, f"{base}/ckpt", sink=sink)
-    prog = spark.read.parquet(f"{base}/progress")
-    return prog.groupBy("country_target").agg(F.sum("messages").alias("messages"))
+    return J.progress(spark.read.parquet(f"{base}/progress")).drop("rate")

@@ -1,8 +1,9 @@
 """Structured Streaming jobs over the article topic.
 
-The topic is a directory of JSON-lines files (the Kafka connector jar is not
-available here; with it, only ``readStream.format('kafka')`` and
-``from_json(value.cast('string'))`` change). Each job:
+The topic is a directory of JSON-lines files by default; the format is an
+argument, so a Kafka topic is a matter of settings (its connector is not
+installed here). Files hold at most ROWS_PER_FILE messages, so a bound on the
+files of a micro-batch bounds its messages. Each job:
 
 * decodes messages with an explicit schema (PERMISSIVE; malformed lines go to
   a quarantine sink instead of stopping the stream),
@@ -10,11 +11,13 @@ available here; with it, only ``readStream.format('kafka')`` and
   or through ``foreachBatch`` writes that overwrite the folder of their batch id
   when a batch is replayed; progress is in ``checkpointLocation``,
 * runs with ``trigger(availableNow=True)`` (drain and stop) by default, or a
-  processing-time trigger for a long-running service.
+  processing-time trigger for a long-running service, which may stop by itself
+  once nothing has come for a while.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +29,8 @@ from presslens.operators.dedup import latest_by_key
 from presslens.schemas import MESSAGE
 
 CORRUPT = "_corrupt"
+#: messages in a file of the topic
+ROWS_PER_FILE = 500
 STATE_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # microsecond timestamps survive the JSON round trip
@@ -35,24 +40,34 @@ MESSAGE_WITH_CORRUPT = T.StructType(MESSAGE.fields + [T.StructField("seq", T.Lon
                                                       T.StructField(CORRUPT, T.StringType())])
 
 
-def publish(df: DataFrame, path: str, files: int = 8, corrupt_when=None) -> None:
+def publish(df: DataFrame, path: str, files: int | None = None, corrupt_when=None, rows_per_file: int = ROWS_PER_FILE) -> None:
     """One JSON message per row (UTF-8, NULL fields omitted, so an absent
-    published_at key is a valid message), files range-partitioned by time so
-    they arrive roughly in order. ``corrupt_when`` truncates matching messages
+    published_at key is a valid message). Messages are range-partitioned by time
+    so they arrive roughly in order, and files hold at most ``rows_per_file`` of
+    them; ``files`` fixes the number of ranges, which otherwise follows the
+    session's shuffle partitions. ``corrupt_when`` truncates matching messages
     (used to exercise the quarantine path)."""
     value = F.to_json(F.struct(*df.columns), JSON_OPTS)
     if corrupt_when is not None:
         value = F.when(corrupt_when, F.substring(value, 1, 25)).otherwise(value)
-    msgs = df.repartitionByRange(files, "extracted_at").select(value.alias("value"))
-    msgs.write.mode("overwrite").text(path)
+    ranged = df.repartitionByRange(*([files] if files else []), "extracted_at")
+    ranged.select(value.alias("value")).write.mode("append").option("maxRecordsPerFile", rows_per_file).text(path)
 
 
-def read_messages(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Streaming read of the topic directory; ``max_files`` bounds a micro-batch."""
-    reader = spark.readStream.format("text")
+def read_messages(spark: SparkSession, path: str | None = None, max_files: int | None = None, fmt: str = "text",
+                  options: dict[str, str] | None = None) -> DataFrame:
+    """Streaming read of a topic, one row per message in the column ``value``.
+
+    ``max_files`` bounds a micro-batch of a directory. Any other source goes by
+    its format and options, for instance ``fmt="kafka"`` with
+    ``kafka.bootstrap.servers``, ``subscribe``, ``startingOffsets=earliest`` and
+    ``maxOffsetsPerTrigger=500``; the offsets are kept in the query's checkpoint.
+    """
+    reader = spark.readStream.format(fmt).options(**(options or {}))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.load(path)
+    raw = reader.load(path) if path else reader.load()
+    return raw.select(F.col("value").cast("string").alias("value"))
 
 
 def decode(raw: DataFrame) -> DataFrame:
@@ -67,9 +82,12 @@ def decode(raw: DataFrame) -> DataFrame:
 def run(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], None] | None = None,
         output_mode: str = "append", path: str | None = None, available_now: bool = True,
         processing_time: str | None = None, state_partitions: int | None = None,
-        state_store: str | None = None):
+        state_store: str | None = None, idle_seconds: float | None = None):
     """Start a query, drain what is available and stop (or run on an interval).
 
+    ``idle_seconds`` (T02) stops a query that runs on an interval once something
+    came and then nothing more for that long.
+
     ``state_partitions`` sizes the state store of a stateful query. Spark
     fixes it from ``spark.sql.shuffle.partitions`` when the query first starts
     (and keeps it in the checkpoint), so it is applied only around ``start``.
@@ -104,9 +122,27 @@ def run(stream: DataFrame, checkpoint: str, sink: Callable[[DataFrame, int], Non
                 spark.conf.set(k, v)
     if available_now:
         q.awaitTermination()
+    elif idle_seconds is not None:
+        stop_when_idle(q, idle_seconds)
     return q
 
 
+def stop_when_idle(query, idle_seconds: float, poll: float = 0.2) -> None:
+    """Wait until ``query`` has read something and then nothing for ``idle_seconds``, and stop it."""
+    last_batch, last_news = None, None
+    while query.isActive:
+        done = [p for p in query.recentProgress if p["numInputRows"] > 0]
+        if done and done[-1]["batchId"] != last_batch:
+            last_batch, last_news = done[-1]["batchId"], time.monotonic()
+        busy = query.status["isDataAvailable"] or query.status["isTriggerActive"] and query.status["message"].startswith("Processing")
+        if last_news is not None and not busy and time.monotonic() - last_news > idle_seconds:
+            query.stop()
+        else:
+            query.awaitTermination(poll)
+    if error := query.exception():
+        raise error
+
+
 def default_state_partitions(spark: SparkSession) -> int:
     """One state partition per core of the cluster."""
     try:
@@ -156,19 +192,29 @@ def with_event_time(df: DataFrame, col: str = "extracted_at", delay: str = "1 ho
 def counting_sink(inner: Callable[[DataFrame, int], None], progress_base: str,
                   key: str = "country_target") -> Callable[[DataFrame, int], None]:
     """Wrap a foreachBatch sink so every micro-batch also records its
-    message counts per ``key`` (idempotent per batch id, like the data)."""
+    message counts per ``key`` (null: '?') and the seconds that it took to load
+    (idempotent per batch id, like the data)."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
+            started = time.monotonic()
             inner(batch, batch_id)
-            (batch.groupBy(key).agg(F.count(F.lit(1)).alias("messages"))
-                  .withColumn("batch_id", F.lit(batch_id).cast("long"))
-                  .write.mode("overwrite").parquet(f"{progress_base}/batch={batch_id:09d}"))
+            counts = batch.groupBy(F.coalesce(key, F.lit("?")).alias(key)).agg(F.count(F.lit(1)).alias("messages"))
+            seconds = F.lit(time.monotonic() - started)
+            counts.select("*", F.lit(batch_id).cast("long").alias("batch_id"), seconds.alias("load_seconds")).write.mode(
+                "overwrite").parquet(f"{progress_base}/batch={batch_id:09d}")
         finally:
             batch.unpersist()
     return sink
 
 
+def progress(counters: DataFrame, key: str = "country_target") -> DataFrame:
+    """``key``, messages, total of all keys, and rate (messages per second of loading) over the recorded batches."""
+    batches = counters.groupBy("batch_id").agg(F.sum("messages").alias("n"), F.max("load_seconds").alias("s"))
+    whole = batches.agg(F.sum("n").alias("total"), (F.sum("n") / F.greatest(F.sum("s"), F.lit(1e-3))).alias("rate"))
+    return counters.groupBy(key).agg(F.sum("messages").alias("messages")).crossJoin(whole)
+
+
 class ProgressRecorder:
     """Collects per-batch progress (rows, rows/s) of the queries of a session
     through a StreamingQueryListener; one small record per micro-batch."""
