@@ -12,6 +12,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from presslens.session import written
+
 # --- fixed values -------------------------------------------------------------
 # Function-word profiles for language detection.
 LANG_PROFILES = {
@@ -60,22 +62,20 @@ def detect_language(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return out.drop("_toks").withColumn("predicted", F.when(best["s"] < 0, best["l"]))
 
 
-def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_len: int = 3,
-          salts: int = 32) -> DataFrame:
+def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_len: int = 3) -> DataFrame:
     """L2-normalised TF-IDF weights (doc, term, weight), idf = ln((N+1)/(df+1)).
     Terms are whole-text words of at least ``min_len`` letters.
 
     Words are counted where their text lies, so only (doc, term, tf) is
-    shuffled. A term that is in most documents would be one task of the join
-    with the document frequencies; it is dealt by document into ``salts``
-    parts, and the vocabulary is repeated for each."""
+    shuffled, once: the counts are written and both the document frequencies
+    and the weights are made of them. The frequencies are written too, so that
+    the join reads two plain tables: Spark broadcasts the shorter one or splits
+    a term that is in most documents."""
     toks = docs.select(id_col, F.explode(words(F.col(text_col))).alias("term")).filter(F.length("term") >= min_len)
-    tf = toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
-    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    dealt = df.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = tf.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
+    tf = written(toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")), "tf")
+    df = written(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "df")
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    w = salted.join(dealt, ["term", "_salt"]).withColumn("w", F.col("tf") * F.log((n_docs + 1) / (F.col("df") + 1)))
+    w = tf.join(df, "term").withColumn("w", F.col("tf") * F.log((n_docs + 1) / (F.col("df") + 1)))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
     return w.withColumn("weight", F.when(norm > 0, F.col("w") / norm).otherwise(F.lit(0.0))).select(
         id_col, "term", "tf", "df", "weight")

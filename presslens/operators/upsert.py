@@ -35,7 +35,9 @@ def append(batch: DataFrame, path: str) -> None:
 
 
 def write_snapshots(df: DataFrame, path: str, snapshot_col: str = "snapshot") -> None:
-    df.write.mode("overwrite").partitionBy(snapshot_col).parquet(path)
+    """One folder per snapshot; rows come clustered by snapshot, so a task writes few files
+    (AQE splits a snapshot that is too large for one task)."""
+    df.hint("rebalance", snapshot_col).write.mode("overwrite").partitionBy(snapshot_col).parquet(path)
 
 
 def latest_snapshot_name(df: DataFrame, prefix: str, snapshot_col: str = "snapshot") -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from presslens.functions import text as TX
 from presslens.functions.timefmt import round_half_up, round_half_up_sql
 from presslens.operators import analysis as AN
+from presslens.operators import language as LG
 from presslens.operators import sentiment as SE
 from presslens.operators import topics as TO
 from presslens.operators.neighbours import neighbours_topk
@@ -62,6 +63,44 @@ def q_language_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  F.count_if(F.col("predicted") == F.col("lang")).alias("correct"))
 
 
+TRIGRAM_CTES = f"""
+g AS (SELECT doc_id, lang, unnest(list_distinct(flatten([[substr('_' || w || '_', i, 3) FOR i IN range(1, length(w) + 1)]
+        FOR w IN list_distinct({WORDS_SQL}) IF w <> '']))) AS gram FROM documents),
+size AS (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL AND doc_id % {SE.FOLDS} <> {SE.HELD_OUT} GROUP BY 1),
+c AS (SELECT gram, lang, count(*) AS c FROM g WHERE lang IS NOT NULL AND doc_id % {SE.FOLDS} <> {SE.HELD_OUT} GROUP BY 1, 2),
+prof AS (SELECT k.gram, s.lang AS l, round(ln((coalesce(c.c, 0) + {LG.SMOOTHING}) / (s.n + {2 * LG.SMOOTHING})), 6)::DECIMAL(18, 6) AS w
+         FROM (SELECT DISTINCT gram FROM c) k CROSS JOIN size s LEFT JOIN c ON c.gram = k.gram AND c.lang = s.lang),
+guess AS (SELECT doc_id, l AS predicted FROM (SELECT doc_id, l, sum(w) AS s FROM g JOIN prof USING (gram) GROUP BY 1, 2)
+          QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY s DESC, l) = 1)
+"""
+
+
+def _identified(spark, sf_dir):
+    d = S.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    profiles, languages = LG.learn_profiles(d.filter(~SE.held_out(F.col("doc_id"))), language="lang")
+    return LG.identify(d, profiles, languages)
+
+
+@register("language_trigrams", ids=("D01",), oracle=f"""
+WITH {TRIGRAM_CTES} SELECT doc_id, predicted FROM documents LEFT JOIN guess USING (doc_id)
+""")
+def q_language_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document by trigram profiles learned from the documents outside the held-out fold."""
+    return _identified(spark, sf_dir)
+
+
+@register("language_trigram_accuracy", ids=("D01", "D09"), oracle=f"""
+WITH {TRIGRAM_CTES}
+SELECT lang, COUNT(*) AS docs, COUNT(*) FILTER (WHERE predicted = lang) AS correct
+FROM documents LEFT JOIN guess USING (doc_id) WHERE doc_id % {SE.FOLDS} = {SE.HELD_OUT} GROUP BY 1
+""")
+def q_language_trigram_accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per language, held-out documents and how many of them are told right."""
+    d = S.table(spark, sf_dir, "documents", spread_rows=False).select("doc_id", "lang").filter(SE.held_out(F.col("doc_id")))
+    return d.join(_identified(spark, sf_dir), "doc_id").groupBy("lang").agg(
+        F.count(F.lit(1)).alias("docs"), F.count_if(F.col("predicted") == F.col("lang")).alias("correct"))
+
+
 @register("tfidf_vectors", ids=("D02",), oracle=f"""
 WITH t AS (SELECT doc_id, unnest({WORDS_SQL}) AS term FROM documents),
 tf AS (SELECT doc_id, term, COUNT(*) AS tf FROM t WHERE length(term) >= 3 GROUP BY 1, 2),

@@ -304,9 +304,7 @@ def q_new_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = S.event_articles(spark, sf_dir).filter(F.col("source").isNotNull())
     firsts = (e.groupBy("source").agg(F.min("extracted_at").alias("_first"))
               .select("source", F.window("_first", TICK).start.alias("tick")))
-    # the first refresh is the earliest first-sighting tick; a window over the
-    # per-source table (one row per source) finds it without a second scan
-    firsts = firsts.withColumn("_t0", F.min("tick").over(Window.partitionBy()))
-    shown = top_k_per_group(firsts.filter(F.col("tick") > F.col("_t0")), ["tick"], [F.asc("source")],
-                            NEW_SOURCES_SHOWN)
+    # the first refresh is the earliest first-sighting tick: one value, put together from partial minima
+    begun = firsts.agg(F.min("tick")).scalar()
+    shown = top_k_per_group(firsts.filter(F.col("tick") > begun), ["tick"], [F.asc("source")], NEW_SOURCES_SHOWN)
     return shown.select("tick", "source")

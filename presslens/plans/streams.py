@@ -20,7 +20,7 @@ from presslens.streaming import jobs as J
 # the files of a finished topic come in any order, so its watermark has to span the topic
 LATEST_ARRIVAL_DAYS = 400
 COLS = ["seq", "source", "country_target", "title", "summary", "url", "published_at", "extracted_at"]
-MAX_FILES = 8  # files of a micro-batch (maxFilesPerTrigger), of at most ROWS_PER_FILE messages each
+MAX_FILES = 4  # files of a micro-batch (maxFilesPerTrigger), of at most ROWS_PER_FILE messages each
 STRETCH_DAYS = 5  # days of the topic that a publish of the windowed dedup brings
 RECENT = "1 minute"
 
@@ -61,15 +61,10 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.read_newest(spark, f"{base}/table", ["url"], ["extracted_at", "seq"]).select(*COLS)
 
 
-def _windowed_counts(spark, sf_dir, name, duration, key_cols, out_name, max_files=None):
+def _second_counts(spark, sf_dir, name, keys):
     base = _topic(spark, sf_dir, name)
-    msgs = J.with_event_time(_messages(spark, base, max_files), delay=f"{LATEST_ARRIVAL_DAYS} days")
-    agg = msgs.groupBy(*key_cols, F.window("_et", duration).alias("w")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("extracted_at").alias("latest"))
-    agg = agg.select(*key_cols, instant_to_utc_ntz(F.col("w.start")).alias(out_name), "n", "latest")
-    J.run(agg, f"{base}/ckpt", sink=J.versioned_sink(f"{base}/agg"), output_mode="update",
-          state_partitions=J.default_state_partitions(spark))
-    return J.read_updates(spark, f"{base}/agg", [*key_cols, out_name])
+    J.run(_messages(spark, base), f"{base}/ckpt", sink=J.second_counts_sink(f"{base}/seconds", keys))
+    return J.read_second_counts(spark, f"{base}/seconds", keys)
 
 
 @register("stream_pace_15m", ids=("T13", "A03"), oracle=S.with_ctes("""
@@ -78,16 +73,21 @@ FROM e GROUP BY 1, 2
 """, e=EV))
 def q_stream_pace(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event-time 15-minute tumbling counts per country with a watermark (update mode)."""
-    out = _windowed_counts(spark, sf_dir, "pace", "15 minutes", ["country_target"], "bucket")
-    return out.select("country_target", "bucket", F.col("n").alias("articles"))
+    base = _topic(spark, sf_dir, "pace")
+    msgs = J.with_event_time(_messages(spark, base), delay=f"{LATEST_ARRIVAL_DAYS} days")
+    agg = msgs.groupBy("country_target", F.window("_et", "15 minutes").alias("w")).agg(F.count(F.lit(1)).alias("articles"))
+    agg = agg.select("country_target", instant_to_utc_ntz(F.col("w.start")).alias("bucket"), "articles")
+    J.run(agg, f"{base}/ckpt", sink=J.versioned_sink(f"{base}/agg"), output_mode="update",
+          state_partitions=J.default_state_partitions(spark))
+    return J.read_updates(spark, f"{base}/agg", ["country_target", "bucket"])
 
 
 @register("stream_arrivals", ids=("T07", "A15"), oracle=S.with_ctes("""
 SELECT date_trunc('second', extracted_at) AS sec, COUNT(*) AS arrivals FROM e GROUP BY 1
 """, e=EV))
 def q_stream_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-second arrivals as a 1-second tumbling window (update mode)."""
-    out = _windowed_counts(spark, sf_dir, "arrivals", "1 second", [], "sec")
+    """Arrivals per second of event time, added up over micro-batches."""
+    out = _second_counts(spark, sf_dir, "arrivals", [])
     return out.select("sec", F.col("n").alias("arrivals"))
 
 
@@ -98,7 +98,7 @@ FROM s WHERE sec >= (SELECT MAX(sec) FROM s) - INTERVAL 1 MINUTE
 """, e=EV))
 def q_stream_arrival_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages per second over the non-empty seconds of the stream's last minute."""
-    return arrival_rate(_windowed_counts(spark, sf_dir, "rate", "1 second", [], "sec"))
+    return arrival_rate(_second_counts(spark, sf_dir, "rate", []))
 
 
 def arrival_rate(seconds: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ FROM e WHERE country_target IS NOT NULL GROUP BY 1
 """, e=EV))
 def q_stream_country_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Live per-country totals, last arrival and last-minute heat, all from one stream of per-second counts."""
-    return country_heat(_windowed_counts(spark, sf_dir, "country", "1 second", ["country_target"], "sec"))
+    return country_heat(_second_counts(spark, sf_dir, "country", ["country_target"]))
 
 
 def country_heat(seconds: DataFrame) -> DataFrame:
@@ -156,7 +156,7 @@ def first_seen(spark: SparkSession, sf_dir: str, name: str, max_files: int | Non
     msgs = _messages(spark, base, max_files).filter(F.col("source").isNotNull())
     agg = msgs.groupBy("source").agg(F.min("extracted_at").alias("first_seen"))
     J.run(agg, f"{base}/ckpt", sink=J.versioned_sink(f"{base}/agg"), output_mode="update",
-          state_partitions=J.default_state_partitions(spark), state_store="rocksdb")
+          state_partitions=J.default_state_partitions(spark))
     return J.read_updates(spark, f"{base}/agg", ["source"])
 
 

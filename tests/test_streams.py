@@ -22,7 +22,7 @@ def table(spark, rows):
 
 
 def test_files_hold_at_most_so_many_messages(spark, tmp_dir):
-    J.publish(table(spark, [(i, f"u{i}", i, "s", "DE") for i in range(1200)]), f"{tmp_dir}/topic", files=1)
+    J.publish(table(spark, [(i, f"u{i}", i, "s", "DE") for i in range(1200)]), f"{tmp_dir}/topic", files=1, rows_per_file=500)
     sizes = [r["count"] for r in spark.read.text(f"{tmp_dir}/topic").groupBy(F.input_file_name()).count().collect()]
     assert sorted(sizes) == [200, 500, 500]
     batches = []
