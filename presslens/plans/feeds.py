@@ -3,10 +3,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from presslens.operators.dedup import first_by_key
+from presslens.operators.topk import top_k_per_group
 from presslens.plans.registry import register
 from presslens.session import scratch_path
 from presslens.sources import feeds as FD
@@ -31,8 +32,8 @@ def feed_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.lit(FEED_EPOCH).cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), (F.col("doc_id") * ITEM_MINUTES).cast("int"))
     kind = F.col("doc_id") % 4
-    # the lead paragraph (whole first line of the document) as the teaser
-    para = F.concat(F.lit("<p>"), F.regexp_extract("text", r"^[^\n]*", 0), F.lit("</p>"))
+    # the whole document as the teaser
+    para = F.concat(F.lit("<p>"), F.col("text"), F.lit("</p>"))
     esc_para = _xml_escape(para)
     link = F.col("url")
 
@@ -66,7 +67,7 @@ WITH d AS ({S.DOCS_SQL}),
 o AS (SELECT source, arg_min(language, doc_id) AS country_target FROM d GROUP BY 1),
 x AS (SELECT d.*, o.country_target,
              TIMESTAMP '{FEED_EPOCH}' + to_minutes(doc_id * {ITEM_MINUTES}) AS ts,
-             doc_id % 4 AS kind, '<p>' || regexp_extract(text, '^[^\n]*', 0) || '</p>' AS para
+             doc_id % 4 AS kind, '<p>' || text || '</p>' AS para
       FROM d JOIN o USING (source))
 """
 
@@ -91,21 +92,25 @@ def q_rss_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("rss_short_scan", ids=("S16", "O06"), oracle=ITEMS_EXPECTED_SQL + f"""
-, k AS (SELECT * FROM x QUALIFY ROW_NUMBER() OVER (PARTITION BY source ORDER BY doc_id) <= {FD.SHORT_SCAN_ITEMS})
+, k AS (SELECT * FROM x)
 SELECT source, doc_id, url,
        CASE WHEN kind IN (1, 2) THEN regexp_replace(para, '<[A-Za-z/!?][^>]*>', '', 'g') ELSE '' END AS summary
 FROM k
 WHERE coalesce(regexp_replace(title, '^\\s+|\\s+$', '', 'g'), '') <> ''
 """.replace("\n, k AS", ", k AS"))
 def q_rss_short_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Short feed scan per outlet: the first 15 items of the feed (before any
-    filtering), kept when they have a title and a link; summary = description
+    """Short feed scan: items that have a title and a link; summary = description
     text with tags removed (no separator), '' when there is none."""
-    p = FD.parse_items(feed_items(spark, sf_dir))
-    w = Window.partitionBy("source").orderBy("doc_id")
-    first = p.withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= FD.SHORT_SCAN_ITEMS)
+    return short_scan(feed_items(spark, sf_dir))
+
+
+def short_scan(items: DataFrame, first: int | None = None) -> DataFrame:
+    """source, doc_id, url, summary of every feed's items, or of its ``first`` ones (before any filtering)."""
+    p = FD.parse_items(items)
+    if first is not None:
+        p = top_k_per_group(p, ["source"], [F.asc("doc_id")], first)
     ok = (F.coalesce(F.col("_i.title"), F.lit("")) != "") & (F.coalesce(F.col("_i.link"), F.lit("")) != "")
-    return first.filter(ok).select("source", "doc_id", F.col("_i.link").alias("url"),
+    return p.filter(ok).select("source", "doc_id", F.col("_i.link").alias("url"),
                                    F.coalesce(FD.strip_html_nosep(F.col("_i.description")), F.lit("")).alias("summary"))
 
 

@@ -62,16 +62,12 @@ WITH a AS ({ANCHORS_SQL}),
 m AS (SELECT * FROM a WHERE has_href AND regexp_matches(href, {_q(LINK_RULE)})),
 f AS (SELECT page_id, href, MIN(pos) AS first_pos FROM m GROUP BY 1, 2),
 r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY page_id ORDER BY first_pos) AS rank FROM f),
-c AS (SELECT page_id, first_pos AS cutoff FROM r WHERE rank = {PG.MAX_HOMEPAGE_LINKS}),
-t AS (SELECT page_id, href, arg_min(text, pos) AS title, MIN(pos) AS tpos FROM m WHERE text <> '' GROUP BY 1, 2)
-SELECT r.page_id, r.href AS url,
-       CASE WHEN c.cutoff IS NULL OR t.tpos <= c.cutoff THEN t.title END AS title, r.rank
-FROM r LEFT JOIN c USING (page_id) LEFT JOIN t USING (page_id, href)
-WHERE r.rank <= {PG.MAX_HOMEPAGE_LINKS}
+t AS (SELECT page_id, href, arg_min(text, pos) AS title FROM m WHERE text <> '' GROUP BY 1, 2)
+SELECT r.page_id, r.href AS url, t.title, r.rank FROM r LEFT JOIN t USING (page_id, href)
 """)
 def q_page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Homepage link harvest over every page: matching anchors, one row per
-    URL in first-seen order with its first non-empty anchor text, max 100."""
+    URL in first-seen order with its first non-empty anchor text."""
     return PG.harvest_links(S.table(spark, sf_dir, "pages"), LINK_RULE)
 
 
@@ -97,22 +93,20 @@ WHERE title IS NOT NULL AND url IS NOT NULL"""
 
 
 @register("list_cards", ids=("S15", "O06"), oracle=_items_sql(
-    f"regexp_extract_all(html, {_q(ITEM_RULE)}, 0)[1:{PG.LIST_ITEMS_BEFORE_FILTER}]", None))
+    f"regexp_extract_all(html, {_q(ITEM_RULE)}, 0)", None))
 def q_list_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generic list-page extraction: first 15 list items per page (before
-    filtering), title and first link resolved against the page URL."""
+    """Generic list-page extraction: every list item of a page with its title
+    and its first link resolved against the page URL."""
     return PG.list_items(S.table(spark, sf_dir, "pages"), ITEM_RULE)
 
 
 @register("promo_cards", ids=("S14", "O06"), oracle=_items_sql(
     f"CASE WHEN len(regexp_extract_all(html, {_q(CARD_RULE)}, 0)) > 0 "
     f"THEN regexp_extract_all(html, {_q(CARD_RULE)}, 0) ELSE regexp_extract_all(html, {_q(ITEM_RULE)}, 0) END",
-    PG.CARDS_PER_PAGE))
+    None))
 def q_promo_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Card extraction with a fallback rule when a page has no primary cards;
-    first 10 valid cards per page."""
-    return PG.list_items(S.table(spark, sf_dir, "pages"), CARD_RULE, fallback_re=ITEM_RULE,
-                         before_filter=None, after_filter=PG.CARDS_PER_PAGE)
+    """Card extraction with a fallback rule when a page has no primary cards; every valid card."""
+    return PG.list_items(S.table(spark, sf_dir, "pages"), CARD_RULE, fallback_re=ITEM_RULE)
 
 
 def _meta_sql(x: str) -> str:

@@ -23,7 +23,6 @@ ITEM_SCHEMA = T.StructType([
 GDELT_MIN_WINDOW_MINUTES = 60
 BREAKER_EARLY_CHECK = 60
 BREAKER_MIN_OK_RATE = 0.05
-SHORT_SCAN_ITEMS = 15
 # ---------------------------------------------------------------------------
 
 
@@ -44,11 +43,7 @@ def published(pub: Column, updated: Column) -> Column:
 
 def strip_html_nosep(value: Column) -> Column:
     """Text of an HTML fragment with tags removed without separator (not trimmed)."""
-    t = value
-    for step in H._invisible_steps():
-        t = F.regexp_replace(t, step[1], step[2])
-    t = F.regexp_replace(t, H.TAG_RE, "")
-    return H.decode_entities(t)
+    return H.decode_entities(F.regexp_replace(F.regexp_replace(value, H.HIDDEN_RE, " "), H.TAG_RE, ""))
 
 
 def item_rows(items: DataFrame, extracted_at: Column) -> DataFrame:

@@ -16,12 +16,6 @@ from presslens.operators.rows import keep_rows
 
 ANCHOR_RE = r"(?is)<a\b[^>]*>.*?</a>"
 HREF_RE = r"(?is)^<a\b[^>]*?\bhref\s*=\s*\"([^\"]*)\""
-# --- fixed values (must equal the reference's behaviour) -------------------
-MAX_HOMEPAGE_LINKS = 100
-LIST_ITEMS_BEFORE_FILTER = 15
-CARDS_PER_PAGE = 10
-# ---------------------------------------------------------------------------
-
 
 def anchor_text(a: Column) -> Column:
     """get_text(strip=True): text nodes trimmed and concatenated, entities decoded."""
@@ -30,11 +24,11 @@ def anchor_text(a: Column) -> Column:
     return H.decode_entities(t)
 
 
-def harvest_links(pages: DataFrame, href_pattern: str, max_links: int = MAX_HOMEPAGE_LINKS) -> DataFrame:
+def harvest_links(pages: DataFrame, href_pattern: str, max_links: int | None = None) -> DataFrame:
     """Homepage link harvest: anchors whose href matches ``href_pattern``, one
     row per distinct URL in first-seen order, title = first non-empty anchor
-    text, stopping when ``max_links`` distinct URLs were collected (texts of
-    anchors after that point are not seen). Array functions within each page's
+    text. With ``max_links`` it stops when so many distinct URLs were collected
+    (texts of anchors after that point are not seen). Array functions within each page's
     row: nothing is shuffled."""
     def href(a: Column) -> Column:
         return F.regexp_extract(a, HREF_RE, 1)
@@ -43,10 +37,13 @@ def harvest_links(pages: DataFrame, href_pattern: str, max_links: int = MAX_HOME
                       lambda a: a.rlike(r"(?is)^<a\b[^>]*?\bhref\s*=") & href(a).rlike(href_pattern))
     found = pages.select("page_id", F.transform(wanted, lambda a: F.struct(
         href(a).alias("url"), anchor_text(a).alias("text"))).alias("links"))
-    found = found.withColumn("urls", F.slice(F.array_distinct(F.col("links.url")), 1, max_links))
-    # the anchor that brings the last URL is the last one seen
-    last = F.array_position("links.url", F.try_element_at("urls", F.lit(max_links))).cast("int")
-    seen = F.when(F.size("urls") == max_links, F.slice("links", 1, last)).otherwise(F.col("links"))
+    found = found.withColumn("urls", F.array_distinct(F.col("links.url")))
+    seen = F.col("links")
+    if max_links is not None:
+        found = found.withColumn("urls", F.slice("urls", 1, max_links))
+        # the anchor that brings the last URL is the last one seen
+        last = F.array_position("links.url", F.try_element_at("urls", F.lit(max_links))).cast("int")
+        seen = F.when(F.size("urls") == max_links, F.slice("links", 1, last)).otherwise(F.col("links"))
     found = found.select("page_id", "urls", F.filter(seen, lambda m: m["text"] != "").alias("titled"))
     # outer: an inner explode would test the whole chain for emptiness a second time
     out = found.select("page_id", "titled", F.posexplode_outer("urls").alias("pos", "url")).filter("url IS NOT NULL")
@@ -55,7 +52,7 @@ def harvest_links(pages: DataFrame, href_pattern: str, max_links: int = MAX_HOME
 
 
 def list_items(pages: DataFrame, item_re: str, fallback_re: str | None = None,
-               before_filter: int | None = LIST_ITEMS_BEFORE_FILTER,
+               before_filter: int | None = None,
                after_filter: int | None = None, heading_re: str | None = None) -> DataFrame:
     """Generic list-page extraction: item blocks by regex (``fallback_re`` when
     the primary rule finds none on a page), first ``before_filter`` items,
