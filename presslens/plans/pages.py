@@ -17,6 +17,7 @@ from presslens.operators.dedup import first_by_key
 from presslens.plans.registry import register
 from presslens.schemas import conform_article
 from presslens.sources import pages as PG
+from presslens.sources import plugin as PL
 from presslens.sources import tables as S
 
 # Homepage link rule for the driver pages: root-level links made of ASCII letters.
@@ -365,3 +366,25 @@ def q_method_tally(spark: SparkSession, sf_dir: str) -> DataFrame:
     resolved = resolved.select(F.lit("resolved_page").alias("method"), F.coalesce("there", F.lit(False)).alias("ok"))
     long = read.select(F.inline(results)).unionByName(resolved)
     return long.groupBy("method").agg(F.count_if("ok").alias("succeeded"), F.count(F.lit(1)).alias("eligible"))
+
+
+@register("plugin_articles", ids=("X01", "F14"), oracle=f"SELECT page_id, url, body FROM ({BODY_SQL})")
+def q_plugin_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored pages read by a source plug-in that turns them into articles."""
+    spark.dataSource.register(PL.ArticlePages)
+    return spark.read.format(PL.ArticlePages.name()).option("path", f"{sf_dir.rstrip('/')}/pages.parquet").load()
+
+
+@register("outlet_rules", ids=("X02", "S15"), oracle=f"""
+SELECT i.page_id, {U.url_host_sql('p.url')} AS source, pos, title, i.url, summary
+FROM ({_items_sql(f"regexp_extract_all(html, {_q(ITEM_RULE)}, 0)", None)}) i JOIN pages p USING (page_id)
+""")
+def q_outlet_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List items of every outlet's pages by the outlet's own rule: a table of rules, one per host, joined to the pages."""
+    p = S.table(spark, sf_dir, "pages")
+    nothing = F.lit(None)
+    rules = p.select(U.url_host(F.col("url")).alias("host")).filter("host IS NOT NULL").distinct().select(
+        "host", F.col("host").alias("source"), F.lit("").alias("country_target"), F.lit(CARD_RULE).alias("item_re"),
+        F.lit(ITEM_RULE).alias("fallback_re"), nothing.cast("string").alias("heading_re"), nothing.cast("int").alias("before_filter"),
+        nothing.cast("int").alias("after_filter"))
+    return PG.extract_by_rules(p, rules).select("page_id", "source", "pos", "title", "url", "summary")
