@@ -7,18 +7,25 @@ import pytest
 from presslens.sources import plugin as PL
 
 
-class Titles(PL.PageSource):
-    columns = "url string, letters int"
-    needs = ("url", "html")
+def titles():
+    """A plug-in that workers get by value: this module is not on their path."""
 
-    @classmethod
-    def name(cls):
-        return "titles"
+    class Titles(PL.PageSource):
+        columns = "url string, letters int"
+        needs = ("url", "html")
 
-    def parse(self, pages):
-        assert pages.schema.names == ["url", "html"]
-        kept = [(u, len(h)) for u, h in zip(pages.column(0).to_pylist(), pages.column(1).to_pylist()) if h]
-        return pa.RecordBatch.from_arrays([pa.array([u for u, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int32())], ["url", "letters"])
+        @classmethod
+        def name(cls):
+            return "titles"
+
+        def parse(self, pages):
+            import pyarrow as pa
+
+            assert pages.schema.names == ["url", "html"]
+            kept = [(u, len(h)) for u, h in zip(pages.column(0).to_pylist(), pages.column(1).to_pylist()) if h]
+            return pa.RecordBatch.from_arrays([pa.array([u for u, _ in kept], pa.string()), pa.array([n for _, n in kept], pa.int32())], ["url", "letters"])
+
+    return Titles
 
 
 def store(folder, n, rows=7):
@@ -29,7 +36,7 @@ def store(folder, n, rows=7):
 
 def test_a_plug_in_of_ones_own(spark, tmp_dir):
     store(tmp_dir, 40)
-    spark.dataSource.register(Titles)
+    spark.dataSource.register(titles())
     df = spark.read.format("titles").option("path", tmp_dir).load()
     assert df.rdd.getNumPartitions() == 6  # row groups of two files
     assert {r.url: r.letters for r in df.collect()} == {f"u{i}": i + 3 for i in range(40) if i % 5}
@@ -47,5 +54,5 @@ def test_article_pages(spark, tmp_dir):
 
 def test_empty_store(spark, tmp_dir):
     store(tmp_dir, 0)
-    spark.dataSource.register(Titles)
+    spark.dataSource.register(titles())
     assert spark.read.format("titles").option("path", tmp_dir).load().count() == 0
