@@ -9,6 +9,12 @@ Five stages, each working on all that its predecessor kept:
 5. what remains is packed into sequences.
 
 All but the last return the columns of ``documents``.
+
+Defined results: null texts count as empty and null ids are ids of their own, as
+each operator says; a toxic score of one half is toxic; of repeated rows one
+stays, and mixing may repeat it; very long texts go through whole and are cut by
+the packing only; an empty table gives an empty result; other columns travel to
+the packing, which leaves them out.
 """
 
 from __future__ import annotations

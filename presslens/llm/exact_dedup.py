@@ -7,7 +7,8 @@ goes through an ordinary shuffle, in which no group is large.
 
 Defined results: a null text counts as empty; a null id ranks below every id;
 of rows that agree in id and text exactly one stays; an empty table gives an
-empty result; other columns are carried along by ``survivors`` unchanged.
+empty result; texts of any length are hashed whole; other columns are carried
+along by ``survivors`` unchanged, names that clash with helpers included.
 """
 
 from __future__ import annotations

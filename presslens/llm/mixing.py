@@ -9,7 +9,9 @@ little more than one document.
 
 Defined results: a null text has size 0; null is a source of its own, ranked
 last; a source without words has target 0; repeated rows are documents of their
-own; an empty table gives an empty result.
+own; documents of one size are taken in a fixed order, so reruns agree; texts of
+any length count whole; an empty table gives an empty result; other columns are
+carried along by ``mix``, names that clash with helpers included.
 """
 
 from __future__ import annotations

@@ -18,7 +18,10 @@ number among equals, to sequences and places. Spark numbers the pieces and looks
 each one up in the plan.
 
 Defined results: a null text counts as empty (one piece, only the end id);
-repeated rows are pieces of their own; an empty table gives an empty result.
+null ids and repeated rows are documents of their own; longer texts than a
+sequence are cut, none is left out; pieces of one length are numbered by id,
+piece and checksum; an empty table gives an empty result; other columns are not
+read, so their names can't clash.
 """
 
 from __future__ import annotations

@@ -9,7 +9,10 @@ out of the subtrees whose weight changed. A shard that opens a region of its
 own therefore takes documents only into itself.
 
 Defined results: a null id is a key of its own; a null text counts as empty;
-repeated rows share a shard and get slots of their own.
+repeated rows share a shard and get slots of their own, in order of id, checksum
+and size; of equal draws the first child wins; texts of any length count whole;
+an empty table gives an empty result; other columns are not read, so their names
+can't clash.
 """
 
 from __future__ import annotations

@@ -15,8 +15,9 @@ DataFrames, with every round written to the shared folder.
 
 Defined results: a text without words (null too) has fingerprint zero, linked
 like any other; shorter texts than a shingle are one shingle; a null id ranks
-above every id; of rows that agree in id and text one stays; an empty table
-gives an empty result.
+above every id; of rows that agree in id and text one stays; texts of any length
+are fingerprinted whole; an empty table gives an empty result; ``survivors``
+carries other columns along, names that clash with helpers included.
 """
 
 from __future__ import annotations

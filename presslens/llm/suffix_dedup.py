@@ -19,7 +19,9 @@ have equal anchors. Consecutive windows with one anchor make a segment, and
 
 Positions are bytes of UTF-8. Defined results: a null text counts as empty and
 stays so; texts shorter than LENGTH never change; repeated rows (id and text
-equal) repeat each other; other columns are carried along by ``cleaned``.
+equal) repeat each other; texts beyond BLOCK bytes are worked on in overlapping
+blocks, whole; an empty table gives an empty result; other columns are carried
+along by ``cleaned``, names that clash with helpers included.
 """
 
 from __future__ import annotations

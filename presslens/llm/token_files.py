@@ -13,7 +13,10 @@ manifest and is never read.
 
 Defined results: a null text counts as empty (only the end id is written); null
 document ids come first; repeated ids are written one after another in order of
-their text's hash; an empty table gives no file and an empty manifest.
+their text's hash; very long texts are written whole, over as many sequences as
+they need; an empty table gives no file and an empty manifest; other columns are
+not read, so their names can't clash; ``read`` needs the type of ids that are not
+long.
 """
 
 from __future__ import annotations

@@ -16,7 +16,9 @@ or have no id, take no part; rows that repeat an id are rows of their own, as
 queries and as candidates, and a query only leaves its own row out; it meets
 vectors of its own length only; ties go to the smaller id
 (nodes keep their smallest id, so crowds of equal vectors are skipped at once);
-empty vectors score 0; scores beyond the range of a long are cut off there.
+empty vectors score 0; scores beyond the range of a long are cut off there; an
+empty table gives an empty result; other columns are not read, so their names
+can't clash.
 """
 
 from __future__ import annotations

@@ -21,7 +21,10 @@ is scored whole. Sums are of integers, so no order of rows changes a score.
 Defined results: null texts count as empty; a text without words scores the share
 of toxic rows among those the curve is fitted on; a null id has crc32 of the empty
 text; without labels of both classes every score is that share (0 if there are
-none); a document with several label rows is learned once per row.
+none); a document with several label rows is learned once per row; repeated rows
+are scored alike; a score of exactly one half counts as toxic; very long texts
+are scored whole, by their distinct words; an empty table gives an empty result;
+``accepted`` carries other columns along, names that clash with helpers included.
 """
 
 from __future__ import annotations
