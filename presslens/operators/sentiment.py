@@ -41,16 +41,17 @@ def learn_lexicon(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   significant: float = SIGNIFICANT) -> DataFrame:
     """word, weight from labelled documents (a row with a null label is left out)."""
     known = docs.filter(F.col(negative).isNotNull()).select(F.col(text_col), F.col(negative).cast("long").alias("negative"))
-    totals = known.agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("negative").cast("double").alias("n_neg"))
+    n, n_neg = known.agg(F.count(F.lit(1)).cast("double")).scalar(), known.agg(F.sum("negative").cast("double")).scalar()
     said = known.select("negative", F.explode(F.array_remove(F.array_distinct(words(F.col(text_col))), "")).alias("word"))
     per_word = said.groupBy("word").agg(F.count(F.lit(1)).cast("double").alias("docs"), F.sum("negative").cast("double").alias("neg"))
+    per_word = per_word.withColumn("n", n).withColumn("n_neg", n_neg)
     share = F.col("docs") / F.col("n")
     expected = share * F.col("n_neg")
     deviation = (F.col("neg") - expected) / F.sqrt(expected * (1 - share))
     in_neg = (F.col("neg") + SMOOTHING * share) / (F.col("n_neg") + SMOOTHING)
     in_pos = (F.col("docs") - F.col("neg") + SMOOTHING * share) / (F.col("n") - F.col("n_neg") + SMOOTHING)
-    # one row of totals; a word in all documents, or a table of one class, tells nothing
-    counted = per_word.crossJoin(totals).filter((F.col("docs") < F.col("n")) & (F.col("n_neg") > 0))
+    # a word in all documents, or a table of one class, tells nothing
+    counted = per_word.filter((F.col("docs") < F.col("n")) & (F.col("n_neg") > 0))
     return counted.filter(F.abs(deviation) > significant).select("word", F.round(F.log(in_pos / in_neg), 6).alias("weight"))
 
 

@@ -68,10 +68,10 @@ def vector_topics(articles: DataFrame, vectors: DataFrame, id_col: str, vec_id:
     """id, topic of the articles that have a vector: the label with the nearest mean vector."""
     centroids = mean_vectors(vectors.select(F.col(label).alias("topic"), vec), ["topic"], vec)
     own = mean_vectors(vectors.select(F.col(vec_id).alias(id_col), vec), [id_col], vec, "v")
-    # one row: as many vectors as there are topics
-    every = _side(centroids, [], "centroids")
+    # one value: as many vectors as there are topics
+    every = _side(centroids, [], "centroids").scalar()
     have = articles.select(id_col).distinct().join(own, id_col)
-    return have.crossJoin(every).select(id_col, nearest(F.col("v"), F.col("centroids")).alias("topic"))
+    return have.withColumn("centroids", every).select(id_col, nearest(F.col("v"), F.col("centroids")).alias("topic"))
 
 
 def assign_topics(articles: DataFrame, vectors: DataFrame, id_col: str, text_col: str, language: str, **columns) -> DataFrame:

@@ -103,8 +103,7 @@ def q_stream_arrival_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def arrival_rate(seconds: DataFrame) -> DataFrame:
     """as_of, arrivals, seconds, rate from per-second counts (sec, n); no row for a stream without messages."""
-    as_of = seconds.agg(F.max("sec").alias("as_of"))
-    last = seconds.crossJoin(as_of).filter(F.col("sec") >= F.col("as_of") - F.expr(f"INTERVAL {RECENT}"))
+    last = seconds.withColumn("as_of", seconds.agg(F.max("sec")).scalar()).filter(F.col("sec") >= F.col("as_of") - F.expr(f"INTERVAL {RECENT}"))
     return last.groupBy("as_of").agg(F.sum("n").alias("arrivals"), F.count(F.lit(1)).alias("seconds")).withColumn(
         "rate", F.col("arrivals") / F.col("seconds"))
 
@@ -124,9 +123,8 @@ def country_heat(seconds: DataFrame) -> DataFrame:
 
     ``seconds`` has country_target, sec, n, latest; its seconds without a country count for the clock only.
     """
-    as_of = seconds.agg(F.max("sec").alias("as_of"))
     recent = F.col("sec") > F.col("as_of") - F.expr(f"INTERVAL {RECENT}")
-    known = seconds.filter("country_target IS NOT NULL").crossJoin(as_of)
+    known = seconds.withColumn("as_of", seconds.agg(F.max("sec")).scalar()).filter("country_target IS NOT NULL")
     return known.groupBy("country_target").agg(
         F.sum("n").alias("articles"), F.max("latest").alias("last_seen"), F.coalesce(F.sum(F.when(recent, F.col("n"))), F.lit(0)).alias("recent"))
 
@@ -163,8 +161,7 @@ def first_seen(spark: SparkSession, sf_dir: str, name: str, max_files: int | Non
 def announcements(seen: DataFrame, most: int = 6) -> DataFrame:
     """refresh (day), position, source: each source once, in the refresh that first saw it."""
     by_day = seen.select("source", F.to_date("first_seen").alias("refresh"))
-    begun = by_day.agg(F.min("refresh").alias("begun"))
-    fresh = by_day.crossJoin(begun).filter("refresh > begun").select("refresh", "source")
+    fresh = by_day.filter(F.col("refresh") > by_day.agg(F.min("refresh")).scalar())
     ranked = top_k_per_group(fresh, ["refresh"], [F.asc("source")], most, rank_col="position")
     return ranked.select("refresh", F.col("position").cast("bigint").alias("position"), "source")
 

@@ -229,8 +229,9 @@ def read_second_counts(spark: SparkSession, base: str, keys: list[str]) -> DataF
 def progress(counters: DataFrame, key: str = "country_target") -> DataFrame:
     """``key``, messages, total of all keys, and rate (messages per second of loading) over the recorded batches."""
     batches = counters.groupBy("batch_id").agg(F.sum("messages").alias("n"), F.max("load_seconds").alias("s"))
-    whole = batches.agg(F.sum("n").alias("total"), (F.sum("n") / F.greatest(F.sum("s"), F.lit(1e-3))).alias("rate"))
-    return counters.groupBy(key).agg(F.sum("messages").alias("messages")).crossJoin(whole)
+    total = batches.agg(F.sum("n")).scalar()
+    rate = batches.agg(F.sum("n") / F.greatest(F.sum("s"), F.lit(1e-3))).scalar()
+    return counters.groupBy(key).agg(F.sum("messages").alias("messages")).withColumn("total", total).withColumn("rate", rate)
 
 
 class ProgressRecorder:

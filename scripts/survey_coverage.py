@@ -14,8 +14,6 @@ from presslens.plans.registry import load_all  # noqa: E402
 LIBRARY_ONLY = {
     "D11": "`presslens.sources.ground_truth.schema_dump` (metadata only; tested, not a query)",
     "S27": "`presslens.sources.ground_truth.load_ground_truth` (no ground-truth table in the inputs; tested on a fixture)",
-    "X01": "`presslens.plans.registry.register` — a source/query is a function `(spark, sf_dir) -> DataFrame` with its oracle",
-    "X02": "outlet plug-ins as data: `sources.pages.extract_by_rules` joins pages to a rule table (item / fallback / heading patterns, limits) by host; `list_items` / `harvest_links` for single rules",
     "X03": "row helpers as native Column expressions in `presslens.functions` (no Python worker)",
     "X04": "operators are `DataFrame -> DataFrame` functions (`operators.clean.clean`, ...) plus writers in `operators.upsert`",
 }
