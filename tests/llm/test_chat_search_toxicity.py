@@ -224,3 +224,19 @@ def test_small_queries_match_their_oracles(spark):
         names = [d[0] for d in res.description]
         expected = sorted((tuple(r[names.index(c)] for c in df.columns) for r in res.fetchall()), key=str)
         assert sorted((tuple(r) for r in df.collect()), key=str) == expected, name
+
+
+def test_the_query_writes_every_example_with_its_whole_context(spark, monkeypatch):
+    rows = [(1, t, ("user", "assistant")[t % 2], f"t{t}") for t in range(7)] + [(2, 0, "user", "alone")]
+    written = {}
+
+    def spy(df, name, write=chat.materialise, **options):
+        written[name] = write(df, name, **options)
+        return written[name]
+
+    monkeypatch.setattr(chat, "materialise", spy)
+    got = {r.conv_id: r for r in chat.digests(chat.formatted(turns(spark, rows))).collect()}
+    assert (got[1].n_turns, got[1].loss_chars, got[2].n_turns, got[2].loss_chars) == (7, 6, 1, 0)
+    rendered = [f"<|im_start|>{role}\n{text}<|im_end|>\n" for _, _, role, text in rows[:7]]
+    expanded = sorted((r.conv_id, r.example, r.context, r.target) for r in written["chat-examples"].collect())
+    assert expanded == [(1, n, rendered[: 2 * n + 1], rendered[2 * n + 1]) for n in range(3)]
