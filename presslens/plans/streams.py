@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from presslens.functions.timefmt import instant_to_utc_ntz
 from presslens.operators.topk import top_k_per_group
 from presslens.plans.registry import register
-from presslens.session import scratch_path
+from presslens.session import scratch_path, written
 from presslens.sources import tables as S
 from presslens.streaming import jobs as J
 
@@ -188,7 +188,9 @@ def q_stream_dedup_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     within hours, so one that was forgotten never returns and comes through once.
     """
     base = scratch_path(spark, "dedup_window")
-    e = S.event_articles(spark, sf_dir).select(*COLS)
+    # in order of time, so that a publish reads its own stretch and not the whole table
+    ranged = S.event_articles(spark, sf_dir).select(*COLS).repartitionByRange("extracted_at")
+    e = written(ranged.sortWithinPartitions("extracted_at"), "dedup-events")
     span = e.agg(F.min("extracted_at").alias("a"), F.max("extracted_at").alias("b")).first()
     begin = span["a"]
     while begin is not None and begin <= span["b"]:

@@ -31,6 +31,16 @@ def test_files_hold_at_most_so_many_messages(spark, tmp_dir):
     assert sorted(batches) == [200, 500, 500]
 
 
+def test_a_topic_takes_few_micro_batches(spark, tmp_dir):
+    rows = spark.range(60_000).select(
+        F.col("id").alias("seq"), F.concat(F.lit("u"), "id").alias("url"), F.expr("timestamp_ntz '2024-01-01' + make_dt_interval(0, 0, 0, id)").alias("extracted_at"))
+    J.publish(rows, f"{tmp_dir}/topic", files=2)
+    batches = []
+    msgs = J.decode(J.read_messages(spark, f"{tmp_dir}/topic", ST.MAX_FILES))
+    J.run(msgs, f"{tmp_dir}/ckpt", sink=lambda batch, i: batches.append(batch.count()))
+    assert batches == [60_000]
+
+
 def test_any_format_by_its_options(spark, tmp_dir):
     stream = J.read_messages(spark, fmt="rate", options={"rowsPerSecond": "5"})
     assert stream.isStreaming and stream.columns == ["value"] and dict(stream.dtypes)["value"] == "string"
