@@ -43,8 +43,10 @@ def identify(docs: DataFrame, profiles: DataFrame, languages: list[str], id_col:
     """``id``, predicted; null for a text without a known trigram. Rows that share an id are one text."""
     if not languages:
         return docs.select(id_col, F.lit(None).cast("string").alias("predicted"))
-    grams = docs.select(id_col, F.explode(trigrams(F.col(text_col))).alias("gram")).join(profiles, "gram")
-    sums = [F.sum(F.get("logs", i).cast("decimal(18,6)")).alias(f"s{i}") for i in range(len(languages))]
+    # whole millionths add up exactly and much faster than decimals
+    units = profiles.select("gram", *[F.round(F.get("logs", i) * 1_000_000).cast("long").alias(f"u{i}") for i in range(len(languages))])
+    grams = docs.select(id_col, F.explode(trigrams(F.col(text_col))).alias("gram")).join(units, "gram")
+    sums = [F.sum(f"u{i}").alias(f"s{i}") for i in range(len(languages))]
     scored = grams.groupBy(id_col).agg(*sums)
     best = F.array_sort(F.array(*[F.struct((-F.col(f"s{i}")).alias("s"), F.lit(lang).alias("l")) for i, lang in enumerate(languages)]))
     return docs.select(id_col).join(scored.select(id_col, F.get(best, 0)["l"].alias("predicted")), id_col, "left")

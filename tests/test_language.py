@@ -30,3 +30,14 @@ def test_accuracy_per_language_on_held_out_rows(spark, folder, least):
     assert len(rows) == 4
     for r in rows:
         assert r.correct >= least * r.docs, r
+
+
+def test_scores_are_whole_numbers_and_only_held_out_texts_are_told(spark, monkeypatch):
+    from presslens.plans import analysis as PA
+
+    told = []
+    monkeypatch.setattr(PA.LG, "identify", lambda docs, *a, made=LG.identify: told.append(docs) or made(docs, *a))
+    folder = "/root/testdata/sf0.001"
+    assert "decimal" not in PA.q_language_trigrams(spark, folder)._jdf.queryExecution().toString()
+    PA.q_language_trigram_accuracy(spark, folder)
+    assert told[0].count() > told[1].count() > 0 and told[1].filter("doc_id % 5 <> 0").count() == 0
