@@ -57,9 +57,11 @@ def learn_lexicon(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 def score(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, hits, score, sentiment of every document; without a lexicon word a document is neutral with score 0."""
-    hits = document_words(docs, id_col, text_col).join(lexicon, "word")
-    sums = hits.groupBy(id_col).agg(F.count(F.lit(1)).alias("hits"), F.sum(F.col("weight").cast("decimal(18,6)")).alias("sum"))
-    total = F.coalesce("sum", F.lit(0)).cast("double")
+    # whole millionths add up exactly and much faster than decimals
+    units = lexicon.select("word", F.round(F.col("weight") * 1_000_000).cast("long").alias("units"))
+    hits = document_words(docs, id_col, text_col).join(units, "word")
+    sums = hits.groupBy(id_col).agg(F.count(F.lit(1)).alias("hits"), F.sum("units").alias("sum"))
+    total = F.coalesce("sum", F.lit(0)) / 1_000_000
     rated = docs.select(id_col).join(sums, id_col, "left").select(
         id_col, F.coalesce("hits", F.lit(0)).alias("hits"), F.round(F.tanh(total / 2), 6).alias("score"))
     label = F.when(F.col("score") <= NEGATIVE, "negative").when(F.col("score") >= POSITIVE, "positive").otherwise("neutral")

@@ -12,10 +12,12 @@ has one, keeps a null topic. Repeated vectors of an id are averaged.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from presslens.operators.analysis import LN2, words
+from presslens.session import written
 
 #: dimensions of a text's vector, shortest word that counts
 TEXT_DIMS, MIN_WORD = 64, 3
@@ -30,11 +32,8 @@ def bucket(word: Column) -> Column:
 def text_vectors(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """id, t: word counts of each text by hash bucket (all TEXT_DIMS entries); texts without words have none."""
     said = docs.select(id_col, F.explode(words(F.col(text_col))).alias("word")).filter(F.length("word") >= MIN_WORD)
-    counts = said.groupBy(id_col, bucket(F.col("word")).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    filled = F.map_from_entries(F.collect_list(F.struct("b", "n")))
-    whole = counts.groupBy(id_col).agg(filled.alias("m"))
-    every = F.sequence(F.lit(0).cast("long"), F.lit(TEXT_DIMS - 1).cast("long"))
-    return whole.select(id_col, F.transform(every, lambda b: F.coalesce(F.try_element_at("m", b), F.lit(0)).cast("double")).alias("t"))
+    counts = said.withColumn("_b", bucket(F.col("word"))).groupBy(id_col).pivot("_b", list(range(TEXT_DIMS))).agg(F.count(F.lit(1)))
+    return counts.select(id_col, F.array(*[F.coalesce(F.col(f"`{b}`"), F.lit(0)).cast("double") for b in range(TEXT_DIMS)]).alias("t"))
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -74,10 +73,16 @@ def vector_topics(articles: DataFrame, vectors: DataFrame, id_col: str, vec_id:
     return have.withColumn("centroids", every).select(id_col, nearest(F.col("v"), F.col("centroids")).alias("topic"))
 
 
-def assign_topics(articles: DataFrame, vectors: DataFrame, id_col: str, text_col: str, language: str, **columns) -> DataFrame:
-    """``articles`` with ``topic``: by vector, else by text among the topics of the article's language."""
+def assign_topics(articles: DataFrame, vectors: DataFrame, id_col: str, text_col: str, language: str, texts: DataFrame | None = None,
+                  **columns) -> DataFrame:
+    """``articles`` with ``topic``: by vector, else by text among the topics of the article's language.
+
+    ``texts`` are the articles' ``text_vectors``, if they have been written already. Both the centroids and the
+    comparison read them, so they are written here otherwise.
+    """
     by_vector = vector_topics(articles, vectors, id_col, **columns)
-    texts = text_vectors(articles.select(id_col, text_col), id_col, text_col)
+    if texts is None:
+        texts = written(text_vectors(articles.select(id_col, text_col), id_col, text_col), "text-vectors")
     base = articles.select(id_col, language).distinct().join(by_vector, id_col, "left").join(texts, id_col, "left")
     known = base.filter("topic IS NOT NULL AND t IS NOT NULL").select(F.col(language), "topic", "t")
     by_language = _side(mean_vectors(known, [language, "topic"], "t"), [language], "centroids")
@@ -137,10 +142,13 @@ def clusters_by_language(docs: DataFrame, k: int, id_col: str = "doc_id", text_c
     known = docs.filter(F.col(language).isNotNull()).select(
         id_col, language, F.filter(words(F.coalesce(text_col, F.lit(""))), lambda w: F.length(w) >= MIN_WORD).alias("words"))
     sizes = known.groupBy(language).agg(F.count(F.lit(1)).alias("n")).orderBy(language).collect()
+    # counts need no fit: each text is split and hashed once for all passes over it
+    hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=features).transform(known).select(id_col, language, "tf")
+    kept = hashed.persist(StorageLevel.MEMORY_AND_DISK)
     out, inertia = None, {}
     for row in sizes:
-        own = known.filter(F.col(language) == row[language])
-        stages = [HashingTF(inputCol="words", outputCol="tf", numFeatures=features), IDF(inputCol="tf", outputCol="idf"),
+        own = kept.filter(F.col(language) == row[language])
+        stages = [IDF(inputCol="tf", outputCol="idf"),
                   Normalizer(inputCol="idf", outputCol="features"), KMeans(k=max(2, min(k, row["n"])), seed=seed, maxIter=iterations)]
         if row["n"] < 2:
             part = own.select(id_col, language, F.lit(0).alias("cluster"))
@@ -150,4 +158,5 @@ def clusters_by_language(docs: DataFrame, k: int, id_col: str = "doc_id", text_c
             inertia[row[language]] = model.stages[-1].summary.trainingCost
             part = model.transform(own).select(id_col, language, F.col("prediction").alias("cluster"))
         out = part if out is None else out.unionByName(part)
+    kept.unpersist()
     return (out if out is not None else known.select(id_col, language, F.lit(0).alias("cluster"))), inertia

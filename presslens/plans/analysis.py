@@ -169,10 +169,10 @@ topics AS (SELECT d.doc_id, coalesce(b.topic, t.topic) AS topic FROM documents d
 """
 
 
-def _topics(spark, sf_dir):
+def _topics(spark, sf_dir, texts=None):
     """Articles of the documents, with their topic."""
     d = S.document_articles(spark, sf_dir, with_text=True)
-    return TO.assign_topics(d, S.table(spark, sf_dir, "embeddings"), "doc_id", "text", "language")
+    return TO.assign_topics(d, S.table(spark, sf_dir, "embeddings"), "doc_id", "text", "language", texts)
 
 
 @register("article_table", ids=("D04",), oracle=f"""
@@ -423,8 +423,9 @@ LEFT JOIN means m ON m.topic = g.topic AND m.country = g.country LEFT JOIN means
 """)
 def q_narrative_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How differently two countries cover a topic: attention, framing, distance and sentiment per (topic, country, country2)."""
-    articles = written(_topics(spark, sf_dir).select("doc_id", F.col("sourcecountry").alias("country"), "topic"), "article-topics")
     d = S.table(spark, sf_dir, "documents").select("doc_id", "text")
+    texts = written(TO.text_vectors(d, "doc_id", "text"), "text-vectors")
+    articles = written(_topics(spark, sf_dir, texts).select("doc_id", F.col("sourcecountry").alias("country"), "topic"), "article-topics")
     tokens = d.select("doc_id", F.explode(AN.words(F.col("text"))).alias("token")).filter(F.length("token") >= TO.MIN_WORD)
-    out = TO.narrative_divergence(articles, tokens, TO.text_vectors(d, "doc_id", "text"), _sentiment(spark, sf_dir))
+    out = TO.narrative_divergence(articles, tokens, texts, _sentiment(spark, sf_dir))
     return out.select("topic", "country", "country2", *[F.round(c, 6).alias(c) for c in ("attention", "framing", "distance", "sentiment")])

@@ -126,3 +126,48 @@ def test_scores_and_labels_of_the_documents(spark):
     # no word is significant for the good documents here, so none is positive
     assert set(found) == {"negative", "neutral"} and sum(n for n, _, _ in found.values()) == 1000
     assert found["negative"][2] <= SE.NEGATIVE < found["neutral"][1]
+
+
+def plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_text_vectors_are_made_once(spark, monkeypatch):
+    from presslens.plans import analysis as PA
+
+    calls = []
+    monkeypatch.setattr(PA.TO, "text_vectors", lambda *a, made=PA.TO.text_vectors: calls.append(a) or made(*a))
+    PA.q_narrative_divergence(spark, "/root/testdata/sf0.001")
+    assert len(calls) == 1
+    assert "md5" not in plan(PA.q_country_topic_daily(spark, "/root/testdata/sf0.001"))  # the vectors are read back
+
+
+def test_texts_are_hashed_once_for_all_languages(spark, monkeypatch):
+    from pyspark.ml.feature import HashingTF
+
+    from presslens.operators import topics
+
+    calls = []
+    monkeypatch.setattr(HashingTF, "_transform", lambda self, df, made=HashingTF._transform: calls.append(1) or made(self, df))
+    docs = spark.createDataFrame([(i, lang, f"{lang}word {('north', 'south')[i % 2]}") for i in range(8) for lang in ("xx", "yy")], "doc_id long, language string, text string")
+    out, inertia = topics.clusters_by_language(docs, k=2)
+    assert out.count() == 16 and set(inertia) == {"xx", "yy"} and len(calls) == 1
+
+
+def test_neighbours_in_few_tiles(spark, monkeypatch):
+    import numpy as np
+
+    from presslens.operators import neighbours
+
+    monkeypatch.setattr(neighbours, "TILES", 3)
+    rng = np.random.default_rng(3)
+    vectors = {i: rng.normal(size=4) for i in range(700)}
+    table = spark.createDataFrame([(i, i % 2, v.tolist()) for i, v in vectors.items()], "vec_id long, label int, embedding array<double>")
+    ranked = neighbours.neighbours_topk(table, k=3, tile=2)
+    assert "least(" in plan(ranked)
+    got = sorted((r.vec_id, r.rank, r.neighbour_id) for r in ranked.collect())
+    unit = np.vstack([v / np.linalg.norm(v) for v in vectors.values()])
+    sims = unit @ unit.T
+    sims[(np.arange(700)[:, None] % 2 != np.arange(700) % 2) | np.eye(700, dtype=bool)] = -9
+    best = np.argsort(-sims, axis=1)[:, :3]
+    assert got == [(i, n + 1, int(best[i, n])) for i in range(700) for n in range(3)]
