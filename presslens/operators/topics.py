@@ -142,21 +142,21 @@ def clusters_by_language(docs: DataFrame, k: int, id_col: str = "doc_id", text_c
     known = docs.filter(F.col(language).isNotNull()).select(
         id_col, language, F.filter(words(F.coalesce(text_col, F.lit(""))), lambda w: F.length(w) >= MIN_WORD).alias("words"))
     sizes = known.groupBy(language).agg(F.count(F.lit(1)).alias("n")).orderBy(language).collect()
-    # counts need no fit: each text is split and hashed once for all passes over it
-    hashed = HashingTF(inputCol="words", outputCol="tf", numFeatures=features).transform(known).select(id_col, language, "tf")
-    kept = hashed.persist(StorageLevel.MEMORY_AND_DISK)
     out, inertia = None, {}
+    hashing = HashingTF(inputCol="words", outputCol="tf", numFeatures=features)
     for row in sizes:
-        own = kept.filter(F.col(language) == row[language])
+        # counts need no fit: a language's texts are split and hashed once for all passes of its fit
+        own = hashing.transform(known.filter(F.col(language) == row[language]))
         stages = [IDF(inputCol="tf", outputCol="idf"),
                   Normalizer(inputCol="idf", outputCol="features"), KMeans(k=max(2, min(k, row["n"])), seed=seed, maxIter=iterations)]
         if row["n"] < 2:
             part = own.select(id_col, language, F.lit(0).alias("cluster"))
             inertia[row[language]] = 0.0
         else:
-            model = Pipeline(stages=stages).fit(own)
+            counts = own.select("tf").persist(StorageLevel.MEMORY_AND_DISK)
+            model = Pipeline(stages=stages).fit(counts)
             inertia[row[language]] = model.stages[-1].summary.trainingCost
+            counts.unpersist()
             part = model.transform(own).select(id_col, language, F.col("prediction").alias("cluster"))
         out = part if out is None else out.unionByName(part)
-    kept.unpersist()
     return (out if out is not None else known.select(id_col, language, F.lit(0).alias("cluster"))), inertia
