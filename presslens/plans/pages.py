@@ -98,7 +98,7 @@ WHERE title IS NOT NULL AND url IS NOT NULL"""
 def q_list_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Generic list-page extraction: every list item of a page with its title
     and its first link resolved against the page URL."""
-    return PG.list_items(S.table(spark, sf_dir, "pages"), ITEM_RULE)
+    return PG.list_items(S.table(spark, sf_dir, "pages"), ITEM_RULE, before_filter=None)
 
 
 @register("promo_cards", ids=("S14", "O06"), oracle=_items_sql(
@@ -107,7 +107,7 @@ def q_list_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     None))
 def q_promo_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Card extraction with a fallback rule when a page has no primary cards; every valid card."""
-    return PG.list_items(S.table(spark, sf_dir, "pages"), CARD_RULE, fallback_re=ITEM_RULE)
+    return PG.list_items(S.table(spark, sf_dir, "pages"), CARD_RULE, fallback_re=ITEM_RULE, before_filter=None)
 
 
 def _meta_sql(x: str) -> str:
