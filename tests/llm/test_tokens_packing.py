@@ -3,6 +3,7 @@
 import random
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from tokenizers import Tokenizer
 
 from llm_tables import awkward, documents, empty  # noqa: F401
 from presslens.llm import packing, token_files
-from presslens.llm.tokens import Encoder, vocabulary
+from presslens.llm.tokens import COMMON, Encoder, vocabulary
 
 PATH = vocabulary("word_bpe_49k.json")
 PLAIN = Tokenizer.from_file(PATH)
@@ -38,6 +39,22 @@ def test_encoder_on_special_texts(text):
     assert np.frombuffer(WORDWISE.encode(text), WORDWISE.dtype).tolist() == ids(text, 0)[:-1]
 
 
+def test_encoder_on_every_common_letter():
+    letters = [chr(c) for c in range(0x21, 0x180) if COMMON.fullmatch(chr(c))]
+    assert len(letters) == 94 + 186  # printable ASCII, Latin letters
+    for x in letters:
+        text = f"{x} {x}{x}a a{x}' {x}'s 1{x}\t({x})e"
+        assert np.frombuffer(WORDWISE.encode(text), WORDWISE.dtype).tolist() == ids(text, 0)[:-1], x
+
+
+def test_spellings_of_a_word_are_encoded_once():
+    enc, asked = Encoder(PATH), []
+    enc.model = SimpleNamespace(tokenize=lambda x: asked.append(x) or PLAIN.model.tokenize(x))
+    text = 'Élan élan, (ÉLAN) "élan"\nélan,'
+    assert np.frombuffer(enc.encode(text) + enc.encode(text + " 文 élan."), enc.dtype).tolist() == ids(text, 0)[:-1] + ids(text + " 文 élan.", 0)[:-1]
+    assert sorted(asked) == sorted({"Ã©lan", ",", "(", ")", '"', "."})
+
+
 def test_other_vocabularies_encode_whole_texts():
     path = vocabulary("byte_bpe_50k.json")
     enc = Encoder(path)
