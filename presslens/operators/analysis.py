@@ -8,7 +8,11 @@ needs no shuffle at all.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +37,8 @@ NEGATIVE_LEXICON = ("idiot", "moron", "clown", "worthless", "stupid", "pathetic"
 
 WORD_SPLIT = r"[^\p{L}]+"
 LN2 = math.log(2.0)
+#: (document, term) entries that one task weighs at once
+BLOCK = 500_000
 
 
 def words(text: Column) -> Column:
@@ -62,23 +68,102 @@ def detect_language(docs: DataFrame, text_col: str = "text") -> DataFrame:
     return out.drop("_toks").withColumn("predicted", F.when(best["s"] < 0, best["l"]))
 
 
-def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_len: int = 3) -> DataFrame:
+def _added_up(ids: pa.Array, texts: pa.Array, counts: np.ndarray | None = None):
+    """Rows of an id and its words, a space between them (and how often each occurs, or
+    once), as one entry per id and word: (ids, words, then over the entries the
+    place of the id, the place of the word and the count)."""
+    who = ids.dictionary_encode(null_encoding="encode")
+    lists = pc.split_pattern(texts, " ")
+    what = lists.flatten().dictionary_encode()
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    owner = np.repeat(who.indices.to_numpy().astype(np.int64), lengths)
+    word = what.indices.to_numpy().astype(np.int64)
+    if counts is not None and len(who.dictionary) == len(ids):  # no id comes twice, so no entry does
+        return who.dictionary, what.dictionary, owner, word, counts
+    size = max(len(what.dictionary), 1)
+    if counts is None:
+        entry, n = np.unique(owner * size + word, return_counts=True)
+    else:
+        entry, at = np.unique(owner * size + word, return_inverse=True)
+        n = np.zeros(len(entry), np.int64)
+        np.add.at(n, at, counts)
+    return who.dictionary, what.dictionary, entry // size, entry % size, n
+
+
+def _term_counts(min_len: int):
+    """Per batch: one row per id with its terms and how often they occur."""
+    def fn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, terms, owner, term, tf = _added_up(*batch.columns)
+            long = pc.greater_equal(pc.utf8_length(terms), min_len).to_numpy(zero_copy_only=False)[term]
+            owner, term, tf = owner[long], term[long], tf[long].astype("<i4")
+            size = np.bincount(owner, minlength=len(ids))
+            ends = np.cumsum(size)
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), terms.take(pa.array(term)))
+            counts = pa.array([tf[a:b].tobytes() for a, b in zip(ends - size, ends)], pa.binary())
+            rows = pa.RecordBatch.from_arrays([ids, pa.array(size, pa.int64()), pc.binary_join(lists, " "), counts],
+                                              ["_id", "_n", "_terms", "_tfs"])
+            yield rows.filter(pa.array(size > 0))
+    return fn
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    """The column as one array."""
+    return pa.concat_arrays(column.chunks) if column.num_chunks else pa.array([], column.type)
+
+
+def _entries(block: pa.Table):
+    """The entries of a block's documents."""
+    return _added_up(_whole(block["_id"]), _whole(block["_terms"]), np.frombuffer(b"".join(block["_tfs"].to_pylist()), "<i4"))
+
+
+def _block_frequencies(block: pa.Table) -> pa.Table:
+    """How many ids of the block hold each term."""
+    _, terms, _, term, _ = _entries(block)
+    n = np.bincount(term, minlength=len(terms))
+    return pa.table([pa.repeat(block["_block"][0], len(terms)), terms, pa.array(n, pa.int64())], ["_block", "term", "n"])
+
+
+def _weigh(names: list[str]):
+    """One block and the frequencies of its terms: the weighted entries."""
+    def fn(block: pa.Table, frequencies: pa.Table) -> pa.Table:
+        ids, terms, owner, term, tf = _entries(block)
+        known = pc.index_in(terms, value_set=_whole(frequencies["term"]))
+        df, idf = (_whole(frequencies[c]).take(known).to_numpy() for c in ("df", "idf"))
+        w = tf * idf[term]
+        norm = np.sqrt(np.bincount(owner, w * w, len(ids)))[owner]
+        weight = np.divide(w, norm, out=np.zeros(len(w)), where=norm > 0)
+        return pa.table([ids.take(pa.array(owner)), terms.take(pa.array(term)), pa.array(tf, pa.int64()),
+                         pa.array(df[term], pa.int64()), pa.array(weight)], names)
+    return fn
+
+
+def tfidf(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_len: int = 3,
+          block: int = BLOCK) -> DataFrame:
     """L2-normalised TF-IDF weights (doc, term, weight), idf = ln((N+1)/(df+1)).
     Terms are whole-text words of at least ``min_len`` letters.
 
-    Words are counted where their text lies, so only (doc, term, tf) is
-    shuffled, once: the counts are written and both the document frequencies
-    and the weights are made of them. The frequencies are written too, so that
-    the join reads two plain tables: Spark broadcasts the shorter one or splits
-    a term that is in most documents."""
-    toks = docs.select(id_col, F.explode(words(F.col(text_col))).alias("term")).filter(F.length("term") >= min_len)
-    tf = written(toks.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf")), "tf")
-    df = written(tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")), "df")
+    No row per document and term is shuffled. Words are counted where their text
+    lies, one row per document (its terms joined by spaces, their counts beside
+    them), written once. Documents are dealt into blocks of about ``block``
+    (document, term) entries; of each block only its vocabulary goes to the
+    terms' document frequencies, these come back to the blocks that hold the
+    term, and a block weighs its documents with them. A frequent term is one row
+    per block. Rows of one id meet in one block with their counts added up, so a
+    repeated id brings its vocabulary once per batch of texts at most."""
+    spaced = F.regexp_replace(F.lower(F.col(text_col)), WORD_SPLIT, " ")
+    texts = docs.select(F.col(id_col).alias("_id"), spaced.alias("_text"))
+    of_id = texts.schema["_id"].dataType.simpleString()
+    counted = written(texts.mapInArrow(_term_counts(min_len), f"_id {of_id}, _n long, _terms string, _tfs binary"), "tf")
+    blocks = F.floor(F.coalesce(counted.agg(F.sum("_n")).scalar(), F.lit(0)) / block) + 1
+    dealt = counted.drop("_n").withColumn("_block", F.pmod(F.xxhash64("_id"), blocks))
+    found = dealt.groupBy("_block").applyInArrow(_block_frequencies, "_block long, term string, n long")
     n_docs = docs.agg(F.count(F.lit(1))).scalar()
-    w = tf.join(df, "term").withColumn("w", F.col("tf") * F.log((n_docs + 1) / (F.col("df") + 1)))
-    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(id_col)))
-    return w.withColumn("weight", F.when(norm > 0, F.col("w") / norm).otherwise(F.lit(0.0))).select(
-        id_col, "term", "tf", "df", "weight")
+    df = found.select("_block", "term", F.sum("n").over(Window.partitionBy("term")).alias("df")).withColumn(
+        "idf", F.log((n_docs + 1) / (F.col("df") + 1)))
+    names = [id_col, "term", "tf", "df", "weight"]
+    return dealt.groupBy("_block").cogroup(df.groupBy("_block")).applyInArrow(
+        _weigh(names), f"`{id_col}` {of_id}, term string, tf long, df long, weight double")
 
 
 def distribution(df: DataFrame, keys: list[str], token: str = "token") -> DataFrame:

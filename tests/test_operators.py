@@ -3,6 +3,8 @@
 import datetime as dt
 import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -233,6 +235,49 @@ def test_detect_language(spark):
     assert got == {1: "en", 2: "fr", 3: "de", 4: None}
 
 
+TFIDF_ROWS = [(1, "The sea, the SAND; the sea"), (2, "sea law"), (2, "Law of  laws"), (None, "sea élan"), (None, None),
+              (3, "an ox"), (4, ""), (5, None)] + [(i, f"common word{'x' * (i % 7)} sea") for i in range(10, 40)]
+
+
+def _tfidf_expected(rows):
+    tf = Counter((i, w) for i, t in rows for w in re.split(r"[\W\d_]+", (t or "").lower()) if len(w) >= 3)
+    df = Counter(w for _, w in tf)
+    idf = {w: math.log((len(rows) + 1) / (n + 1)) for w, n in df.items()}
+    norm = Counter()
+    for (i, w), n in tf.items():
+        norm[i] += (n * idf[w]) ** 2
+    return {(i, w): (n, df[w], n * idf[w] / math.sqrt(norm[i]) if norm[i] else 0.0) for (i, w), n in tf.items()}
+
+
+@pytest.mark.parametrize("batch", ["1", "10000"])  # rows of one id in several batches, or in one
+@pytest.mark.parametrize("block", [3, 1000])
+def test_tfidf_in_blocks_against_brute_force(spark, block, batch):
+    docs = spark.createDataFrame(TFIDF_ROWS, "doc_id long, text string").coalesce(1)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = AN.tfidf(docs, block=block).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    found = {(r.doc_id, r.term): (r.tf, r.df, pytest.approx(r.weight)) for r in got}
+    assert len(found) == len(got) and found == _tfidf_expected(TFIDF_ROWS)
+
+
+def test_tfidf_ids_of_text_weights_of_zero_and_no_rows(spark):
+    docs = spark.createDataFrame([("a", "sea sand"), ("b", "sea sand")], "key string, body string")
+    got = AN.tfidf(docs, "key", "body").orderBy("key", "term").collect()
+    assert [tuple(r) for r in got] == [(k, w, 1, 2, 0.0) for k in "ab" for w in ("sand", "sea")]
+    none = AN.tfidf(docs.filter("key = 'c'"), "key", "body")
+    assert none.count() == 0 and none.columns == ["key", "term", "tf", "df", "weight"]
+
+
+def test_tfidf_shuffles_no_row_per_document_and_term(spark):
+    docs = spark.createDataFrame(TFIDF_ROWS, "doc_id long, text string")
+    plan = AN.tfidf(docs)._jdf.queryExecution().executedPlan().toString()
+    dealt = set(re.findall(r"hashpartitioning\((\w+?)#", plan))
+    assert dealt == {"_block", "term"}  # rows with lists, and vocabularies of blocks
+
+
 def test_article_schema_has_seven_columns():
     assert [f.name for f in ARTICLE.fields] == ["source", "country_target", "title", "summary", "url",
                                                "published_at", "extracted_at"]
